@@ -120,13 +120,22 @@ def asof_last(
     )
 
 
-def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str, scale: float = 100.0) -> DataFrame:
+def share_of_total(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, scale: float = 100.0, few: bool = False
+) -> DataFrame:
     """Value as a share of the total of its keys.
 
     The totals are aggregated (map side first) and joined back, so that a key
-    with very many rows is never gathered in one window partition.
+    with very many rows is never gathered in one window partition; ``df`` is
+    read twice and should be cheap. With ``few`` members per key by nature, such
+    as sectors of a fund, one window does it in a single pass.
     """
+    if few and keys:
+        total = F.sum(value).over(Window.partitionBy(*keys))
+        share = F.try_divide(F.col(value).cast("double"), total.cast("double")) * scale
+        return df.withColumn(out, share)
     totals = df.groupBy(*keys).agg(F.sum(value).alias("__total")) if keys else df.agg(F.sum(value).alias("__total"))
+    # a global total is a single row
     joined = df.join(totals, list(keys)) if keys else df.crossJoin(F.broadcast(totals))
     share = F.try_divide(F.col(value).cast("double"), F.col("__total").cast("double")) * scale
     return joined.withColumn(out, share).drop("__total")

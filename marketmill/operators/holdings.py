@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketmill.functions.scalars import pct_change, ratio
 from marketmill.functions.windows import page as take_page, share_of_total, top_n_per_key
+from marketmill.session import materialize
 
 
 def _in_quarter(df: DataFrame, year: int | None, quarter: int | None) -> DataFrame:
@@ -44,7 +45,7 @@ def filing_extract(
     lines = h.groupBy("cik", "date", "symbol", "industry", "putCallShare").agg(
         F.sum("shares").alias("shares"), F.sum("value").alias("value")
     )
-    return share_of_total(lines, ["cik", "date"], "value", "weight")
+    return share_of_total(materialize(lines, "lines"), ["cik", "date"], "value", "weight")
 
 
 def filing_dates(holdings: DataFrame, cik: str | None = None) -> DataFrame:
@@ -53,9 +54,17 @@ def filing_dates(holdings: DataFrame, cik: str | None = None) -> DataFrame:
 
 
 def positions(holdings: DataFrame) -> DataFrame:
-    """One row per filer, symbol and quarter end."""
+    """One row per filer, symbol and quarter end.
+
+    The analytics read it several times; :func:`marketmill.session.materialize` it before.
+    """
+    kind = F.col("putCallShare")
     return holdings.groupBy("cik", "symbol", "date").agg(
-        F.first("industry").alias("industry"), F.sum("shares").alias("shares"), F.sum("value").alias("value")
+        F.first("industry").alias("industry"),
+        F.sum("shares").alias("shares"),
+        F.sum("value").alias("value"),
+        F.coalesce(F.sum(F.when(kind == "Call", F.col("shares"))), F.lit(0)).alias("calls"),
+        F.coalesce(F.sum(F.when(kind == "Put", F.col("shares"))), F.lit(0)).alias("puts"),
     )
 
 
@@ -70,7 +79,7 @@ def _filings(pos: DataFrame) -> DataFrame:
 
 
 def holder_analytics(
-    holdings: DataFrame,
+    pos: DataFrame,
     outstanding: DataFrame,
     symbol: str | None = None,
     year: int | None = None,
@@ -80,11 +89,10 @@ def holder_analytics(
 ) -> DataFrame:
     """Position, weight, ownership and performance per filer and symbol, now against last filing.
 
-    Performance is last shares times the change from the filer's last value per
+    ``pos`` comes from :func:`positions`. Performance is last shares times the change from the filer's last value per
     share to the market-wide value per share at the quarter end. A position is
     new or sold out only between two quarters in which the filer filed.
     """
-    pos = positions(holdings)
     filings = _filings(pos)
     dated = pos.join(filings, ["cik", "date"])
 
@@ -236,13 +244,13 @@ def holder_industry(
 
 def positions_summary(
     analytics: DataFrame,
-    holdings: DataFrame,
+    pos: DataFrame,
     symbol: str | None = None,
     year: int | None = None,
     quarter: int | None = None,
 ) -> DataFrame:
     """Holders, shares, money and position changes per symbol and quarter, with last values and changes."""
-    a, h = analytics, holdings
+    a, h = analytics, pos
     if symbol is not None:
         a, h = a.filter(F.col("symbol") == symbol), h.filter(F.col("symbol") == symbol)
     held, delta = ~F.col("isSoldOut"), F.col("changeInSharesNumber")
@@ -257,11 +265,7 @@ def positions_summary(
         F.count_if("isSoldOut").alias("closedPositions"),
         F.count_if(kept & (delta < 0)).alias("reducedPositions"),
     )
-    kind = F.col("putCallShare")
-    options = h.groupBy("symbol", "date").agg(
-        F.coalesce(F.sum(F.when(kind == "Call", F.col("shares"))), F.lit(0)).alias("totalCalls"),
-        F.coalesce(F.sum(F.when(kind == "Put", F.col("shares"))), F.lit(0)).alias("totalPuts"),
-    )
+    options = h.groupBy("symbol", "date").agg(F.sum("calls").alias("totalCalls"), F.sum("puts").alias("totalPuts"))
     per = per.join(options, ["symbol", "date"], "left")
     per = per.withColumn("putCallRatio", ratio(F.col("totalPuts"), F.col("totalCalls")))
     w = Window.partitionBy("symbol").orderBy("date")
@@ -279,7 +283,7 @@ def industry_summary(holdings: DataFrame, year: int | None = None, quarter: int
     g = _in_quarter(holdings, year, quarter).groupBy("date", F.col("industry").alias("industryTitle")).agg(
         F.sum("value").alias("industryValue")
     )
-    return share_of_total(g, ["date"], "industryValue", "share")
+    return share_of_total(g, ["date"], "industryValue", "share", few=True)
 
 
 def industry_rollup(holdings: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketmill.operators import holdings as J
+from marketmill.session import materialize
 
 from .registry import CTES, query
 from .tables import holdings, outstanding
@@ -54,11 +55,16 @@ A_R6 = (
     "weight lastWeight ownership lastOwnership quarterEndPrice changeInWeight changeInWeightPercentage "
     "changeInMarketValuePercentage changeInSharesNumberPercentage changeInOwnership changeInOwnershipPercentage performancePercentage"
 )
-A_R4 = "marketValue lastMarketValue changeInMarketValue performance lastPerformance changeInPerformance"
+A_R4 = "marketValue lastMarketValue changeInMarketValue"
+A_PERF = "performance lastPerformance changeInPerformance"
+
+
+def stored_positions(spark, sf):
+    return materialize(J.positions(holdings(spark, sf)), "positions")
 
 
 def analytics(spark, sf):
-    return J.holder_analytics(holdings(spark, sf), outstanding(spark, sf))
+    return J.holder_analytics(stored_positions(spark, sf), outstanding(spark, sf))
 
 
 @query(
@@ -93,7 +99,7 @@ def j3(spark, sf):
     return J.filing_dates(holdings(spark, sf))
 
 
-@query("J4_holder_analytics", "SELECT * FROM analytics", r6=A_R6, r4=A_R4)
+@query("J4_holder_analytics", "SELECT * FROM analytics", r6=A_R6, r4=f"{A_R4} {A_PERF}")
 def j4(spark, sf):
     return analytics(spark, sf)
 
@@ -207,7 +213,8 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date)""",
     r4="totalInvested lastTotalInvested totalInvestedChange",
 )
 def j7(spark, sf):
-    return J.positions_summary(analytics(spark, sf), holdings(spark, sf))
+    pos = stored_positions(spark, sf)
+    return J.positions_summary(J.holder_analytics(pos, outstanding(spark, sf)), pos)
 
 
 @query(

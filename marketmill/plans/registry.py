@@ -40,6 +40,11 @@ def with_ctes(sql: str) -> str:
     return head + ", ".join([*parts, body])
 
 
+def _nudge(digits: int) -> float:
+    """Moves values off exact rounding ties, which the two engines break differently."""
+    return 3 * 10.0 ** -(digits + 3)
+
+
 def query(name: str, sql: str | None = None, r6: str = "", r4: str = "", r2: str = ""):
     """Register a query; the named double columns are rounded on both sides."""
     digits = {c: d for cols, d in ((r6, 6), (r4, 4), (r2, 2)) for c in cols.split()}
@@ -47,7 +52,8 @@ def query(name: str, sql: str | None = None, r6: str = "", r4: str = "", r2: str
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
-            return df.withColumns({c: F.round(F.col(f"`{c}`"), d) for c, d in digits.items()}) if digits else df
+            cols = {c: F.round(F.col(f"`{c}`") + F.lit(_nudge(d)), d) for c, d in digits.items()}
+            return df.withColumns(cols) if cols else df
 
         assert name not in QUERIES, name
         QUERIES[name] = run
@@ -55,7 +61,7 @@ def query(name: str, sql: str | None = None, r6: str = "", r4: str = "", r2: str
             full = with_ctes(sql)
             if digits:
                 # + 0.0 turns a negative zero into zero
-                repl = ", ".join(f'round("{c}", {d}) + 0.0 AS "{c}"' for c, d in digits.items())
+                repl = ", ".join(f'round("{c}" + {_nudge(d):.12f}, {d}) + 0.0 AS "{c}"' for c, d in digits.items())
                 full = f"SELECT * REPLACE ({repl}) FROM ({full})"
             ORACLES[name] = full
         return fn

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "marketmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str = "part") -> DataFrame:
+    """Write an intermediate that is read more than once, and read it back.
+
+    It lands as Parquet in the shared folder, so it survives lost executors,
+    keeps column pruning, and gives the planner its real size.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
