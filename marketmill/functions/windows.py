@@ -67,16 +67,65 @@ def page(
         return df.orderBy(*order).offset(start).limit(limit)
     counts = df.groupBy(band).agg(F.count("*").alias("__n"))
     upto = Window.orderBy(F.desc_nulls_last(band)).rowsBetween(Window.unboundedPreceding, 0)
-    hit = counts.withColumn("__end", F.sum("__n").over(upto))
-    hit = hit.filter((F.col("__end") > start) & (F.col("__end") - F.col("__n") < start + limit))
-    hit = hit.select(F.col(band).alias("__band"), (F.col("__end") - F.col("__n")).alias("__before"))
-    rows = df.join(hit, df[band].eqNullSafe(F.col("__band")))
-    inner = Window.partitionBy("__band").orderBy(*order)
-    pos = F.col("__before") + F.row_number().over(inner)
-    rows = rows.withColumn("__pos", pos).filter(
-        (F.col("__pos") > start) & (F.col("__pos") <= start + limit)
+    ends = counts.withColumn("__end", F.sum("__n").over(upto))
+    hit = ends.filter((F.col("__end") > start) & (F.col("__end") - F.col("__n") < start + limit))
+    # one number comes to the driver: how many rows lie before the first value hit
+    before = hit.agg(F.min(F.col("__end") - F.col("__n"))).first()[0]
+    if before is None:
+        return df.limit(0)
+    hit = hit.select(F.col(band).alias("__band"))
+    rows = df.join(hit, df[band].eqNullSafe(F.col("__band")), "left_semi")
+    return rows.orderBy(*order).offset(int(start - before)).limit(limit)
+
+
+def previous_value(
+    df: DataFrame, keys: Sequence[str], day: str, tie: str, value: str, out: str
+) -> DataFrame:
+    """Value of the preceding row of a key by (day, tie).
+
+    Looked up within each day of a key, and carried over from the day before
+    through one summary row per day, so that a hot key is not ordered in one task.
+    """
+    inner = Window.partitionBy(*keys, day).orderBy(tie)
+    rows = df.withColumns({"__in": F.lag(value).over(inner), "__first": F.row_number().over(inner) == 1})
+    last = df.groupBy(*keys, day).agg(F.max_by(value, tie).alias("__last"))
+    carry = last.select(*keys, day, F.lag("__last").over(Window.partitionBy(*keys).orderBy(day)).alias("__carry"))
+    joined = rows.join(carry, [*keys, day])
+    return joined.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__in"))).select(
+        *df.columns, out
+    )
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, buckets: int = 1024) -> DataFrame:
+    """Exact median per key without gathering a key's values.
+
+    Equal values are counted first. A histogram over each key's range then tells
+    which bucket holds the middle, and only the values of that bucket are ranked.
+    """
+    keys = list(keys)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    span = counts.groupBy(*keys).agg(
+        F.sum("__n").alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+    )
+    place = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * buckets
+    placed = counts.join(span, keys).withColumn(
+        "__b", F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(buckets - 1))
     )
-    return rows.select(*df.columns)
+    low, high = F.floor((F.col("__total") - 1) / 2), F.floor(F.col("__total") / 2)
+    hist = placed.groupBy(*keys, "__b").agg(F.sum("__n").alias("__m"), F.first("__total").alias("__total"))
+    along = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("__end", F.sum("__m").over(along))
+    start = F.col("__end") - F.col("__m")
+    middle = hist.filter((start <= high) & (F.col("__end") > low)).select(*keys, "__b", start.alias("__before"))
+    inside = placed.join(middle, [*keys, "__b"])
+    within = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("__upto", F.col("__before") + F.sum("__n").over(within))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__upto") - F.col("__n") <= rank) & (F.col("__upto") > rank), F.col("__v")))
+
+    picked = inside.groupBy(*keys).agg(at(low).alias("__a"), at(high).alias("__z"))
+    return picked.select(*keys, ((F.col("__a") + F.col("__z")) / 2).alias(out))
 
 
 def asof_last(

@@ -314,3 +314,54 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("S"), (F.col("conv_id") % 150).cast("string")).alias("symbol"), "conv_id", "turn", "role"
     )
+
+
+CTES["stmt"] = """
+SELECT l_suppkey AS symbol, CAST(last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS DATE) AS date,
+       sum(l_extendedprice * (1 - l_discount)) AS revenue, sum(l_quantity * p_retailprice * 0.6) AS "costOfRevenue",
+       sum(l_extendedprice * l_discount) AS "operatingExpenses", sum(l_extendedprice * (1 - l_discount) * l_tax) AS "incomeTaxExpense",
+       sum(l_quantity * 10) AS depreciation, -sum(CASE WHEN l_returnflag = 'A' THEN l_quantity * 100 ELSE 0 END) AS "capitalExpenditure",
+       sum(CASE WHEN l_linestatus = 'O' THEN l_extendedprice * 0.1 ELSE 0 END) AS "changeInReceivables",
+       sum(CASE WHEN l_returnflag = 'R' THEN l_quantity * 100 ELSE 0 END) AS "changeInInventories",
+       sum(CASE WHEN l_returnflag = 'N' THEN l_quantity * 150 ELSE 0 END) AS "changeInPayables",
+       sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice * 0.05 ELSE 0 END) AS "changeInDebt"
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
+
+
+def stmt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    ext, disc, qty, flag = (F.col(c) for c in ("l_extendedprice", "l_discount", "l_quantity", "l_returnflag"))
+    net = ext * (1 - disc)
+
+    def when(cond, x):
+        return F.sum(F.when(cond, x).otherwise(0.0))
+
+    return (
+        li.join(p, li.l_partkey == p.p_partkey)
+        .groupBy(F.col("l_suppkey").alias("symbol"), quarter_end(F.to_date("l_shipdate")).alias("date"))
+        .agg(
+            F.sum(net).alias("revenue"),
+            F.sum(qty * F.col("p_retailprice") * 0.6).alias("costOfRevenue"),
+            F.sum(ext * disc).alias("operatingExpenses"),
+            F.sum(net * F.col("l_tax")).alias("incomeTaxExpense"),
+            F.sum(qty * 10).alias("depreciation"),
+            (-when(flag == "A", qty * 100)).alias("capitalExpenditure"),
+            when(F.col("l_linestatus") == "O", ext * 0.1).alias("changeInReceivables"),
+            when(flag == "R", qty * 100).alias("changeInInventories"),
+            when(flag == "N", qty * 150).alias("changeInPayables"),
+            when(flag == "A", ext * 0.05).alias("changeInDebt"),
+        )
+    )
+
+
+CTES["px_hist"] = """
+SELECT p_partkey AS symbol, DATE '1994-12-31' AS date, p_retailprice AS price, CAST(p_size AS BIGINT) * 100 AS shares FROM part
+UNION ALL SELECT p_partkey, DATE '1998-01-01', p_retailprice * 1.1, CAST(p_size AS BIGINT) * 100 + 50 FROM part"""
+
+
+def px_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k, price, n = F.col("p_partkey").alias("symbol"), F.col("p_retailprice"), F.col("p_size").cast("bigint") * 100
+    day = lambda d: F.lit(d).cast("date").alias("date")
+    first = p.select(k, day("1994-12-31"), price.alias("price"), n.alias("shares"))
+    return first.unionByName(p.select(k, day("1998-01-01"), (price * 1.1).alias("price"), (n + 50).alias("shares")))
