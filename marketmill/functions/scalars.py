@@ -49,6 +49,17 @@ def month_key(ts: Column | str) -> Column:
     return F.date_format(_col(ts), "yyyy-MM")
 
 
+def time_order(ts: Column | str, tie: Column | str) -> Column:
+    """One number that orders by (timestamp, whole-number tie-breaker).
+
+    A number, unlike a struct, fits the fixed-width buffers of hash aggregation;
+    ``min_by`` over a struct would sort all rows first.
+    """
+    micros = F.unix_micros(_col(ts).cast("timestamp")).cast("decimal(19,0)")
+    spacing = F.lit("20000000000000000000").cast("decimal(20,0)")  # wider than the 64-bit range
+    return (micros * spacing + _col(tie).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def quarter_end(d: Column) -> Column:
     return F.last_day(F.add_months(F.trunc(d, "quarter"), 2))
 

@@ -93,4 +93,6 @@ def calendar_summary(events: DataFrame, as_of: str) -> DataFrame:
     days = F.datediff(F.col("date"), F.lit(as_of).cast("date"))
     near = events.filter(days.between(0, 90)).withColumn("horizon", F.when(days <= 30, "30d").otherwise("90d"))
     sets = [[F.col("kind"), F.col("horizon")], [F.col("kind")], []]
-    return near.groupingSets(sets, "kind", "horizon").agg(F.count("*").alias("events"))
+    # counted at the finest level first, so that only those few rows are multiplied
+    fine = near.groupBy("kind", "horizon").agg(F.count("*").alias("__n"))
+    return fine.groupingSets(sets, "kind", "horizon").agg(F.sum("__n").alias("events"))

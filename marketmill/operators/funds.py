@@ -45,15 +45,22 @@ def country_numbers(countries: DataFrame) -> DataFrame:
 
 
 def etf_info(lines: DataFrame) -> DataFrame:
-    """Holdings count, assets and the list of sector exposures, heaviest first."""
-    per_asset = lines.groupBy("symbol", "asset").agg(F.sum("value").alias("value"))
-    totals = per_asset.groupBy("symbol").agg(
-        F.count("*").alias("holdingsCount"), F.sum("value").alias("assetsUnderManagement")
+    """Holdings count, assets and the list of sector exposures, heaviest first.
+
+    Every asset belongs to one sector.
+    """
+    per_asset = lines.groupBy("symbol", "sector", "asset").agg(F.sum("value").alias("value"))
+    per_sector = per_asset.groupBy("symbol", "sector").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+    per_sector = share_of_total(per_sector, ["symbol"], "value", "exposure", few=True)
+    item = F.struct(F.col("exposure"), F.col("sector"))
+    listed = F.sort_array(F.collect_list(item), asc=False)
+    return per_sector.groupBy("symbol").agg(
+        F.sum("n").alias("holdingsCount"),
+        F.sum("value").alias("assetsUnderManagement"),
+        F.transform(
+            listed, lambda x: F.struct(x["sector"].alias("industry"), x["exposure"].alias("exposure"))
+        ).alias("sectorsList"),
     )
-    item = F.struct(F.col("sector").alias("industry"), F.col("weightPercentage").alias("exposure"))
-    listed = F.sort_array(F.collect_list(F.struct(F.col("weightPercentage").alias("w"), item.alias("i"))), asc=False)
-    sectors = etf_sectors(lines).groupBy("symbol").agg(F.transform(listed, lambda x: x["i"]).alias("sectorsList"))
-    return totals.join(sectors, "symbol")
 
 
 def asset_exposure(holdings: DataFrame, asset: str | None = None) -> DataFrame:

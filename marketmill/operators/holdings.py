@@ -96,37 +96,36 @@ def holder_analytics(
     filings = _filings(pos)
     dated = pos.join(filings, ["cik", "date"])
 
-    def cell(now: bool) -> DataFrame:
-        this = F.struct("shares", "value", "totalValue", "filingNo")
-        empty = F.lit(None).cast("struct<shares:bigint,value:double,totalValue:double,filingNo:int>")
-        return dated.select(
-            "cik", "symbol", "industry", F.col("date" if now else "nextDate").alias("date"),
-            (this if now else empty).alias("now"), (empty if now else this).alias("last"),
-        ).filter(F.col("date").isNotNull())
-
-    both = cell(True).unionByName(cell(False)).groupBy("cik", "symbol", "date").agg(
-        F.first("industry").alias("industry"),
-        F.first("now", ignorenulls=True).alias("now"),
-        F.first("last", ignorenulls=True).alias("last"),
+    def cell(date: str, is_now: bool) -> Column:
+        return F.struct(F.col(date).alias("cellDate"), F.lit(is_now).alias("isNow"))
+
+    twice = dated.select(
+        "cik", "symbol", "industry", "shares", "value", "totalValue", "filingNo",
+        F.inline(F.array(cell("date", True), cell("nextDate", False))),
+    ).filter(F.col("cellDate").isNotNull())
+    now, measures = F.col("isNow"), ("shares", "value", "totalValue", "filingNo")
+    both = twice.groupBy("cik", "symbol", F.col("cellDate").alias("date")).agg(
+        F.min("industry").alias("industry"),
+        *[F.max(F.when(now, F.col(m))).alias(f"now_{m}") for m in measures],
+        *[F.max(F.when(~now, F.col(m))).alias(f"last_{m}") for m in measures],
     )
     px = pos.groupBy("symbol", "date").agg((F.sum("value") / F.sum("shares")).alias("quarterEndPrice"))
-    totals = filings.select("cik", "date", F.col("totalValue").alias("total"), F.col("filingNo").alias("no"))
-    j = both.join(totals, ["cik", "date"]).join(px, ["symbol", "date"], "left").join(outstanding, "symbol", "left")
+    j = both.join(px, ["symbol", "date"], "left").join(outstanding, "symbol", "left")
 
-    zero = F.lit(0)
-    shares, last_shares = F.coalesce("now.shares", zero), F.coalesce("last.shares", zero)
-    value, last_value = F.coalesce("now.value", zero.cast("double")), F.coalesce("last.value", zero.cast("double"))
+    zero, none = F.lit(0), F.lit(0.0)
+    shares, last_shares = F.coalesce("now_shares", zero), F.coalesce("last_shares", zero)
+    value, last_value = F.coalesce("now_value", none), F.coalesce("last_value", none)
     out = j.select(
-        "date", "cik", "symbol", "industry", "no",
+        "date", "cik", "symbol", "industry", F.coalesce("now_filingNo", F.col("last_filingNo") + 1).alias("no"),
         shares.alias("sharesNumber"), last_shares.alias("lastSharesNumber"),
         value.alias("marketValue"), last_value.alias("lastMarketValue"),
-        (ratio(value, F.col("total")) * 100).alias("weight"),
-        F.coalesce(ratio(last_value, F.col("last.totalValue")) * 100, F.lit(0.0)).alias("lastWeight"),
+        F.coalesce(ratio(value, F.col("now_totalValue")) * 100, none).alias("weight"),
+        F.coalesce(ratio(last_value, F.col("last_totalValue")) * 100, none).alias("lastWeight"),
         (ratio(shares, F.col("outstanding")) * 100).alias("ownership"),
         (ratio(last_shares, F.col("outstanding")) * 100).alias("lastOwnership"),
         "quarterEndPrice",
-        (F.col("last").isNull() & (F.col("no") > 1)).alias("isNew"),
-        F.col("now").isNull().alias("isSoldOut"),
+        (F.col("last_shares").isNull() & (F.coalesce("now_filingNo", F.lit(0)) > 1)).alias("isNew"),
+        F.col("now_shares").isNull().alias("isSoldOut"),
         (last_shares * F.col("quarterEndPrice") - last_value).alias("performance"),
     )
 
@@ -288,7 +287,9 @@ def industry_summary(holdings: DataFrame, year: int | None = None, quarter: int
 
 def industry_rollup(holdings: DataFrame) -> DataFrame:
     """Values per (quarter, industry), per quarter, and in total; null marks a total."""
-    return holdings.rollup("date", F.col("industry").alias("industryTitle")).agg(F.sum("value").alias("industryValue"))
+    # summed to the finest level first, so that only those few rows are multiplied
+    fine = holdings.groupBy("date", F.col("industry").alias("industryTitle")).agg(F.sum("value").alias("__v"))
+    return fine.rollup("date", "industryTitle").agg(F.sum("__v").alias("industryValue"))
 
 
 def compare_filers(performance: DataFrame, industries: DataFrame, ciks: Sequence[str] | None = None) -> DataFrame:

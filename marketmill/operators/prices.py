@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketmill.functions.scalars import ratio
+from marketmill.functions.scalars import ratio, time_order
 from marketmill.functions.windows import asof_last, page as take_page, share_of_total
 
 TIMEFRAMES = {
@@ -40,7 +40,7 @@ def bars_eod(ticks: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
 
     Open and close are the first and last tick by (ts, id).
     """
-    bars = ticks.groupBy(*keys, F.to_date("ts").alias("date")).agg(*_ohlcv(F.struct("ts", "id")))
+    bars = ticks.groupBy(*keys, F.to_date("ts").alias("date")).agg(*_ohlcv(time_order("ts", "id")))
     change = F.col("close") - F.col("open")
     return bars.withColumns(
         {
@@ -61,7 +61,7 @@ def bars_intraday(ticks: DataFrame, timeframe: str, splits: DataFrame | None = N
         raise ValueError(f"unknown timeframe {timeframe!r}")
     bars = (
         ticks.groupBy("symbol", F.window("ts", TIMEFRAMES[timeframe]).alias("w"))
-        .agg(*_ohlcv(F.struct("ts", "id")))
+        .agg(*_ohlcv(time_order("ts", "id")))
         .withColumn("date", F.col("w.start"))
         .select("symbol", "date", "open", "low", "high", "close", "volume")
     )
@@ -107,14 +107,21 @@ def adjust_dividends(bars: DataFrame, dividends: DataFrame) -> DataFrame:
 
     A dividend without an earlier close, or not below it, is left out.
     """
-    divs = dividends.groupBy("symbol", "date").agg(F.sum("dividend").alias("dividend"))
-    prev = F.date_sub("date", 1)
-    closes = bars.select("symbol", F.col("date").alias("bar_date"), F.col("close").alias("prev_close"))
-    ex = asof_last(divs.withColumn("before", prev), closes, ["symbol"], "before", "bar_date", ["prev_close"])
-    factor = F.lit(1.0) - ratio(F.col("dividend"), F.col("prev_close"))
-    factors = ex.select("symbol", "date", factor.alias("factor")).filter("factor > 0")
-    out = _later_factor(bars, factors)
-    return out.select(
+    divs = dividends.groupBy("symbol", "date").agg(F.sum("dividend").alias("__div"))
+    both = bars.withColumn("__side", F.lit(1)).unionByName(
+        divs.withColumn("__side", F.lit(0)), allowMissingColumns=True
+    )
+    # forward: a dividend comes before the bar of its day and so sees earlier closes only
+    forward = Window.partitionBy("symbol").orderBy("date", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__prev", F.last("close", ignorenulls=True).over(forward))
+    factor = F.lit(1.0) - ratio(F.col("__div"), F.col("__prev"))
+    both = both.withColumn("__ln", F.when(factor > 0, F.ln(factor)))
+    # backward: a bar comes before the dividend of its day and so sees later ones only
+    backward = (
+        Window.partitionBy("symbol").orderBy(F.desc("date"), F.desc("__side")).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    both = both.withColumn("__f", F.exp(F.coalesce(F.sum("__ln").over(backward), F.lit(0.0))))
+    return both.filter(F.col("__side") == 1).select(
         "symbol",
         "date",
         *[(F.col(c) * F.col("__f")).alias(f"adj{c.capitalize()}") for c in ("open", "high", "low", "close")],
@@ -222,33 +229,26 @@ def price_changes(bars: DataFrame, as_of: str | None = None) -> DataFrame:
 def aftermarket_trade(ticks: DataFrame, close_hour: int = 16) -> DataFrame:
     """Last print of every symbol at or after the closing hour."""
     late = ticks.filter(F.hour("ts") >= close_hour)
-    last = late.groupBy("symbol").agg(F.max(F.struct("ts", "id", "price", "size")).alias("t"))
-    return last.select(
-        "symbol",
-        F.col("t.price").alias("price"),
-        F.col("t.size").alias("tradeSize"),
-        F.unix_millis(F.col("t.ts").cast("timestamp")).alias("timestamp"),
+    order = time_order("ts", "id")
+    return late.groupBy("symbol").agg(
+        F.max_by("price", order).alias("price"),
+        F.max_by("size", order).alias("tradeSize"),
+        F.unix_millis(F.max("ts").cast("timestamp")).alias("timestamp"),
     )
 
 
 def aftermarket_quote(ticks: DataFrame, bid_venue: str, ask_venue: str, close_hour: int = 16) -> DataFrame:
     """Last bid and last ask of every symbol after the closing hour, in one aggregation."""
     late = ticks.filter((F.hour("ts") >= close_hour) & F.col("venue").isin(bid_venue, ask_venue))
-    cell = F.struct("ts", "id", "price", "size")
-    q = late.groupBy("symbol").agg(
-        F.max(F.when(F.col("venue") == bid_venue, cell)).alias("b"),
-        F.max(F.when(F.col("venue") == ask_venue, cell)).alias("a"),
+    order = time_order("ts", "id")
+    bid, ask = (F.when(F.col("venue") == v, order) for v in (bid_venue, ask_venue))
+    return late.groupBy("symbol").agg(
+        F.max_by("size", bid).alias("bidSize"),
+        F.max_by("price", bid).alias("bidPrice"),
+        F.max_by("size", ask).alias("askSize"),
+        F.max_by("price", ask).alias("askPrice"),
         F.sum("size").alias("volume"),
-        F.max("ts").alias("ts"),
-    )
-    return q.select(
-        "symbol",
-        F.col("b.size").alias("bidSize"),
-        F.col("b.price").alias("bidPrice"),
-        F.col("a.size").alias("askSize"),
-        F.col("a.price").alias("askPrice"),
-        "volume",
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.unix_millis(F.max("ts").cast("timestamp")).alias("timestamp"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketmill.operators import calendars as H
 from marketmill.operators import company as G
 from marketmill.operators import prices as P
+from marketmill.session import materialize
 
 from .performance import listed
 from .prices import bars, dividends
@@ -32,7 +33,7 @@ LEFT JOIN (SELECT symbol, arg_max(dividend, (date, dividend)) AS dividend FROM d
 )
 def g1(spark, sf):
     directory = listed(spark, sf).select("symbol", "name", "sector", "industry", "exchange")
-    b = bars(spark, sf)
+    b = materialize(bars(spark, sf), "bars")  # quotes and betas both read it
     return G.profile(directory, P.quotes(b, securities(spark, sf)), G.betas(b), dividends(spark, sf))
 
 

@@ -67,6 +67,11 @@ def analytics(spark, sf):
     return J.holder_analytics(stored_positions(spark, sf), outstanding(spark, sf))
 
 
+def stored_analytics(spark, sf):
+    """Analytics written once, for queries that read them several times."""
+    return materialize(analytics(spark, sf), "analytics")
+
+
 @query(
     "J1_filings_latest",
     """SELECT cik, date, max("filingDate") AS "filingDate", count(*) AS lines FROM holdings GROUP BY cik, date
@@ -148,10 +153,6 @@ P_R4 = (
 )
 
 
-def performance(spark, sf):
-    return J.holder_performance(analytics(spark, sf))
-
-
 @query(
     "J5_holder_performance",
     """SELECT p.*, "performancePercentage" - bp AS "performanceRelativePercentage" FROM perf p LEFT JOIN market_quarters USING (date)""",
@@ -159,7 +160,7 @@ def performance(spark, sf):
     r4=P_R4,
 )
 def j5(spark, sf):
-    a = analytics(spark, sf)
+    a = stored_analytics(spark, sf)
     market = a.groupBy("date").agg(
         (F.try_divide(F.sum("performance"), F.sum("lastMarketValue")) * 100).alias("benchmarkPercentage")
     )
@@ -247,5 +248,5 @@ WHERE p.date = (SELECT max(date) FROM perf x WHERE x.cik = p.cik) GROUP BY 1, 2,
     r4="marketValue performance",
 )
 def j9(spark, sf):
-    a = analytics(spark, sf)
+    a = stored_analytics(spark, sf)
     return J.compare_filers(J.holder_performance(a), J.holder_industry(a))

@@ -162,12 +162,15 @@ def a10(spark, sf):
 
 @query("A11_shared_prices", 'SELECT "assetClass", symbol, date, close, volume FROM class_bars')
 def a11(spark, sf):
-    shared = class_bars(spark, sf)
-    classes = [D.prices(shared, c) for c in ("view", "click", "purchase", "signup", "error")]
-    out = classes[0]
-    for c in classes[1:]:
-        out = out.unionByName(c)
-    return out.select("assetClass", "symbol", "date", "close", "volume")
+    return D.prices(class_bars(spark, sf)).select("assetClass", "symbol", "date", "close", "volume")
+
+
+@query(
+    "A11_shared_prices_class",
+    """SELECT symbol, date, close, volume FROM class_bars WHERE "assetClass" = 'purchase'""",
+)
+def a11c(spark, sf):
+    return D.prices(class_bars(spark, sf), "purchase").select("symbol", "date", "close", "volume")
 
 
 @query("A12_publish_view", "SELECT symbol, name, sector, industry, price, shares FROM securities")

@@ -16,9 +16,9 @@ from .tables import facts, table
 
 
 def replay(spark, sf, name):
-    """A driver table as a file stream."""
+    """A driver table as a file stream. The glob matches a single file as well as a folder of parts."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 @query(
@@ -44,9 +44,11 @@ def p1(spark, sf):
 )
 def p2(spark, sf):
     feed = replay(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").alias("filingDate"), F.col("l_returnflag").alias("transactionType")
+        F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").alias("filingDate"), F.col("l_returnflag").alias("transactionType"),
+        "l_orderkey", "l_linenumber",
     )
-    unique = J.stream_dedup(feed, ["symbol", "filingDate", "transactionType"], "filingDate", "7 days")
+    keys = ["symbol", "filingDate", "transactionType"]
+    unique = J.stream_dedup(feed, keys, "filingDate", "7 days", ["l_orderkey", "l_linenumber"]).select(*keys)
     out = fresh_path(spark, "dedup")
     J.start_append(unique, out, fresh_path(spark, "checkpoint")).awaitTermination()
     df = spark.read.schema(unique.schema).parquet(out)

@@ -47,7 +47,8 @@ def _typed(v: Column, name: str) -> Column:
 
 def profile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFrame:
     """One row of flags per column: which JSON kinds occur, and unsafe integers."""
-    v = F.try_parse_json(F.col(json_col))
+    df = df.select(F.try_parse_json(F.col(json_col)).alias("__v"))
+    v = F.col("__v")
     aggs = []
     for c in columns:
         kind = _typed(v, c)
@@ -78,7 +79,9 @@ def reconcile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> Dat
     The profile is one pass that brings one row per column to the driver.
     """
     flags = {r["column"]: r for r in profile_types(df, json_col, columns).collect()}
-    v = F.try_parse_json(F.col(json_col))
+    columns_kept = [x for x in df.columns if x != json_col]
+    df = df.select(*columns_kept, F.try_parse_json(F.col(json_col)).alias("__v"))
+    v = F.col("__v")
     out = {}
     for c in columns:
         f = flags[c]
@@ -97,4 +100,4 @@ def reconcile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> Dat
         if f["has_nested"]:
             value = F.when(_typed(v, c) != "OBJECT<>", value)
         out[c] = value
-    return df.select(*[x for x in df.columns if x != json_col], *[e.alias(c) for c, e in out.items()])
+    return df.select(*columns_kept, *[e.alias(c) for c, e in out.items()])

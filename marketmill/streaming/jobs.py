@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from marketmill.functions.scalars import time_order
 from marketmill.functions.windows import first_per_key
 from marketmill.operators.prices import TIMEFRAMES
 from marketmill.sources.datasets import overwrite_keys, read_dataset
@@ -23,7 +24,7 @@ def stream_bars(ticks: DataFrame, timeframe: str, lateness: str) -> DataFrame:
 
     Use append mode: a bar comes out once, when the watermark has passed its end.
     """
-    order = F.struct("ts", "id")
+    order = time_order("ts", "id")
     return (
         ticks.withColumn("ts", F.col("ts").cast("timestamp"))
         .withWatermark("ts", lateness)
@@ -39,10 +40,21 @@ def stream_bars(ticks: DataFrame, timeframe: str, lateness: str) -> DataFrame:
     )
 
 
-def stream_dedup(feed: DataFrame, keys: Sequence[str], time_col: str, lateness: str) -> DataFrame:
-    """Feed without repeated business keys within the watermark delay."""
-    timed = feed.withColumn(time_col, F.col(time_col).cast("timestamp"))
-    return timed.withWatermark(time_col, lateness).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedup(
+    feed: DataFrame, keys: Sequence[str], time_col: str, lateness: str, spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Feed without repeated business keys within the watermark delay.
+
+    Copies are first dropped within 16 hash slices of their key, so that a key
+    with very many copies reaches its one task with 16 rows a batch at most. The
+    slice comes from ``spread_by``, columns that differ between copies such as a
+    source offset (all columns by default); it is never random, so a lost task
+    can be run again.
+    """
+    timed = feed.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, lateness)
+    sliced = timed.withColumn("__slice", F.pmod(F.xxhash64(*(spread_by or feed.columns)), F.lit(16)))
+    first = sliced.dropDuplicatesWithinWatermark([*keys, "__slice"]).drop("__slice")
+    return first.dropDuplicatesWithinWatermark(list(keys))
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
