@@ -29,6 +29,8 @@ def top_n_per_key(
     rn = rank_col or "__rn"
     if n > MAP_SIDE_RANK_LIMIT:
         salted = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+        # spread the slices even where the input is already clustered by key
+        salted = salted.repartition(*keys, "__slice")
         inner = Window.partitionBy(*keys, "__slice").orderBy(*order)
         df = salted.withColumn("__pre", F.row_number().over(inner)).filter(F.col("__pre") <= n)
         df = df.drop("__pre", "__slice")

@@ -27,12 +27,13 @@ def profile(
 ) -> DataFrame:
     """One wide row per company: directory fields, quote, beta, last dividend and 52-week range text."""
     d = directory if symbols is None else directory.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
-    last = dividends.groupBy("symbol").agg(F.max(F.struct("date", "dividend")).alias("d"))
+    daily = dividends.groupBy("symbol", "date").agg(F.max("dividend").alias("dividend"))
+    last = daily.groupBy("symbol").agg(F.max_by("dividend", "date").alias("lastDividend"))
     j = d.join(quotes, "symbol", "left").join(betas, "symbol", "left").join(last, "symbol", "left")
     low, high = (F.format_string("%.2f", F.round(c, 2)) for c in ("yearLow", "yearHigh"))
     has_range = F.col("yearLow").isNotNull()
     return j.select(
-        *directory.columns, "price", "marketCap", "beta", F.col("d.dividend").alias("lastDividend"),
+        *directory.columns, "price", "marketCap", "beta", "lastDividend",
         F.when(has_range, F.concat_ws("-", low, high)).alias("range"), "change", "changePercentage", "volume",
         "priceAvg50", "priceAvg200",
     )

@@ -14,10 +14,10 @@ from marketmill.session import materialize
 
 
 def etf_holdings(lines: DataFrame, symbol: str | None = None) -> DataFrame:
-    """Shares, value and weight in percent of every asset of a fund."""
+    """Shares, value and weight in percent of every asset of a fund. An asset has one name."""
     df = lines if symbol is None else lines.filter(F.col("symbol") == symbol)
-    assets = df.groupBy("symbol", "asset").agg(
-        F.min("name").alias("name"), F.sum("shares").alias("sharesNumber"), F.sum("value").alias("marketValue")
+    assets = df.groupBy("symbol", "asset", "name").agg(
+        F.sum("shares").alias("sharesNumber"), F.sum("value").alias("marketValue")
     )
     return share_of_total(materialize(assets, "assets"), ["symbol"], "marketValue", "weightPercentage")
 

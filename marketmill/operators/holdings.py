@@ -54,13 +54,12 @@ def filing_dates(holdings: DataFrame, cik: str | None = None) -> DataFrame:
 
 
 def positions(holdings: DataFrame) -> DataFrame:
-    """One row per filer, symbol and quarter end.
+    """One row per filer, symbol and quarter end. A symbol belongs to one industry.
 
     The analytics read it several times; :func:`marketmill.session.materialize` it before.
     """
     kind = F.col("putCallShare")
-    return holdings.groupBy("cik", "symbol", "date").agg(
-        F.first("industry").alias("industry"),
+    return holdings.groupBy("cik", "symbol", "industry", "date").agg(
         F.sum("shares").alias("shares"),
         F.sum("value").alias("value"),
         F.coalesce(F.sum(F.when(kind == "Call", F.col("shares"))), F.lit(0)).alias("calls"),
@@ -104,8 +103,7 @@ def holder_analytics(
         F.inline(F.array(cell("date", True), cell("nextDate", False))),
     ).filter(F.col("cellDate").isNotNull())
     now, measures = F.col("isNow"), ("shares", "value", "totalValue", "filingNo")
-    both = twice.groupBy("cik", "symbol", F.col("cellDate").alias("date")).agg(
-        F.min("industry").alias("industry"),
+    both = twice.groupBy("cik", "symbol", "industry", F.col("cellDate").alias("date")).agg(
         *[F.max(F.when(now, F.col(m))).alias(f"now_{m}") for m in measures],
         *[F.max(F.when(~now, F.col(m))).alias(f"last_{m}") for m in measures],
     )

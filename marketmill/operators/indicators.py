@@ -12,9 +12,9 @@ applied after computing, so that the warm-up may use earlier bars.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +26,18 @@ FRAME_INDICATORS = ("sma", "wma", "standardDeviation", "williams")
 RECURSIVE_INDICATORS = ("ema", "dema", "tema", "rsi", "adx")
 
 
+#: Bars smoothed by one matrix product.
+BLOCK = 128
+
+
+@lru_cache(maxsize=64)
+def _kernel(alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the block's own values, and of the value before the block."""
+    powers = (1.0 - alpha) ** np.arange(BLOCK + 1)
+    lag = np.subtract.outer(np.arange(BLOCK), np.arange(BLOCK))
+    return np.where(lag >= 0, alpha * powers[np.abs(lag)], 0.0), powers[1:]
+
+
 class _Smoother:
     """y = y' + alpha (x - y'), seeded with the mean of the first n values."""
 
@@ -46,10 +58,13 @@ class _Smoother:
             if self.seen == self.n:
                 self.last = self.acc / self.n
                 out[start - 1] = self.last
-        if self.seen == self.n and start < len(x):
-            chain = pd.Series(np.concatenate(([self.last], x[start:])))
-            out[start:] = chain.ewm(alpha=self.alpha, adjust=False).mean().to_numpy()[1:]
-            self.last = float(out[-1])
+        if self.seen == self.n:
+            weights, decay = _kernel(self.alpha)
+            for a in range(start, len(x), BLOCK):
+                part = x[a : a + BLOCK]
+                m = len(part)
+                out[a : a + m] = weights[:m, :m] @ part + decay[:m] * self.last
+                self.last = float(out[a + m - 1])
         return out
 
 
