@@ -263,7 +263,7 @@ def positions_summary(
         F.count_if(kept & (delta < 0)).alias("reducedPositions"),
     )
     options = h.groupBy("symbol", "date").agg(F.sum("calls").alias("totalCalls"), F.sum("puts").alias("totalPuts"))
-    per = per.join(options, ["symbol", "date"], "left")
+    per = per.join(options, ["symbol", "date"], "left").fillna(0, ["totalCalls", "totalPuts"])
     per = per.withColumn("putCallRatio", ratio(F.col("totalPuts"), F.col("totalCalls")))
     w = Window.partitionBy("symbol").orderBy("date")
     measures = [c for c in per.columns if c not in ("symbol", "date")]
