@@ -11,17 +11,21 @@ applied after computing, so that the warm-up may use earlier bars.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketmill.functions.scalars import ratio
 
+# The code below runs in Python workers, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FRAME_INDICATORS = ("sma", "wma", "standardDeviation", "williams")
 RECURSIVE_INDICATORS = ("ema", "dema", "tema", "rsi", "adx")
 
@@ -30,19 +34,21 @@ RECURSIVE_INDICATORS = ("ema", "dema", "tema", "rsi", "adx")
 BLOCK = 128
 
 
-@lru_cache(maxsize=64)
-def _kernel(alpha: float) -> tuple[np.ndarray, np.ndarray]:
+def _kernel(alpha: float, kernels: dict) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the block's own values, and of the value before the block."""
+    if alpha in kernels:
+        return kernels[alpha]
     powers = (1.0 - alpha) ** np.arange(BLOCK + 1)
     lag = np.subtract.outer(np.arange(BLOCK), np.arange(BLOCK))
-    return np.where(lag >= 0, alpha * powers[np.abs(lag)], 0.0), powers[1:]
+    kernels[alpha] = np.where(lag >= 0, alpha * powers[np.abs(lag)], 0.0), powers[1:]
+    return kernels[alpha]
 
 
 class _Smoother:
     """y = y' + alpha (x - y'), seeded with the mean of the first n values."""
 
-    def __init__(self, alpha: float, n: int) -> None:
-        self.alpha, self.n = alpha, n
+    def __init__(self, alpha: float, n: int, kernels: dict) -> None:
+        self.n, self.kernel = n, _kernel(alpha, kernels)
         self.seen, self.acc, self.last = 0, 0.0, np.nan
 
     def feed(self, x: np.ndarray) -> np.ndarray:
@@ -59,7 +65,7 @@ class _Smoother:
                 self.last = self.acc / self.n
                 out[start - 1] = self.last
         if self.seen == self.n:
-            weights, decay = _kernel(self.alpha)
+            weights, decay = self.kernel
             for a in range(start, len(x), BLOCK):
                 part = x[a : a + BLOCK]
                 m = len(part)
@@ -71,8 +77,8 @@ class _Smoother:
 class _Ema:
     """EMA, DEMA or TEMA: the same smoother chained one, two or three times."""
 
-    def __init__(self, n: int, depth: int) -> None:
-        self.stages = [_Smoother(2.0 / (n + 1), n) for _ in range(depth)]
+    def __init__(self, n: int, depth: int, kernels: dict) -> None:
+        self.stages = [_Smoother(2.0 / (n + 1), n, kernels) for _ in range(depth)]
 
     def feed(self, high: np.ndarray, low: np.ndarray, close: np.ndarray) -> np.ndarray:
         levels, x = [], close
@@ -87,9 +93,9 @@ class _Ema:
 
 
 class _Rsi:
-    def __init__(self, n: int) -> None:
+    def __init__(self, n: int, kernels: dict) -> None:
         self.prev = np.nan
-        self.gain, self.loss = _Smoother(1.0 / n, n), _Smoother(1.0 / n, n)
+        self.gain, self.loss = (_Smoother(1.0 / n, n, kernels) for _ in range(2))
 
     def feed(self, high: np.ndarray, low: np.ndarray, close: np.ndarray) -> np.ndarray:
         delta = np.diff(close, prepend=self.prev)
@@ -101,9 +107,9 @@ class _Rsi:
 
 
 class _Adx:
-    def __init__(self, n: int) -> None:
+    def __init__(self, n: int, kernels: dict) -> None:
         self.high = self.low = self.close = np.nan
-        self.tr, self.up, self.down, self.dx = (_Smoother(1.0 / n, n) for _ in range(4))
+        self.tr, self.up, self.down, self.dx = (_Smoother(1.0 / n, n, kernels) for _ in range(4))
 
     def feed(self, high: np.ndarray, low: np.ndarray, close: np.ndarray) -> np.ndarray:
         up_move = np.diff(high, prepend=self.high)
@@ -121,17 +127,17 @@ class _Adx:
         return self.dx.feed(np.where(np.isnan(tr), np.nan, dx))
 
 
-def _engine(name: str, n: int):
+def _engine(name: str, n: int, kernels: dict):
     if name in ("ema", "dema", "tema"):
-        return _Ema(n, ("ema", "dema", "tema").index(name) + 1)
-    return _Rsi(n) if name == "rsi" else _Adx(n)
+        return _Ema(n, ("ema", "dema", "tema").index(name) + 1, kernels)
+    return _Rsi(n, kernels) if name == "rsi" else _Adx(n, kernels)
 
 
 def _stream(specs: Sequence[tuple[str, str, int]]):
     """Arrow batch function for partitions sorted by (symbol, date)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, engines = object(), []
+        current, engines, kernels = object(), [], {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -143,7 +149,7 @@ def _stream(specs: Sequence[tuple[str, str, int]]):
             results = [np.empty(len(symbol)) for _ in specs]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if symbol[a] != current:
-                    current, engines = symbol[a], [_engine(name, n) for _, name, n in specs]
+                    current, engines = symbol[a], [_engine(name, n, kernels) for _, name, n in specs]
                 for out, engine in zip(results, engines):
                     out[a:b] = engine.feed(high[a:b], low[a:b], close[a:b])
             columns = [*batch.columns, *(pa.array(r, from_pandas=True) for r in results)]

@@ -29,7 +29,7 @@ def _stored(spark, sf):
 @query("A1_read_dataset", "SELECT * FROM lineitem")
 def a1(spark, sf):
     li, path = _stored(spark, sf)
-    return D.read_dataset(spark, path, li.schema, buckets=BUCKETS)
+    return D.read_dataset(spark, path, li.schema)
 
 
 @query(
@@ -90,7 +90,7 @@ def a6(spark, sf):
 def a7(spark, sf):
     li, path = _stored(spark, sf)
     doomed = table(spark, sf, "supplier").filter("s_acctbal < 0").select(F.col("s_suppkey").alias("l_suppkey"))
-    D.delete_keys(spark, doomed, path, li.schema, ["l_suppkey"], BUCKETS)
+    D.delete_keys(spark, doomed, path, li.schema, ["l_suppkey"])
     return D.read_dataset(spark, path, li.schema)
 
 
@@ -155,7 +155,7 @@ def a10(spark, sf):
     li, path = _stored(spark, sf)
     # a file that breaks off after a few bytes counts as nothing stored
     broken = spark.createDataFrame([("PAR1",)], "value string")
-    broken.coalesce(1).write.text(f"{path}/{D.BUCKET}=0/broken.parquet")
+    broken.coalesce(1).write.text(f"{path}/{D.PREFIX}{BUCKETS}=0/broken.parquet")
     df = D.read_dataset(spark, path, li.schema, ignore_corrupt=True)
     return df.groupBy("l_suppkey").agg(F.count("*").alias("n"))
 

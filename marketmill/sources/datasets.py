@@ -18,11 +18,17 @@ from pyspark.sql.utils import AnalysisException
 from marketmill.functions.scalars import lead_date
 from marketmill.session import fresh_path
 
-BUCKET = "key_bucket"
+#: Name of the partition column; the number of buckets is part of it, so a table knows its own.
+PREFIX = "key_bucket_of_"
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+def _bucket(keys: Sequence[Column], column: str) -> Column:
+    buckets = int(column.removeprefix(PREFIX))
+    return F.pmod(F.xxhash64(*[k.cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _named(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k) for k in keys]
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -30,17 +36,33 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def _write(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def _write(df: DataFrame, path: str, column: str, keys: Sequence[str]) -> None:
     # rebalance lets AQE split a bucket that one hot key has filled
-    out = df.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *keys)
+    out = df.hint("rebalance", column).sortWithinPartitions(column, *keys)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(
-        BUCKET
+        column
     ).parquet(path)
 
 
 def write_dataset(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256) -> None:
     """Create a dataset table."""
-    _write(df.withColumn(BUCKET, _bucket(keys, buckets)), path, keys)
+    column = f"{PREFIX}{buckets}"
+    _write(df.withColumn(column, _bucket(_named(keys), column)), path, column, keys)
+
+
+def _open(spark: SparkSession, path: str, schema: T.StructType, ignore_corrupt: bool = False):
+    """The stored table with its bucket column, and that column's name; None if there is no table."""
+    reader = spark.read.schema(schema)
+    if ignore_corrupt:
+        reader = reader.option("ignoreCorruptFiles", "true")
+    try:
+        df = reader.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None, None
+    column = next((c for c in df.columns if c.startswith(PREFIX)), None)
+    return (df, column) if column else (None, None)
 
 
 def read_dataset(
@@ -49,30 +71,21 @@ def read_dataset(
     schema: T.StructType,
     keys: dict[str, object] | None = None,
     ignore_corrupt: bool = False,
-    buckets: int = 256,
 ) -> DataFrame:
-    """Rows of a dataset, optionally of one key. A missing table is empty.
+    """Rows of a dataset, optionally of one full key. A missing table is empty.
 
-    With ``ignore_corrupt`` unreadable files count as nothing stored; see
-    :func:`skipped_files` for which ones these were.
+    A key reads its bucket's folder only. With ``ignore_corrupt`` unreadable
+    files count as nothing stored; see :func:`skipped_files` for which ones.
     """
-    full = T.StructType([*[f for f in schema.fields if f.name != BUCKET], T.StructField(BUCKET, T.IntegerType())])
-    reader = spark.read.schema(full)
-    if ignore_corrupt:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    try:
-        df = reader.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    df, column = _open(spark, path, schema, ignore_corrupt)
+    if df is None:
         return spark.createDataFrame([], schema)
     if keys:
-        literals = spark.range(1).select(*[F.lit(v).alias(k) for k, v in keys.items()])
-        bucket = literals.select(_bucket(list(keys), buckets).alias("b")).first()["b"]
-        df = df.filter(F.col(BUCKET) == bucket)
+        # folds to a number while planning, and so prunes partitions
+        df = df.filter(F.col(column) == _bucket([F.lit(v) for v in keys.values()], column))
         for k, v in keys.items():
-            df = df.filter(F.col(k) == F.lit(v))
-    return df.select(*[f.name for f in schema.fields if f.name != BUCKET])
+            df = df.filter(F.col(k).eqNullSafe(F.lit(v)))
+    return df.select(*schema.fieldNames())
 
 
 def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -114,39 +127,41 @@ def overwrite_keys(
 
     Only the buckets these keys fall into are read and rewritten. The new
     content is staged in the shared folder first, because a path cannot be
-    overwritten while it is being read.
+    overwritten while it is being read. ``buckets`` counts for a new table only.
     """
-    fresh = df.withColumn(BUCKET, _bucket(keys, buckets))
-    _replace(spark, fresh, df.select(*keys), path, schema, keys, buckets)
+    _replace(spark, df.select(*schema.fieldNames()), df, path, schema, keys, buckets)
 
 
 def delete_keys(
-    spark: SparkSession, doomed: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 256
+    spark: SparkSession, doomed: DataFrame, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> None:
     """Delete all rows of the given keys."""
-    _replace(spark, None, doomed.select(*keys), path, schema, keys, buckets)
+    _replace(spark, None, doomed, path, schema, keys, 1)
 
 
 def _replace(spark, fresh, replaced, path, schema, keys, buckets) -> None:
-    replaced = replaced.distinct()
-    # at most ``buckets`` small numbers come to the driver
-    touched = [r[0] for r in replaced.select(_bucket(keys, buckets)).distinct().collect()]
+    stored, column = _open(spark, path, schema)
+    if stored is None and fresh is None:
+        return
+    column = column or f"{PREFIX}{buckets}"
+    replaced = replaced.select(*keys).distinct()
+    # at most as many small numbers as there are buckets come to the driver
+    touched = [r[0] for r in replaced.select(_bucket(_named(keys), column)).distinct().collect()]
     if not touched:
         return
-    columns = [f.name for f in schema.fields]
-    stored = read_dataset(spark, path, schema).withColumn(BUCKET, _bucket(keys, buckets))
-    stored = stored.filter(F.col(BUCKET).isin(touched))
-    keep = stored.join(replaced, null_safe(stored, replaced, keys), "left_anti")
-    out = keep if fresh is None else keep.select(*columns, BUCKET).unionByName(fresh.select(*columns, BUCKET))
+    out = None if fresh is None else fresh.withColumn(column, _bucket(_named(keys), column))
+    if stored is not None:
+        stored = stored.filter(F.col(column).isin(touched))
+        keep = stored.join(replaced, null_safe(stored, replaced, keys), "left_anti")
+        out = keep if out is None else keep.unionByName(out)
     stage = fresh_path(spark, "stage")
     out.write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    # a bucket left without rows has to be emptied as well, so it gets one tombstone file
-    _write(staged, path, keys)
-    left = {r[0] for r in staged.select(BUCKET).distinct().collect()}
+    staged = spark.read.schema(out.schema).parquet(stage)
+    _write(staged, path, column, keys)
+    # a bucket left without rows is not among the written ones and has to be emptied
+    left = {r[0] for r in staged.select(column).distinct().collect()}
     for bucket in sorted(set(touched) - left):
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{column}={bucket}")
 
 
 def append_new(existing: DataFrame, fresh: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
