@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from marketmill.functions.scalars import ratio
 from marketmill.functions.windows import exact_median, first_per_key, page as take_page, previous_value, top_n_per_key
 
-#: Grades from the strongest to the weakest.
+#: Grades from the strongest to the weakest.
 GRADES = ("strongBuy", "buy", "hold", "sell", "strongSell")
-#: Labels of the consensus, in the order of the grades.
+#: Labels of the consensus, in the order of the grades.
 LABELS = {"strongBuy": "Strong Buy", "buy": "Buy", "hold": "Hold", "sell": "Sell", "strongSell": "Strong Sell"}
 
 

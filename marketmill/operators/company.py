@@ -65,6 +65,7 @@ def ceo(df: DataFrame) -> DataFrame:
     )
 
 
+#: The parts that add up to the total compensation.
 COMPENSATION_PARTS = (
     "salary", "bonus", "stockAward", "optionAward", "incentivePlanCompensation", "allOtherCompensation",
 )

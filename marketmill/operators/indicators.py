@@ -26,6 +26,7 @@ from marketmill.functions.scalars import ratio
 # The code below runs in Python workers, which need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Names of the indicators.
 FRAME_INDICATORS = ("sma", "wma", "standardDeviation", "williams")
 RECURSIVE_INDICATORS = ("ema", "dema", "tema", "rsi", "adx")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketmill.functions.scalars import pct_change, ratio
 from marketmill.sources.datasets import read_range
 
+#: Tenors of the treasury curve.
 TENORS = (
     "month1", "month2", "month3", "month6", "year1", "year2", "year3", "year5", "year7", "year10", "year20", "year30",
 )
@@ -73,7 +74,7 @@ def risk_premium_by_continent(df: DataFrame) -> DataFrame:
     )
 
 
-#: Report columns per trader class and side.
+#: Report columns per trader class and side.
 POSITIONS = {
     "noncommPositionsLongAll": ("noncomm", "long"),
     "noncommPositionsShortAll": ("noncomm", "short"),

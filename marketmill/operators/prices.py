@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marketmill.functions.scalars import ratio, time_order
 from marketmill.functions.windows import asof_last, page as take_page, share_of_total
 
+#: Names of the bar lengths.
 TIMEFRAMES = {
     "1min": "1 minute",
     "5min": "5 minutes",

@@ -33,11 +33,11 @@ def search_companies(
     return d if limit is None else d.orderBy("name", "symbol").limit(limit)
 
 
-#: Numeric bounds of the screener and the column each applies to.
+#: Numeric bounds of the screener and the column each applies to.
 _RANGES = {
     "market_cap": "marketCap", "beta": "beta", "price": "price", "dividend": "lastDividend", "volume": "volume",
 }
-#: Equality filters of the screener.
+#: Equality filters of the screener.
 _EQUALS = {
     "sector": "sector", "industry": "industry", "exchange": "exchange", "country": "country", "is_etf": "isEtf",
     "is_fund": "isFund", "is_actively_trading": "isActivelyTrading",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marketmill.functions.scalars import pct_change, ratio
 from marketmill.functions.windows import asof_last, top_n_per_key
 
-#: Items that flow during a period. Capital expenditure is negative.
+#: Item names. Items that flow during a period. Capital expenditure is negative.
 FLOWS = (
     "revenue", "costOfRevenue", "operatingExpenses", "incomeTaxExpense", "depreciation", "capitalExpenditure",
     "changeInReceivables", "changeInInventories", "changeInPayables", "changeInDebt",

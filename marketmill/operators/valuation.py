@@ -17,7 +17,7 @@ from .statements import priced
 
 YEARS = 5
 
-#: Percent-of-revenue assumptions and the base item each replaces.
+#: Percent-of-revenue assumptions and the base item each replaces.
 SHARES_OF_REVENUE = {
     "ebitda_pct": "ebitda",
     "depreciation_and_amortization_pct": "depreciation",
@@ -30,7 +30,7 @@ SHARES_OF_REVENUE = {
     "operating_cash_flow_pct": "operatingCashFlow",
     "selling_general_and_administrative_expenses_pct": "sellingGeneralAndAdministrativeExpenses",
 }
-#: Rates used when neither the call nor the base gives one.
+#: Rates used when neither the call nor the base gives one.
 DEFAULT_RATES = {
     "long_term_growth_rate": 4.0,
     "cost_of_debt": 3.64,

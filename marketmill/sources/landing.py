@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Largest whole number a double holds exactly.
+#: Fixed value: largest whole number a double holds exactly.
 SAFE_INTEGER = 2**53
 
 
