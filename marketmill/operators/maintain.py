@@ -197,14 +197,19 @@ def new_since_per_key(
 
 
 def merge_feed(existing: DataFrame, fresh: DataFrame, key_cols: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Stored rows plus the first fresh row of every business key not stored yet.
+    """Stored rows plus the first fresh row of every business key not stored yet."""
+    return existing.unionByName(new_keys(existing, fresh, key_cols, order), allowMissingColumns=True)
 
-    ``order`` is the total order in which the feed was served.
+
+def new_keys(existing: DataFrame, fresh: DataFrame, key_cols: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows :func:`merge_feed` adds, to be appended to a feed table as they are.
+
+    ``order`` is the total order in which the feed was served. Of the stored feed
+    only the key columns are read.
     """
     new = first_per_key(fresh, key_cols, order)
     seen = existing.select(*key_cols)
-    new = new.join(seen, null_safe(new, seen, key_cols), "left_anti")
-    return existing.unionByName(new, allowMissingColumns=True)
+    return new.join(seen, null_safe(new, seen, key_cols), "left_anti")
 
 
 def advance_checkpoints(seen: DataFrame, checkpoints: DataFrame, scope: Sequence[str], date_col: str) -> DataFrame:

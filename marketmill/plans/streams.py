@@ -88,6 +88,6 @@ def p4(spark, sf):
     schema = build(facts(spark, sf)).schema
     out = fresh_path(spark, "panel")
     J.start_changes(
-        feed, lambda s: facts(s, sf), build, out, schema, ["entity", "time"], fresh_path(spark, "checkpoint"), 8
+        feed, lambda s, dirty: facts(s, sf).join(dirty, ["subject", "valid_from"], "left_semi"), build, out, schema, ["entity", "time"], fresh_path(spark, "checkpoint"), 8
     ).awaitTermination()
     return read_dataset(spark, out, schema)

@@ -88,6 +88,19 @@ def read_dataset(
     return df.select(*schema.fieldNames())
 
 
+def read_keys(
+    spark: SparkSession, path: str, schema: T.StructType, wanted: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Rows of all keys in ``wanted``, reading the buckets of these keys only."""
+    df, column = _open(spark, path, schema)
+    if df is None:
+        return spark.createDataFrame([], schema)
+    wanted = wanted.select(*keys).distinct()
+    touched = [r[0] for r in wanted.select(_bucket(_named(keys), column)).distinct().collect()]
+    df = df.filter(F.col(column).isin(touched))
+    return df.join(wanted, null_safe(df, wanted, keys), "left_semi").select(*schema.fieldNames())
+
+
 def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files of a table that gave no row when corrupt files are ignored."""
     listed = (
@@ -165,15 +178,19 @@ def _replace(spark, fresh, replaced, path, schema, keys, buckets) -> None:
 
 
 def append_new(existing: DataFrame, fresh: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Stored rows plus the fresh rows whose date is not stored yet for their key.
+    """Stored rows plus the fresh rows whose date is not stored yet for their key."""
+    return existing.unionByName(new_dates(existing, fresh, date_col, keys), allowMissingColumns=True)
+
+
+def new_dates(existing: DataFrame, fresh: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The fresh rows :func:`append_new` adds, to be appended to a table as they are.
 
     Duplicates inside the fresh batch are all kept, and a null date counts as a
-    date of its own.
+    date of its own. Of the stored rows only key and date are read.
     """
     on = [*keys, date_col]
     seen = existing.select(*on).distinct()
-    new = fresh.join(seen, null_safe(fresh, seen, on), "left_anti")
-    return existing.unionByName(new, allowMissingColumns=True)
+    return fresh.join(seen, null_safe(fresh, seen, on), "left_anti")
 
 
 def coverage(df: DataFrame, keys: Sequence[str], date_col: str, as_of: str | None = None) -> DataFrame:

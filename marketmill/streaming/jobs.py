@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketmill.functions.scalars import time_order
 from marketmill.functions.windows import first_per_key
 from marketmill.operators.prices import TIMEFRAMES
-from marketmill.sources.datasets import overwrite_keys, read_dataset
+from marketmill.sources.datasets import overwrite_keys, read_keys
 
 
 def stream_bars(ticks: DataFrame, timeframe: str, lateness: str) -> DataFrame:
@@ -84,8 +84,7 @@ def start_snapshot(
         spark = batch.sparkSession
         live = batch.filter(F.col(payload).isNotNull())
         fresh = first_per_key(live, entity, order)
-        stored = read_dataset(spark, path, schema)
-        known = stored.join(fresh.select(*entity), list(entity), "left_semi")
+        known = read_keys(spark, path, schema, fresh, entity)
         winners = first_per_key(fresh.unionByName(known.select(*fresh.columns)), entity, order)
         overwrite_keys(spark, winners, path, schema, entity, buckets)
 
@@ -94,7 +93,7 @@ def start_snapshot(
 
 def start_changes(
     facts: DataFrame,
-    base: Callable[[SparkSession], DataFrame],
+    base: Callable[[SparkSession, DataFrame], DataFrame],
     build: Callable[[DataFrame], DataFrame],
     path: str,
     schema: T.StructType,
@@ -104,13 +103,14 @@ def start_changes(
 ) -> StreamingQuery:
     """Changefeed: rebuild the cells of a view that a batch of facts touches.
 
-    ``base`` gives all facts landed so far, ``build`` makes view rows from facts.
+    ``base`` gives the facts landed so far for the dirty cells (subject,
+    valid_from), with a pruned read where the facts table allows it; ``build``
+    makes view rows from facts.
     """
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dirty = batch.select("subject", "valid_from").distinct()
-        rows = build(base(spark).join(dirty, ["subject", "valid_from"], "left_semi"))
-        overwrite_keys(spark, rows, path, schema, view_keys, buckets)
+        overwrite_keys(spark, build(base(spark, dirty)), path, schema, view_keys, buckets)
 
     return facts.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

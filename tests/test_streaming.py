@@ -70,5 +70,6 @@ def test_changefeed_rebuilds_dirty_cells(spark, tmp_path):
     for rows in ([("A", "eps", 1.0, q, T0, 1), ("B", "eps", 5.0, q, T0, 1)], [("A", "eps", 2.0, q, T0 + dt.timedelta(1), 1)]):
         land(spark, src, rows, schema)
         facts = stream(spark, src, schema)
-        J.start_changes(facts, lambda s: s.read.schema(schema).parquet(src), build, out, view, ["entity", "time"], cp, 4).awaitTermination()
+        cells = lambda s, dirty: s.read.schema(schema).parquet(src).join(dirty, ["subject", "valid_from"], "left_semi")
+        J.start_changes(facts, cells, build, out, view, ["entity", "time"], cp, 4).awaitTermination()
     assert sorted((r.entity, r.eps) for r in read_dataset(spark, out, view).collect()) == [("A", 2.0), ("B", 5.0)]
