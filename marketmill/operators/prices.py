@@ -380,8 +380,13 @@ def dominance(quotes: DataFrame) -> DataFrame:
     return share_of_total(quotes.select("symbol", "marketCap"), [], "marketCap", "dominance")
 
 
-def portfolio_summary(quotes: DataFrame, weights: DataFrame, vol_threshold: float = 2.0) -> DataFrame:
-    """Weighted change and volume per portfolio with a performance class."""
+def portfolio_summary(
+    quotes: DataFrame, weights: DataFrame, vol_threshold: float = 2.0, strong: float = 1.0
+) -> DataFrame:
+    """Weighted change and volume per portfolio with a performance class.
+
+    A change beyond ``strong`` percent either way counts as strong.
+    """
     j = weights.join(quotes.select("symbol", "changePercentage", "volume"), "symbol")
     out = j.groupBy("portfolio").agg(
         F.sum(F.col("weight") * F.col("changePercentage")).alias("weightedChange"),
@@ -391,9 +396,9 @@ def portfolio_summary(quotes: DataFrame, weights: DataFrame, vol_threshold: floa
     )
     ch = F.col("weightedChange")
     label = (
-        F.when(ch > 1, "strong positive")
+        F.when(ch > strong, "strong positive")
         .when(ch > 0, "moderate positive")
-        .when(ch > -1, "moderate negative")
+        .when(ch > -strong, "moderate negative")
         .otherwise("strong negative")
     )
     return out.withColumn("performance", label)
@@ -405,8 +410,24 @@ def high_volatility_members(quotes: DataFrame, weights: DataFrame, vol_threshold
     return j.filter(F.abs("changePercentage") > vol_threshold).select("portfolio", "symbol", "changePercentage")
 
 
+def cap_exposure(quotes: DataFrame, weights: DataFrame, large_cap: float = 1e11) -> DataFrame:
+    """Weighted market cap per portfolio, and the weight in large caps with its class."""
+    j = weights.join(quotes.select("symbol", "marketCap"), "symbol")
+    out = j.groupBy("portfolio").agg(
+        F.sum(F.col("weight") * F.col("marketCap")).alias("weightedMarketCap"),
+        F.coalesce(F.sum(F.when(F.col("marketCap") > large_cap, F.col("weight"))), F.lit(0.0)).alias("largeCapExposure"),
+    )
+    share = F.col("largeCapExposure")
+    return out.withColumn(
+        "largeCapClass", F.when(share > 0.7, "high").when(share > 0.4, "moderate").otherwise("low")
+    )
+
+
 def currency_exposure(weights: DataFrame, currency: str, majors: Sequence[str]) -> DataFrame:
-    """Weight in pairs that start or end with a currency, and in pairs naming a major one."""
+    """Weight in pairs that start or end with a currency, and in pairs naming a major one.
+
+    Four pairs or more count as diversified.
+    """
     pair, w = F.col("pair"), F.col("weight")
     touches = pair.endswith(currency) | pair.startswith(currency)
     major = F.lit(False)
@@ -416,4 +437,5 @@ def currency_exposure(weights: DataFrame, currency: str, majors: Sequence[str])
         F.count("*").alias("pairs"),
         F.coalesce(F.sum(F.when(touches, w)), F.lit(0.0)).alias("exposure"),
         F.coalesce(F.sum(F.when(major, w)), F.lit(0.0)).alias("majorExposure"),
+        (F.count("*") >= 4).alias("diversified"),
     )

@@ -400,12 +400,26 @@ def d20m(spark, sf):
     return P.high_volatility_members(P.quotes(bars(spark, sf)), weights(spark, sf), 5)
 
 
+@query(
+    "D20_cap_exposure",
+    """SELECT *, CASE WHEN "largeCapExposure" > 0.7 THEN 'high' WHEN "largeCapExposure" > 0.4 THEN 'moderate' ELSE 'low' END AS "largeCapClass"
+FROM (SELECT portfolio, sum(weight * "marketCap") AS "weightedMarketCap",
+             coalesce(sum(weight) FILTER ("marketCap" > 1e9), 0) AS "largeCapExposure"
+      FROM weights JOIN quotes USING (symbol) GROUP BY portfolio)""",
+    r6="largeCapExposure",
+    r2="weightedMarketCap",
+)
+def d20c(spark, sf):
+    return P.cap_exposure(quotes(spark, sf), weights(spark, sf), 1e9)
+
+
 @query(
     "D21_currency_exposure",
     """WITH w AS (SELECT c_mktsegment AS portfolio, 'C' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || 'C' ||
         lpad(CAST(c_custkey % 25 AS VARCHAR), 2, '0') AS pair, c_acctbal / 1e6 AS weight FROM customer)
 SELECT portfolio, count(*) AS pairs, coalesce(sum(weight) FILTER (starts_with(pair, 'C01') OR ends_with(pair, 'C01')), 0) AS exposure,
-       coalesce(sum(weight) FILTER (contains(pair, 'C01') OR contains(pair, 'C02') OR contains(pair, 'C03')), 0) AS "majorExposure"
+       coalesce(sum(weight) FILTER (contains(pair, 'C01') OR contains(pair, 'C02') OR contains(pair, 'C03')), 0) AS "majorExposure",
+       count(*) >= 4 AS diversified
 FROM w GROUP BY portfolio""",
     r6="exposure majorExposure",
 )
