@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from marketmill import plans
 from oracle import compare, connect
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = plans.load().QUERIES
+SQL = plans.load().ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +32,5 @@ def test_every_operator_is_registered():
     known = {n.split("_")[0] for n in QUERIES}
     assert known == {f"{letter}{i}" for letter, n in sizes.items() for i in range(1, n + 1)}
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
