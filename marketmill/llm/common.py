@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words_of(text: Column | str) -> Column:
     """Array of the white-space separated words; null text has none."""
     col = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit(f"({WORD})"), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(col, F.lit("")), f"{SPACE}+"), "")
 
 
 def add_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:

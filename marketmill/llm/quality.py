@@ -5,89 +5,130 @@ Everything is built from Spark's own functions; nothing is shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import SPACE, WORD, add_columns, words_of
+from marketmill.llm.common import WORD, add_columns, words_of
 
-SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Share of a document's words that its removed lines may hold.
 MAX_LOST = 0.3
-#: A line of this many words need not end in punctuation; shorter ones without it are fragments.
+#: A short line under this many words is a fragment if it lacks a terminal mark.
 FRAGMENT_WORDS = 6
 
 TERMINAL = r"""[.!?:;,)\]}"'\x{2026}\x{201D}\x{2019}\x{BB}\x{3002}][\x20\x09-\x0D]*$"""
 NAVIGATION = r"(\|[^|]*){2}|([>\x{BB}\x{203A}\x{2022}][^>\x{BB}\x{203A}\x{2022}]*){3}"
+#: Characters without which a line is neither navigation nor full of symbols.
+MARKED = r"[#*$%&|<>\x{BB}\x{203A}\x{2022}]"
+#: Phrases, in small letters, of lines that are no text of the document.
 BOILERPLATE = (
-    r"(?i)(cookie|privacy) policy|terms of (use|service)|subscribe (now|to our)|sign (in|up)( |$)"
-    r"|log ?in( |$)|click here|read more|enable javascript|lorem ipsum|skip to content|back to top"
+    "cookie policy", "privacy policy", "terms of use", "terms of service", "subscribe now", "subscribe to our",
+    "sign in to", "sign up for", "log in to", "click here", "read more", "enable javascript", "lorem ipsum",
+    "skip to content", "back to top",
 )
 
 
-def trigram_repeats(words: Column) -> Column:
-    """Words lying in a 3-word window that occurs twice or more in the array.
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value that is evaluated once and then at hand for every element of a lambda."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def window_mask(words: Column) -> Column:
+    """All ones below a power of two above the number of words."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.size(words)))) - 1
+
 
-    Windows are hashed, and sorted as numbers that hold the hash above and the
-    position below, so that equal windows become neighbours; neighbours are then
-    compared word by word. Linear but for one sort of primitive numbers.
+def window_keys(words: Column, mask: Column) -> Column:
+    """Sorted keys of the 3-word windows: hash in the upper bits, position below.
+
+    Equal windows become neighbours by sorting plain numbers.
     """
     n = F.size(words)
-    base = F.pow(F.lit(2.0), F.ceil(F.log2(n.cast("double"))) + 1).cast("long")
-    at = lambda i: F.get(words, i.cast("int"))
+    zipped = F.arrays_zip(words, F.slice(words, F.lit(2), n), F.slice(words, F.lit(3), n))
+    # one bit less, so that differences of keys stay in range
+    hashes = F.transform(F.slice(zipped, F.lit(1), n - 2), lambda g: F.shiftright(F.xxhash64(g), 1))
+    # coalesce only tells Spark that there is no null, so that it sorts numbers and not objects
+    packed = lambda h, i: F.coalesce(h.bitwiseAND(F.bitwise_not(mask)).bitwiseOR(i.cast("long")), F.lit(0))
+    return F.sort_array(F.transform(hashes, packed))
+
 
-    def packed(i: Column) -> Column:
-        h = F.xxhash64(at(i), at(i + 1), at(i + 2))
-        # coalesce only tells Spark that there is no null, so that it sorts plain numbers
-        return F.coalesce(h - F.pmod(h, F.greatest(base, F.lit(2))) + i, F.lit(0))
+def repeated_words(words: Column, keys: Column, mask: Column) -> Column:
+    """Number of words covered by windows that equal another one.
+
+    Keys close to a neighbour are candidates; those are compared by hash and word by word.
+    """
 
-    keys = F.sort_array(F.transform(F.sequence(F.lit(0).cast("long"), (n - 3).cast("long")), packed))
-    return F.struct(keys.alias("keys"), base.alias("base"))
+    def close(ks: Column):
+        def test(k: Column, i: Column) -> Column:
+            after, before = F.get(ks, i + 1) - k <= mask, k - F.get(ks, i - 1) <= mask
+            return F.coalesce(after, F.lit(False)) | F.coalesce(before, F.lit(False))
 
+        return test
 
-def _repeated(words: Column, keys: Column, base: Column) -> Column:
-    """Number of words covered by repeated windows, from the sorted keys."""
-    at = lambda i: F.get(words, i.cast("int"))
-    place = lambda k: F.pmod(k, base)
+    place = lambda k: k.bitwiseAND(mask).cast("int")
 
     def same(a: Column, b: Column) -> Column:
         p, q = place(a), place(b)
-        return (
-            (a - p == b - q) & (at(p) == at(q)) & (at(p + 1) == at(q + 1)) & (at(p + 2) == at(q + 2))
-        )
-
-    def twice(k: Column, i: Column) -> Column:
-        return F.coalesce(same(k, F.get(keys, i + 1)), F.lit(False)) | F.coalesce(same(k, F.get(keys, i - 1)), F.lit(False))
+        out = a.bitwiseAND(F.bitwise_not(mask)) == b.bitwiseAND(F.bitwise_not(mask))
+        for i in range(3):
+            out = out & (F.get(words, p + i) == F.get(words, q + i))
+        return F.coalesce(out, F.lit(False))
 
-    found = F.transform(F.filter(keys, twice), place)
-    covered = F.array_distinct(F.flatten(F.transform(found, lambda p: F.array(p, p + 1, p + 2))))
-    return F.size(covered).cast("long")
+    near = _let(keys, lambda ks: F.filter(ks, close(ks)))
+    found = _let(near, lambda ks: F.filter(ks, lambda k, i: same(k, F.get(ks, i + 1)) | same(F.get(ks, i - 1), k)))
+    covered = F.flatten(F.transform(found, lambda k: F.array(place(k), place(k) + 1, place(k) + 2)))
+    return F.size(F.array_distinct(covered)).cast("long")
 
 
 def line_verdicts(lines: Column) -> Column:
-    """For every line: its text, its words, and the rule it fails (null: none).
-
-    Rules, first match counts: navigation (two or more bars or chains of arrows),
-    symbols (half as many as words, two at least), shouting (four or more words
-    in capitals only), boilerplate (a known phrase in a line under 20 words) and
-    punctuation (a line of under 6 words without a terminal mark). Empty lines pass.
+    """For every line: (line, used, rule, n, marks).
+
+    ``used`` is whether it has a word, ``rule`` the rule it fails (null: none), ``n`` its
+    words if it fails (else 0) and ``marks`` its symbols. Rules, the first match
+    counts: navigation (two or more bars or three arrows or bullets), symbols (half as many as
+    words, two at least), shouting (four or more words without a small letter),
+    boilerplate (a known phrase in a line of up to 200 characters) and punctuation
+    (up to 60 characters in under 6 words without a terminal mark). Empty lines pass.
+    Cheap conditions stand first, so that few lines meet the dear ones.
     """
 
-    def judge(line: Column) -> Column:
-        n = F.size(F.regexp_extract_all(line, F.lit(f"({WORD})"), F.lit(0)))
-        marks = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
+    def measured(line: Column) -> Column:
+        marked = line.rlike(MARKED)
+        marks = F.length(line) - F.length(F.regexp_replace(line, "[#*$%&|<>]", ""))
+        return F.struct(
+            line.alias("line"), line.rlike(WORD).alias("used"), marked.alias("marked"),
+            F.when(marked, marks).otherwise(0).alias("marks"),
+            F.when(F.length(line) <= 200, F.lower(line)).alias("small"),
+        )
+
+    def phrase(small: Column) -> Column:
+        return reduce(or_, (F.contains(small, F.lit(p)) for p in BOILERPLATE))
+
+    def judged(x: Column) -> Column:
+        line, marks = x["line"], x["marks"]
+        n = F.size(words_of(line))
         rule = (
-            F.when(n == 0, F.lit(None).cast("string"))
-            .when(line.rlike(NAVIGATION), F.lit("navigation"))
+            F.when(~x["used"], F.lit(None).cast("string"))
+            .when(x["marked"] & line.rlike(NAVIGATION), F.lit("navigation"))
             .when((marks >= 2) & (2 * marks >= n), F.lit("symbols"))
-            .when((n >= 4) & (F.upper(line) == line) & (F.lower(line) != line), F.lit("shouting"))
-            .when((n < 20) & line.rlike(BOILERPLATE), F.lit("boilerplate"))
-            .when((n < FRAGMENT_WORDS) & ~line.rlike(TERMINAL), F.lit("punctuation"))
+            .when(~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}") & (n >= 4), F.lit("shouting"))
+            .when(x["small"].isNotNull() & phrase(x["small"]), F.lit("boilerplate"))
+            .when((F.length(line) <= 60) & ~line.rlike(TERMINAL) & (n < FRAGMENT_WORDS), F.lit("punctuation"))
+        )
+        return F.struct(line.alias("line"), x["used"].alias("used"), marks.alias("marks"), rule.alias("rule"))
+
+    def counted(x: Column) -> Column:
+        n = F.size(words_of(x["line"]))
+        return F.struct(
+            x["line"].alias("line"), x["used"].alias("used"), x["rule"].alias("rule"),
+            F.when(x["rule"].isNull(), F.lit(0)).otherwise(n).alias("n"), x["marks"].alias("marks"),
         )
-        return F.struct(line.alias("line"), n.alias("n"), rule.alias("rule"))
 
-    return F.transform(lines, judge)
+    return F.transform(F.transform(F.transform(lines, measured), judged), counted)
 
 
 def quality(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -102,19 +143,20 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumns({"__words": words_of(text), "__lines": line_verdicts(F.split(body, "\n", -1))})
     n = F.size("__words")
-    df = df.withColumn("__grams", F.when(n >= 4, trigram_repeats(F.col("__words"))))
-    with_word = F.filter("__lines", lambda x: x["n"] > 0)
+    df = df.withColumn("__mask", window_mask(F.col("__words")))
+    df = df.withColumn("__keys", F.when(n >= 4, window_keys(F.col("__words"), F.col("__mask"))))
+    with_word = F.filter("__lines", lambda x: x["used"])
     kept_lines = F.filter("__lines", lambda x: x["rule"].isNull())
     lost = F.aggregate(
         F.filter("__lines", lambda x: x["rule"].isNotNull()), F.lit(0).cast("long"), lambda a, x: a + x["n"]
     )
-    repeats = F.when(n >= 4, _repeated(F.col("__words"), F.col("__grams.keys"), F.col("__grams.base"))).otherwise(0)
+    repeats = F.when(n >= 4, repeated_words(F.col("__words"), F.col("__keys"), F.col("__mask"))).otherwise(0)
     df = add_columns(
         df,
         {
             "n_words": n.cast("long"),
-            "word_chars": F.length(F.regexp_replace(body, SPACE, "")).cast("long"),
-            "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
+            "n_symbols": F.aggregate("__lines", F.lit(0).cast("long"), lambda a, x: a + x["marks"]),
             "n_dup_lines": (
                 F.size(with_word) - F.size(F.array_distinct(F.transform(with_word, lambda x: x["line"])))
             ).cast("long"),
@@ -134,4 +176,4 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     df = add_columns(df, {"base_failed": failed})
     kept = ~F.col("base_failed") & (F.col("lost_words") <= MAX_LOST * F.col("n_words"))
-    return add_columns(df, {"kept": kept}).drop("__words", "__lines", "__grams")
+    return add_columns(df, {"kept": kept}).drop("__words", "__lines", "__mask", "__keys")

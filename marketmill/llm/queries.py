@@ -109,9 +109,9 @@ v AS (
     CASE WHEN n = 0 THEN false
          WHEN regexp_matches(line, '{nav}') THEN true
          WHEN marks >= 2 AND 2 * marks >= n THEN true
-         WHEN n >= 4 AND upper(line) = line AND lower(line) <> line THEN true
-         WHEN n < 20 AND regexp_matches(line, '{boiler}') THEN true
-         WHEN n < {fragment} AND NOT regexp_matches(line, '{terminal}') THEN true
+         WHEN n >= 4 AND NOT regexp_matches(line, '\p{Ll}') AND regexp_matches(line, '\p{Lu}') THEN true
+         WHEN length(line) <= 200 AND ({boiler}) THEN true
+         WHEN length(line) <= 60 AND n < {fragment} AND NOT regexp_matches(line, '{terminal}') THEN true
          ELSE false END AS bad
   FROM l),
 s AS (
@@ -134,7 +134,7 @@ def _sql_text(pattern: str) -> str:
 
 QUALITY_SQL = (
     QUALITY_SQL.replace("{nav}", _sql_text(quality.NAVIGATION))
-    .replace("{boiler}", _sql_text(quality.BOILERPLATE))
+    .replace("{boiler}", " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE))
     .replace("{terminal}", _sql_text(quality.TERMINAL))
     .replace("{fragment}", str(quality.FRAGMENT_WORDS))
     .replace("{lost}", str(quality.MAX_LOST))
