@@ -40,7 +40,7 @@ TEMPLATES = {
         "compliance with the license",
     ],
     "cc-by-nc": [
-        "<<licensed|released>> under <<a|the>> <<creative commons>> cc by nc <<[[1]] 0>>",
+        "<<licensed under|released under>> <<a|the>> <<creative commons>> cc by nc <<[[1]] 0>>",
         "creative commons attribution <<noncommercial|non commercial>> noncommercial [[2]] license",
     ],
     "gpl-3": [

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm import chat, mixing, quality, secrets
+from marketmill.llm import bpe, chat, licenses, mixing, quality, records, secrets
 from marketmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,16 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+#: Vocabularies of the contracts.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op1_license_templates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("license_spans")
+
+
 CHAT_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, role, text, CAST(floor(turn / 256) AS BIGINT) AS block,
@@ -87,6 +99,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_binary_records")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token ids of all documents as record files, and reads them back."""
+    manifest = records.write_records(table(spark, sf_dir, "documents"), TOKENIZER)
+    out = records.read_records(manifest)
+    return out.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def _round_trip(enc, ids):
+    raw = ids.astype("<u4").tobytes()
+    return len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(bpe.decode(enc, ids)).hexdigest()
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(
+        table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN,
+        digest=_round_trip, schema="n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
+
+
 QUALITY_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
