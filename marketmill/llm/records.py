@@ -13,6 +13,7 @@ the manifest, so that a task run twice does no harm.
 from __future__ import annotations
 
 import functools
+import os
 import re
 import struct
 import uuid
@@ -35,9 +36,10 @@ INDEX = struct.Struct("<QQQ")
 #: Bytes of ids after which a task begins its next file.
 FILE_BYTES = 64 << 20
 #: Different pieces of text whose ids a worker remembers, and the longest of them.
-CACHE_PIECES, CACHE_CHARS = 300_000, 40
+CACHE_PIECES, CACHE_CHARS = 400_000, 40
 
-_GLUED = re.compile(r"\s[ \n]|\0")
+#: Where the quick cut would not be at a safe boundary.
+_GLUED = re.compile(r"\s[ \n]|[\W_][.,]|\0")
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 
 
@@ -60,41 +62,51 @@ def open_store(path: str) -> tuple[fs.FileSystem, str]:
 class Encoder:
     """The tokenizer over pieces of text, remembering the ids of short ones.
 
-    A text is cut before every blank or line end that follows visible text; the
-    byte-level split always ends a token there, so that pieces are independent.
-    Memory is bounded: when the store is full it begins anew.
+    A text is cut before every blank or line end that follows visible text, and before
+    a full stop or comma that follows a letter or digit; the byte-level split always ends a
+    token there, so that pieces are independent. Two generations of pieces are
+    kept, each of bounded size; what is used again moves to the younger one.
     """
 
     def __init__(self, path: str, dtype: str):
+        # Spark runs a task per core already; more threads would only spin
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.dtype, self.known = dtype, {}
+        self.dtype, self.young, self.old = dtype, {}, {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = []
+    def _ids(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 512):
-            found = self.tok.encode_batch_fast(texts[i : i + 512], add_special_tokens=False)
-            out += [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in found]
-        return out
+            for e in self.tok.encode_batch_fast(texts[i : i + 512], add_special_tokens=False):
+                yield np.asarray(e.ids, dtype=self.dtype).tobytes()
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        if _GLUED.search(text):
+            return _SAFE.split(text)
+        for mark in " \n.,":
+            text = text.replace(mark, f"\0{mark}")
+        return text.split("\0")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for t in texts:
-            if _GLUED.search(t):
-                cut.append(_SAFE.split(t))
-            else:
-                cut.append(t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0"))
-        new = list({p for ps in cut for p in ps} - self.known.keys())
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = list({p for ps in cut for p in ps})
-        found = dict(zip(new, self._ids(new)))
-        self.known.update((p, b) for p, b in found.items() if len(p) <= CACHE_CHARS)
-        get = {**{p: b for p, b in found.items() if len(p) > CACHE_CHARS}}
-        known = self.known
-        return [b"".join([known[p] if p in known else get[p] for p in ps]) for ps in cut]
+        cut = [self.cut(t) for t in texts]
+        young, old, new = self.young, self.old, []
+        for p in set().union(*cut):
+            if p not in young:
+                if (ids := old.get(p)) is None:
+                    new.append(p)
+                else:
+                    young[p] = ids
+        young.update(zip(new, self._ids(new)))
+        out = [b"".join(map(young.__getitem__, ps)) for ps in cut]
+        for p in new:
+            if len(p) > CACHE_CHARS:
+                del young[p]
+        if len(young) > CACHE_PIECES:
+            self.old, self.young = young, {}
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -225,9 +237,11 @@ def _checked(data: bytes, offset: int) -> bytes:
     return payload
 
 
-def read_records(manifest: DataFrame, seed: int | None = None) -> DataFrame:
+def read_records(manifest: DataFrame, seed: int | None = None, with_ids: bool = True) -> DataFrame:
     """Rows (id, start, n_tokens, ids_crc32, ids) from the files; ``ids`` are little-endian uint32 bytes.
 
+    Without ``with_ids`` that column is null, and the ids stay in the worker that checks them.
+
     One task reads a file at a time (64 MB and a record at most). With a ``seed`` the files come in a random
     order and the records of each are read through its index in a random order, both fixed by the
     seed; without, in the order written. Damaged records raise.
@@ -271,7 +285,7 @@ def read_records(manifest: DataFrame, seed: int | None = None) -> DataFrame:
                     for i in turn[k : k + 256].tolist():
                         offset, before, tokens = index[i].tolist()
                         ids = np.frombuffer(_checked(data, offset), dtype=dtype).astype("<u4").tobytes()
-                        for c, v in zip(cols, (docs[i], base + before, tokens, zlib.crc32(ids), ids)):
+                        for c, v in zip(cols, (docs[i], base + before, tokens, zlib.crc32(ids), ids if with_ids else None)):
                             c.append(v)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, type=f.type) for c, f in zip(cols, target)], schema=target
