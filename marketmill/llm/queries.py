@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm import bpe, chat, licenses, mixing, quality, records, secrets
+from marketmill.llm import bpe, chat, licenses, mixing, quality, records, secrets, simhash
 from marketmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,3 +241,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", *map(count, secrets.STRONG), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secret_spans")).alias("spans")
     )
+
+
+@query("op10_simhash_groups")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    digits = F.lpad(F.lower(F.hex("fingerprint_bits")), 16, "0")
+    return out.select("doc_id", digits.alias("fingerprint"), "component_id")
