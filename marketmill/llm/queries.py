@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm import bpe, chat, licenses, mixing, quality, records, secrets, simhash
+from marketmill.llm import bpe, chat, licenses, mixing, passages, quality, records, secrets, simhash
 from marketmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,6 +243,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_chained_passages")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share a passage with others; spans as start:end in words, comma-joined."""
+    out = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.transform("passages", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return out.withColumn("passages", F.array_join(spans, ","))
+
+
 @query("op10_simhash_groups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
