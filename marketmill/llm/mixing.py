@@ -66,15 +66,14 @@ def mix(
     weights: Sequence[int] = (1, 2, 3),
     max_epochs: int = 3,
     seed: int = 7,
-    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per input row: id, size, source_size, target, copies, taken, and the columns of ``keep``.
+    """One row per input row: id, size, source_size, target, taken, copies, source and mix_key.
 
     ``copies`` is how often the mix holds the document (0 to ``max_epochs``; at most
     1 if it has no words) and ``taken`` its words times that. Null texts have
     size 0, null sources are a source of their own, rows that are equal are taken
-    alike, and an empty table gives no rows. Writes small intermediates
-    (no texts, but for ``keep``) to the shared folder when called.
+    alike, and an empty table gives no rows; other input columns are not used. ``mix_key`` is the shuffle key. Writes small intermediates
+    without texts to the shared folder when called.
     """
     size = F.size(words_of(text)).cast("long")
     sizes = docs.select(
@@ -82,10 +81,8 @@ def mix(
         F.col(source).alias("__source"),
         size.alias("__size"),
         shuffle_key(doc_id, text, seed).alias("__key"),
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("__keep") if keep else F.lit(None).cast("int").alias("__keep"),
     )
-    sizes = materialize(sizes.withColumn("__bucket", F.substring("__key", 1, 3)), "mix-sizes")
-    lean = sizes.drop("__keep")
+    lean = sizes = materialize(sizes.withColumn("__bucket", F.substring("__key", 1, 3)), "mix-sizes")
     targets = materialize(source_targets(lean, weights, max_epochs), "mix-targets")
     # sums of each source's buckets give what lies before a bucket: 4,096 rows per source at most
     sums = lean.groupBy("__source", "__bucket").agg(F.sum("__size").alias("__sum"))
@@ -145,9 +142,24 @@ def mix(
     rows = rows.crossJoin(F.broadcast(cut))
     count = sum((taken(e) for e in range(max_epochs)), F.lit(0))
     count = F.when(F.col("__size") == 0, F.least(count, F.lit(1))).otherwise(count)
-    out = rows.select(
-        F.col("__id").alias(doc_id), F.col("__size").alias("size"), "source_size", "target", count.alias("copies"), "__keep"
+    return rows.select(
+        F.col("__id").alias(doc_id), F.col("__size").alias("size"), "source_size", "target",
+        (F.col("__size") * count).alias("taken"), count.alias("copies"),
+        F.col("__source").alias("source"), F.col("__key").alias("mix_key"),
     )
-    out = out.withColumn("taken", F.col("size") * F.col("copies"))
-    cols = [doc_id, "size", "source_size", "target", "taken", "copies"]
-    return out.select(*cols, *[F.col(f"__keep.`{c}`").alias(c) for c in keep if c not in cols])
+
+
+def mixed_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7, **options
+) -> DataFrame:
+    """The mix itself: every input row as often as ``mix`` takes it, with its columns. Rows equal in
+    source, shuffle key and size are taken alike, so these three lead back to the texts."""
+    lean = mix(docs, doc_id, text, source, seed=seed, **options)
+    lean = lean.groupBy(F.col("source").alias("__s"), F.col("mix_key").alias("__k"), F.col("size").alias("__n")).agg(
+        F.max("copies").alias("__copies")
+    )
+    lean = lean.filter(F.col("__copies") > 0)
+    rows = docs.withColumn("__key", shuffle_key(doc_id, text, seed)).withColumn("__words", F.size(words_of(text)).cast("long"))
+    same = (F.col("__key") == F.col("__k")) & (F.col("__words") == F.col("__n")) & rows[source].eqNullSafe(F.col("__s"))
+    rows = rows.join(lean, same)
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[rows[c] for c in docs.columns])

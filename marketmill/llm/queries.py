@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm import bpe, chat, licenses, mixing, passages, quality, records, secrets, simhash
+from marketmill.llm import ann, bpe, chat, licenses, mixing, passages, quality, records, secrets, simhash
 from marketmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,6 +243,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_nn_descent")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 @query("op8_chained_passages")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share a passage with others; spans as start:end in words, comma-joined."""
