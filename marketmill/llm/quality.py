@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketmill.llm.common import WORD, add_columns, words_of
+from marketmill.session import materialize
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -177,3 +178,15 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     df = add_columns(df, {"base_failed": failed})
     kept = ~F.col("base_failed") & (F.col("lost_words") <= MAX_LOST * F.col("n_words"))
     return add_columns(df, {"kept": kept}).drop("__words", "__lines", "__mask", "__keys")
+
+
+def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Documents that are kept, with their clean text in place of the text and the input columns alone.
+
+    The verdicts are written to the shared folder before the filter. Pushed below the projections it
+    would repeat their nested expressions, and every line would be judged twice.
+    """
+    marked = quality(docs, text).select(
+        F.col("kept").alias("__kept"), *[F.col("clean_text").alias(c) if c == text else docs[c] for c in docs.columns]
+    )
+    return materialize(marked, "quality").filter("__kept").drop("__kept")
