@@ -7,6 +7,7 @@ kept, and all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -19,32 +20,41 @@ from marketmill.session import materialize
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _recounted(docs: DataFrame, text) -> DataFrame:
-    """Replace the text, and its length with it."""
-    out = docs.withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+#: Columns that the stages use; all others travel apart, so that their names cannot clash.
+USED = ("doc_id", "text", "source", "n_chars")
+
+
+def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stage on the used columns; the others come back as they were, in the old order."""
+    used = [c for c in docs.columns if c in USED]
+    rest = [c for c in docs.columns if c not in USED]
+    out = stage(docs.select(*used, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest")) if rest else docs)
+    return out.select(*[F.col(c) if c in used else F.col(f"__rest.`{c}`") for c in docs.columns])
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    """Set n_chars to the length of the new text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go, and so do documents that fail the base rules or lose too much text."""
-    kept = quality.quality(docs).filter("kept")
-    return _recounted(kept, F.col("clean_text")).select(*docs.columns)
+    return _apart(docs, lambda d: _recounted(quality.cleaned(d)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays, that with the smallest id."""
-    return simhash.first_of_each(simhash.near_duplicates(docs)).select(*docs.columns)
+    return _apart(docs, lambda d: simhash.first_of_each(simhash.near_duplicates(d)))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; the spans found are replaced in their texts."""
-    clean = secrets.redact(secrets.scan(docs))
-    return _recounted(clean, F.col("text")).select(*docs.columns)
+    return _apart(docs, lambda d: _recounted(secrets.redact(secrets.scan(d))))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once, or up to three times."""
-    return mixing.mixed_documents(docs).select(*docs.columns)
+    return _apart(docs, mixing.mixed_documents)
 
 
 def _encoded(enc, ids):
