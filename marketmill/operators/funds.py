@@ -86,12 +86,12 @@ def concentration(sectors: DataFrame, k: int = 3, threshold: float = 50.0) -> Da
 
 
 def look_through(
-    allocations: DataFrame, weights: DataFrame, by: str, top_n: int | None = 3, k: int = 5
+    allocations: DataFrame, weights: DataFrame, by: str, top_n: int | None = None, k: int = 5
 ) -> DataFrame:
     """Exposure of a portfolio of funds per sector or country, the ``k`` largest.
 
-    ``allocations`` has (portfolio, symbol, allocation). Only the ``top_n``
-    heaviest rows of every fund are added up; None adds all of them.
+    ``allocations`` has (portfolio, symbol, allocation). All rows of a
+    fund are added up, or with ``top_n`` its heaviest ones.
     """
     if top_n is not None:
         weights = top_n_per_key(weights, ["symbol"], [F.desc("weightPercentage"), F.asc(by)], top_n)

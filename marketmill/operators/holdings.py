@@ -8,6 +8,7 @@ aggregation: no self join, and sold-out positions appear by themselves.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,11 +20,14 @@ from marketmill.session import materialize
 
 
 def _in_quarter(df: DataFrame, year: int | None, quarter: int | None) -> DataFrame:
+    """Rows of a year, of a quarter of it, or of a quarter of any year; a year becomes a range, which reaches the scan."""
     if year is not None:
-        df = df.filter(F.year("date") == year)
-    if quarter is not None:
-        df = df.filter(F.quarter("date") == quarter)
-    return df
+        first, last = (dt.date(year, 1, 1), dt.date(year, 12, 31))
+        if quarter is not None:
+            first = dt.date(year, 3 * quarter - 2, 1)
+            last = dt.date(year + quarter // 4, 3 * quarter % 12 + 1, 1) - dt.timedelta(1)
+        return df.filter(F.col("date").between(first, last))
+    return df if quarter is None else df.filter(F.quarter("date") == quarter)
 
 
 def _paged(df: DataFrame, order: Sequence[Column], page: int | None, limit: int | None) -> DataFrame:
@@ -107,7 +111,7 @@ def holder_analytics(
         *[F.max(F.when(now, F.col(m))).alias(f"now_{m}") for m in measures],
         *[F.max(F.when(~now, F.col(m))).alias(f"last_{m}") for m in measures],
     )
-    px = pos.groupBy("symbol", "date").agg((F.sum("value") / F.sum("shares")).alias("quarterEndPrice"))
+    px = pos.groupBy("symbol", "date").agg(F.try_divide(F.sum("value"), F.sum("shares")).alias("quarterEndPrice"))
     j = both.join(px, ["symbol", "date"], "left").join(outstanding, "symbol", "left")
 
     zero, none = F.lit(0), F.lit(0.0)

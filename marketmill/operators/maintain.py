@@ -88,7 +88,7 @@ def refresh_range(
     fetched = fetched.filter(F.col("__d").between(F.col("gap_lo"), F.col("gap_hi"))).select(*source.columns)
     replaced = source.join(unbounded, keys, "left_semi")
     kept = append_new(existing, fetched, date_col, keys)
-    stored = without_keys(kept, unbounded, keys).unionByName(replaced, allowMissingColumns=True)
+    stored = without_keys(kept, replaced.select(*keys).distinct(), keys).unionByName(replaced, allowMissingColumns=True)
 
     day = _date(stored, date_col)
     answer = stored.withColumn("__d", day).join(ranged.select(*keys, "lo", "hi"), keys)

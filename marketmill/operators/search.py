@@ -45,14 +45,14 @@ _EQUALS = {
 
 
 def screen(
-    df: DataFrame, limit: int | None = 1000, include_all_share_classes: bool | None = None, **bounds: object
+    df: DataFrame, limit: int | None = None, include_all_share_classes: bool | None = None, **bounds: object
 ) -> DataFrame:
     """Stocks that satisfy every given bound, by market cap.
 
     Bounds are ``<name>_more_than`` and ``<name>_lower_than`` (both strict) for
     market_cap, beta, price, dividend and volume, and exact values for sector,
     industry, exchange, country and the three flags. What is not given does not
-    filter. Share classes are reduced to the largest per company only when
+    filter; without ``limit`` all rows come, in no order. Share classes are reduced to the largest per company only when
     ``include_all_share_classes`` is False.
     """
     for name, value in bounds.items():

@@ -218,6 +218,6 @@ def dcf_sweep(base: DataFrame, grid: DataFrame, **given: float) -> DataFrame:
     _check({c: 0.0 for c in grid.columns})
     if "beta" in grid.columns:
         base = base.drop("beta")
-    runs = dcf_custom(base.withColumn("baseDate", F.col("date")).crossJoin(F.broadcast(grid)), **given)
+    runs = dcf_custom(base.withColumn("baseDate", F.col("date")).crossJoin(grid), **given)
     first = runs.filter(F.col("year") == (F.year("baseDate") + 1).cast("string"))
     return first.select("symbol", *grid.columns, "wacc", "enterpriseValue", "equityValue", "equityValuePerShare")

@@ -107,8 +107,7 @@ def _look(by: str) -> None:
     @query(
         f"L8_look_through_{by}",
         f"""SELECT portfolio, {by}, exposure FROM (
-  SELECT portfolio, {by}, sum(allocation * "weightPercentage") AS exposure FROM allocations JOIN (
-    SELECT * FROM fund_{by} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "weightPercentage" DESC, {by}) <= 3) USING (symbol) GROUP BY 1, 2)
+  SELECT portfolio, {by}, sum(allocation * "weightPercentage") AS exposure FROM allocations JOIN fund_{by} USING (symbol) GROUP BY 1, 2)
 QUALIFY row_number() OVER (PARTITION BY portfolio ORDER BY exposure DESC, {by}) <= 5""",
         r6="exposure",
     )

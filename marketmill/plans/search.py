@@ -42,7 +42,7 @@ def screenable(spark, sf):
 @query(
     "C3_screen",
     """SELECT * FROM screenable WHERE "marketCap" > 5e9 AND "marketCap" < 4e10 AND price > 950 AND volume < 45000000
-  AND sector = 'ECONOMY' AND NOT "isEtf" AND "isActivelyTrading" ORDER BY "marketCap" DESC, symbol LIMIT 1000""",
+  AND sector = 'ECONOMY' AND NOT "isEtf" AND "isActivelyTrading" """,
 )
 def c3(spark, sf):
     return C.screen(
@@ -54,7 +54,7 @@ def c3(spark, sf):
 @query(
     "C3_screen_one_class",
     """SELECT * FROM (SELECT * FROM screenable WHERE price > 950
-  QUALIFY row_number() OVER (PARTITION BY "companyName" ORDER BY "marketCap" DESC, symbol) = 1) ORDER BY "marketCap" DESC, symbol LIMIT 1000""",
+  QUALIFY row_number() OVER (PARTITION BY "companyName" ORDER BY "marketCap" DESC, symbol) = 1)""",
 )
 def c3o(spark, sf):
     return C.screen(screenable(spark, sf), include_all_share_classes=False, price_more_than=950)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,12 +27,15 @@ def build_session(app: str = "marketmill", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only where that is unset (local tests) a temporary folder is made and set.
+    Where neither is set a local session makes a temporary folder; on a cluster that would be
+    a folder of one machine, so it raises.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="marketmill-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
