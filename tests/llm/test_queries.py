@@ -1,0 +1,77 @@
+"""Registered queries against their SQL, the pipeline, and odd rows for the native operators."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from marketmill.llm import chat, mixing, queries, quality, secrets
+from oracle import compare, connect
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, __SIZE int"
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_query(spark, sf_dir, name):
+    assert compare(spark, connect(sf_dir), name, queries.QUERIES[name], queries.ORACLES[name], sf_dir) is None
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    good = " ".join(f"word{i} and more." for i in range(40))
+    data = [(1, good), (1, good), (None, good), (2, None), (3, ""), (None, None), (4, good + '\ntoken = "abcdef123456"'),
+            (5, "a | b | c | d\n" * 30), (6, "long " + " ".join(f"w{i}" for i in range(30000)) + ".")]
+    rows = [(i, t, "en", s, len(t or ""), "yes", 1) for (i, t), s in zip(data, ["a", "a", None, "b", "a", None, "b", "a", "a"])]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_quality_of_odd_rows(odd):
+    got = [(r.doc_id, r.n_words, r.n_repeat_words, r.base_failed, r.kept) for r in quality.quality(odd).collect()]
+    assert len(got) == 9
+    assert [g for g in got if g[0] == 2] == [(2, 0, 0, True, False)]
+    assert {g[0]: g[4] for g in got if g[0]} == {1: True, 2: False, 3: False, 4: True, 5: False, 6: True}
+    assert quality.quality(odd.limit(0)).collect() == []
+
+
+def test_mix_of_odd_rows(odd):
+    got = mixing.mix(odd).collect()
+    assert len(got) == 9 and all(0 <= r.copies <= 3 and r.taken == r.copies * r.size for r in got)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(odd.repartition(5)).collect()))
+    assert mixing.mix(odd.limit(0)).collect() == []
+    rows = mixing.mixed_documents(odd)
+    assert rows.columns == odd.columns and rows.count() == sum(r.copies for r in got)
+
+
+def test_secrets_link_only_what_is_complementary(rows):
+    key, far = "Zk9" * 12, " filler" * 60
+    data = [(1, f"client_id=abc123 then {key}"), (2, f"only {key} here"), (3, f"client_id=abc123{far} {key}"), (4, f"{key} https://host.example/x"),
+            (5, 'password: "hunter22"'), (6, None), (7, ""), (7, ""), (None, 'secret = "ééé" token=tok'), (8, "é password=abcdefg")]
+    got = secrets.scan(rows(data, "doc_id long, text string")).collect()
+    kinds = {r.doc_id: [s.kind for s in r.secret_spans] for r in got}
+    assert len(got) == 10 and kinds[1] == ["ident", "opaque"] and kinds[2] == kinds[3] == [] and kinds[4] == ["opaque", "endpoint"]
+    assert kinds[5] == ["assign"] and kinds[6] == kinds[7] == kinds[None] == []
+    clean = {r.doc_id: r.text for r in secrets.redact(secrets.scan(rows(data, "doc_id long, text string"))).collect()}
+    assert clean[8] == "é [SECRET]" and clean[6] is None and clean[2] == data[1][1] and clean[1] == "[SECRET] then [SECRET]"
+
+
+def test_chat_parts_and_nulls(rows):
+    data = [(1, i, "user" if i % 2 else "bot", f"t{i}") for i in range(10)] + [(2, None, None, None), (2, None, "system", "s"), (None, 0, "user", "x"), (3, 0, "system", "s")]
+    got = chat.rotate(rows(data, "conv_id long, turn long, role string, text string"), part_turns=4).collect()
+    own = [r for r in got if r.conv_id == 1]
+    assert sum(r.n_turns for r in own) == 20 and len(own) == 6 and not any(r.conv_id == 3 for r in got)
+    for r in own:
+        spoken = [r.rendered[m.start : m.end] for m in r.masks]
+        assert spoken == [f"t{i}<|im_end|>\n" for i in range(10) if i // 4 == r.block and ("user" if i % 2 else "bot") == r.speaker]
+
+
+def test_pipeline_stages(spark, sf_dir, odd):
+    docs = odd
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf_dir)
+        assert after.columns == odd.columns
+        docs = spark.createDataFrame(after.collect(), odd.schema)
+    assert {r.doc_id for r in docs.collect()} <= {1, 4, 6}
+    assert not docs.filter(F.col("text").contains("abcdef123456")).count()
+    none = odd.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, sf_dir).collect() == []
+    assert corpus_pipeline.run(spark, sf_dir).filter("n_tokens > 0").count() > 0
