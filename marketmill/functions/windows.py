@@ -9,6 +9,8 @@ length per key is bounded by the calendar.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def top_n_per_key(
     """
     rn = rank_col or "__rn"
     if n > MAP_SIDE_RANK_LIMIT:
-        salted = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+        salted = df.withColumn("__slice", F.pmod(F.xxhash64(*hashable(df)), F.lit(64)))
         # spread the slices even where the input is already clustered by key
         salted = salted.repartition(*keys, "__slice")
         inner = Window.partitionBy(*keys, "__slice").orderBy(*order)
@@ -39,6 +41,20 @@ def top_n_per_key(
     return out if rank_col else out.drop(rn)
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that Spark can hash; maps and variants are left out."""
+    return [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on equal names under which null keys meet null keys; the left keys are kept."""
+    other = {k: f"__right_{k}" for k in keys}
+    out = left.join(
+        right.withColumnsRenamed(other), reduce(and_, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()]), how
+    )
+    return out.drop(*other.values())
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of every key under a total order."""
     return top_n_per_key(df, keys, order, 1)
@@ -92,7 +108,7 @@ def previous_value(
     rows = df.withColumns({"__in": F.lag(value).over(inner), "__first": F.row_number().over(inner) == 1})
     last = df.groupBy(*keys, day).agg(F.max_by(value, tie).alias("__last"))
     carry = last.select(*keys, day, F.lag("__last").over(Window.partitionBy(*keys).orderBy(day)).alias("__carry"))
-    joined = rows.join(carry, [*keys, day])
+    joined = join_on(rows, carry, [*keys, day])
     return joined.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__in"))).select(
         *df.columns, out
     )
@@ -110,7 +126,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, bucke
         F.sum("__n").alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
     )
     place = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * buckets
-    placed = counts.join(span, keys).withColumn(
+    placed = join_on(counts, span, keys).withColumn(
         "__b", F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(buckets - 1))
     )
     low, high = F.floor((F.col("__total") - 1) / 2), F.floor(F.col("__total") / 2)
@@ -119,7 +135,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, bucke
     hist = hist.withColumn("__end", F.sum("__m").over(along))
     start = F.col("__end") - F.col("__m")
     middle = hist.filter((start <= high) & (F.col("__end") > low)).select(*keys, "__b", start.alias("__before"))
-    inside = placed.join(middle, [*keys, "__b"])
+    inside = join_on(placed, middle, [*keys, "__b"])
     within = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("__upto", F.col("__before") + F.sum("__n").over(within))
 
@@ -187,6 +203,6 @@ def share_of_total(
         return df.withColumn(out, share)
     totals = df.groupBy(*keys).agg(F.sum(value).alias("__total")) if keys else df.agg(F.sum(value).alias("__total"))
     # a global total is a single row
-    joined = df.join(totals, list(keys)) if keys else df.crossJoin(F.broadcast(totals))
+    joined = join_on(df, totals, keys) if keys else df.crossJoin(F.broadcast(totals))
     share = F.try_divide(F.col(value).cast("double"), F.col("__total").cast("double")) * scale
     return joined.withColumn(out, share).drop("__total")

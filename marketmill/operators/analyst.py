@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.scalars import ratio
-from marketmill.functions.windows import exact_median, first_per_key, page as take_page, previous_value, top_n_per_key
+from marketmill.functions.windows import (
+    exact_median, first_per_key, join_on, page as take_page, previous_value, top_n_per_key,
+)
 
 #: Grades from the strongest to the weakest.
 GRADES = ("strongBuy", "buy", "hold", "sell", "strongSell")
@@ -84,7 +86,7 @@ def target_consensus(targets: DataFrame) -> DataFrame:
         F.min("priceTarget").alias("targetLow"),
         F.avg("priceTarget").alias("targetConsensus"),
     )
-    return ends.join(exact_median(targets, ["symbol"], "priceTarget", "targetMedian"), "symbol", "left")
+    return join_on(ends, exact_median(targets, ["symbol"], "priceTarget", "targetMedian"), ["symbol"], "left")
 
 
 def symbol_news(

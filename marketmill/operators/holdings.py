@@ -202,7 +202,10 @@ def holder_performance(
         }
     )
     per = per.withColumn("changeInPerformance", F.col("performance") - F.col("lastPerformance"))
-    growth = F.log1p(F.coalesce(F.col("performancePercentage"), F.lit(0.0)) / 100)
+    quarterly = F.coalesce(F.col("performancePercentage"), F.lit(0.0))
+    # a total loss has no logarithm; it makes the product zero
+    lost = quarterly <= -100
+    growth = F.when(lost, F.lit(0.0)).otherwise(F.log1p(quarterly / 100))
     spans = {"1year": 4, "3year": 12, "5year": 20, "SinceInception": None}
     for label, quarters in spans.items():
         frame = w.rowsBetween(Window.unboundedPreceding if quarters is None else 1 - quarters, 0)
@@ -210,7 +213,7 @@ def holder_performance(
         per = per.withColumns(
             {
                 f"performance{label}": F.sum("performance").over(frame),
-                pct_name: F.expm1(F.sum(growth).over(frame)) * 100,
+                pct_name: F.when(F.max(lost).over(frame), F.lit(-100.0)).otherwise(F.expm1(F.sum(growth).over(frame)) * 100),
             }
         )
     if benchmark is not None:

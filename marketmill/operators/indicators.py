@@ -5,7 +5,7 @@ Frame-shaped ones are window functions. Recursive ones (EMA family, RSI, ADX)
 stream over the sorted partition in Arrow batches and carry only the smoothing
 state from batch to batch, so memory does not grow with the series.
 
-Values are null until an indicator has seen a full window. Date bounds are
+Values are null until an indicator has seen a full window; recursive ones pass over bars without prices. Date bounds are
 applied after computing, so that the warm-up may use earlier bars.
 """
 
@@ -151,8 +151,14 @@ def _stream(specs: Sequence[tuple[str, str, int]]):
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if symbol[a] != current:
                     current, engines = symbol[a], [_engine(name, n, kernels) for _, name, n in specs]
-                for out, engine in zip(results, engines):
-                    out[a:b] = engine.feed(high[a:b], low[a:b], close[a:b])
+                bar = np.stack((high[a:b], low[a:b], close[a:b]))
+                priced, full = ~np.isnan(bar[2]), ~np.isnan(bar).any(axis=0)
+                for out, engine, (_, name, _) in zip(results, engines, specs):
+                    # a bar without the prices that are needed gives null and leaves the state as it is
+                    known = np.flatnonzero(full if name == "adx" else priced)
+                    out[a:b] = np.nan
+                    if len(known):
+                        out[a + known] = engine.feed(*bar[:, known])
             columns = [*batch.columns, *(pa.array(r, from_pandas=True) for r in results)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *(c for c, _, _ in specs)])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.scalars import lead_date, month_key
-from marketmill.functions.windows import first_per_key, top_n_per_key
+from marketmill.functions.windows import first_per_key, join_on, top_n_per_key
 from marketmill.sources.datasets import append_new, coverage, null_safe, without_keys
 
 
@@ -36,7 +36,7 @@ def date_gaps(requests: DataFrame, coverage: DataFrame, keys: Sequence[str]) ->
     lo, hi, first, last = (F.col(c) for c in ("lo", "hi", "min_date", "max_date"))
     bad = F.raise_error(F.lit("range start after range end")).cast("date")
     req = requests.withColumn("lo", F.when(lo > hi, bad).otherwise(lo))
-    j = req.join(coverage.select(*keys, "min_date", "max_date"), list(keys), "left")
+    j = join_on(req, coverage.select(*keys, "min_date", "max_date"), keys, "left")
 
     def span(a: Column, b: Column) -> Column:
         return F.struct(a.alias("gap_lo"), b.alias("gap_hi"))
@@ -84,16 +84,16 @@ def refresh_range(
     src_day = _date(source, date_col)
     gaps = date_gaps(ranged, coverage(existing, keys, date_col), keys)
     spans = gaps.select(*keys, "gap_lo", "gap_hi")
-    fetched = source.withColumn("__d", src_day).join(spans, keys)
+    fetched = join_on(source.withColumn("__d", src_day), spans, keys)
     fetched = fetched.filter(F.col("__d").between(F.col("gap_lo"), F.col("gap_hi"))).select(*source.columns)
-    replaced = source.join(unbounded, keys, "left_semi")
+    replaced = join_on(source, unbounded, keys, "left_semi")
     kept = append_new(existing, fetched, date_col, keys)
     stored = without_keys(kept, replaced.select(*keys).distinct(), keys).unionByName(replaced, allowMissingColumns=True)
 
     day = _date(stored, date_col)
-    answer = stored.withColumn("__d", day).join(ranged.select(*keys, "lo", "hi"), keys)
+    answer = join_on(stored.withColumn("__d", day), ranged.select(*keys, "lo", "hi"), keys)
     answer = answer.filter(F.col("__d").isNull() | F.col("__d").between(lo, hi)).select(*stored.columns)
-    direct = source.withColumn("__d", src_day).join(upto, keys).filter(F.col("__d").isNull() | (F.col("__d") <= hi))
+    direct = join_on(source.withColumn("__d", src_day), upto, keys).filter(F.col("__d").isNull() | (F.col("__d") <= hi))
     answer = answer.unionByName(replaced, allowMissingColumns=True)
     return stored, answer.unionByName(direct.select(*source.columns), allowMissingColumns=True)
 
@@ -121,7 +121,7 @@ def upsert_periods(
 
 def stale_keys(keys_df: DataFrame, coverage: DataFrame, keys: Sequence[str], as_of: str, staleness_days: int) -> DataFrame:
     """Keys to fetch again: never stored, or last updated more than the given days ago."""
-    j = keys_df.select(*keys).distinct().join(coverage.select(*keys, "last_updated"), list(keys), "left")
+    j = join_on(keys_df.select(*keys).distinct(), coverage.select(*keys, "last_updated"), keys, "left")
     age = F.datediff(_day(as_of), F.col("last_updated"))
     stale = F.col("last_updated").isNull() | (age > staleness_days) | F.lit(staleness_days < 0)
     return j.filter(stale).select(*keys, "last_updated")
@@ -136,24 +136,35 @@ def new_since(
     checkpoint: str | None,
     date_col: str,
     page_size: int = 100,
-    max_pages: int = 200,
+    max_pages: int | None = None,
 ) -> DataFrame:
-    """Feed rows down to and including the page that reaches the checkpoint.
+    """Feed rows with their ``page``, down to and including the page that reaches the checkpoint.
 
-    The walk never goes beyond ``max_pages``, so only that many pages are
-    sorted out; the ranking below sees at most max_pages * page_size rows.
+    ``order`` is total and puts newer days first and undated rows last. A row's number is the count of
+    rows of newer days plus its place within its day, so no task orders more than one day; of days at or before
+    the checkpoint at most one page is ranked. Only ``max_pages`` ends the walk earlier.
     """
-    head = feed.orderBy(*order).limit(page_size * max_pages)
-    pos = F.row_number().over(Window.orderBy(*order)) - 1
-    paged = head.withColumn("page", F.floor(pos / page_size).cast("int"))
-    if checkpoint is None:
-        return paged
-    oldest = F.min(_date(feed, date_col)).over(Window.partitionBy("page"))
-    reached = paged.withColumn("__hit", F.when(oldest <= _day(checkpoint), F.col("page")))
-    last = F.min("__hit").over(Window.partitionBy())
-    return reached.withColumn("__last", last).filter(
-        F.col("__last").isNull() | (F.col("page") <= F.col("__last"))
-    ).drop("__hit", "__last")
+    dated = feed.withColumn("__d", _date(feed, date_col))
+    days = dated.groupBy(F.col("__d").alias("__day")).agg(F.count("*").alias("__n"))
+    newer = Window.orderBy(F.desc_nulls_last("__day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("__before", F.coalesce(F.sum("__n").over(newer), F.lit(0)))
+    old = F.lit(False) if checkpoint is None else F.coalesce(F.col("__day") <= _day(checkpoint), F.lit(False))
+    days = days.withColumn("__hit", F.min(F.when(old, F.col("__before"))).over(Window.partitionBy()))
+    # the first row at or before the checkpoint stands right behind the newer ones; null: none, so all pages
+    end = (F.floor(F.col("__hit") / page_size) + 1) * page_size
+    if max_pages is not None:
+        end = F.least(end, F.lit(page_size * max_pages))
+    days = days.select(
+        "__day", "__before", end.alias("__end"), (old | (F.col("__day").isNull() & F.col("__hit").isNotNull())).alias("__cut")
+    )
+    days = days.filter(F.col("__end").isNull() | (F.col("__before") < F.col("__end")))
+    rows = dated.join(days, F.col("__d").eqNullSafe(F.col("__day")))
+    within = F.row_number().over(Window.partitionBy("__d").orderBy(*order))
+    whole = rows.filter(~F.col("__cut")).withColumn("__rank", within)
+    cut = top_n_per_key(rows.filter("__cut"), ["__d"], order, page_size, "__rank")
+    pos = F.col("__before") + F.col("__rank") - 1
+    out = whole.unionByName(cut).filter(F.col("__end").isNull() | (pos < F.col("__end")))
+    return out.select(*feed.columns, F.floor(pos / page_size).cast("int").alias("page"))
 
 
 def new_since_per_key(
@@ -165,19 +176,18 @@ def new_since_per_key(
     run_date: str,
     floor_days: int = 3 * 365,
     page_size: int = 100,
-    max_pages: int = 1000,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """The walk of :func:`new_since` for every key, with a backfill floor.
 
     A key's walk stops at the later of its checkpoint and the floor. ``order``
     has to put undated rows last; a page without any date is kept and ends the
-    walk. ``checkpoints`` has (keys, checkpoint).
+    walk. ``checkpoints`` has (keys, checkpoint). Only ``max_pages`` ends a walk earlier.
     """
     keys = list(keys)
-    cap = page_size * max_pages
     stop = F.greatest(F.col("checkpoint"), F.date_sub(_day(run_date), floor_days))
     dated = feed.withColumn("__d", _date(feed, date_col))
-    dated = dated.join(checkpoints.select(*keys, "checkpoint"), keys, "left").withColumn("__stop", stop)
+    dated = join_on(dated, checkpoints.select(*keys, "checkpoint"), keys, "left").withColumn("__stop", stop)
     is_newer = F.coalesce(F.col("__d") > F.col("__stop"), F.lit(False))
     dated = dated.withColumn("__newer", is_newer).drop("checkpoint")
     per = dated.groupBy(*keys).agg(
@@ -185,15 +195,15 @@ def new_since_per_key(
     )
     n = F.col("__n")
     pages = F.when(F.col("__older") > 0, F.floor(n / page_size) + 1).otherwise(F.floor((n - 1) / page_size) + 2)
-    per = per.select(*keys, "__n", F.least(pages * page_size, F.lit(cap)).alias("__keep"))
-    # all newer rows belong to the walk unless a key has more than max_pages of them;
-    # of the rest at most two pages per key do
-    newer = dated.filter("__newer").join(per, keys)
-    within = newer.filter(n <= cap).select(*feed.columns)
-    beyond = top_n_per_key(newer.filter(n > cap).select(*feed.columns), keys, order, cap)
+    keep = pages * page_size if max_pages is None else F.least(pages, F.lit(max_pages)) * page_size
+    per = per.select(*keys, "__n", keep.alias("__keep"))
+    # all newer rows belong to the walk; of the rest at most two pages per key do
+    newer = dated.filter("__newer").select(*feed.columns)
+    if max_pages is not None:
+        newer = top_n_per_key(newer, keys, order, page_size * max_pages)
     rest = top_n_per_key(dated.filter(~F.col("__newer")).select(*feed.columns), keys, order, 2 * page_size, "__rn")
-    rest = rest.join(per, keys).filter(F.col("__rn") <= F.col("__keep") - n).select(*feed.columns)
-    return within.unionByName(beyond).unionByName(rest)
+    rest = join_on(rest, per, keys).filter(F.col("__rn") <= F.col("__keep") - n).select(*feed.columns)
+    return newer.unionByName(rest)
 
 
 def merge_feed(existing: DataFrame, fresh: DataFrame, key_cols: Sequence[str], order: Sequence[Column]) -> DataFrame:

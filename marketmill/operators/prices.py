@@ -27,6 +27,8 @@ TIMEFRAMES = {
 
 
 def _ohlcv(order: Column) -> list[Column]:
+    # ticks without a price are neither the first nor the last
+    order = F.when(F.col("price").isNotNull(), order)
     return [
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
@@ -39,7 +41,7 @@ def _ohlcv(order: Column) -> list[Column]:
 def bars_eod(ticks: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Full daily bars with change, change percent and typical-price vwap.
 
-    Open and close are the first and last tick by (ts, id).
+    Open and close are the first and last priced tick by (ts, id).
     """
     bars = ticks.groupBy(*keys, F.to_date("ts").alias("date")).agg(*_ohlcv(time_order("ts", "id")))
     change = F.col("close") - F.col("open")

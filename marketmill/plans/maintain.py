@@ -167,7 +167,7 @@ def b5e(spark, sf):
 @query(
     "B6_new_since",
     f"""WITH head AS (SELECT *, CAST((row_number() OVER (ORDER BY {INSIDER_ORDER_SQL}) - 1) // 100 AS INTEGER) AS page
-  FROM insider ORDER BY {INSIDER_ORDER_SQL} LIMIT 20000),
+  FROM insider),
 reached AS (SELECT min(page) AS p FROM (SELECT page FROM head GROUP BY page HAVING min("filingDate") <= DATE '2001-06-01'))
 SELECT head.* FROM head, reached WHERE p IS NULL OR page <= p""",
 )

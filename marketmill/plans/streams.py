@@ -48,11 +48,10 @@ def p2(spark, sf):
         "l_orderkey", "l_linenumber",
     )
     keys = ["symbol", "filingDate", "transactionType"]
-    unique = J.stream_dedup(feed, keys, "filingDate", "7 days", ["l_orderkey", "l_linenumber"]).select(*keys)
+    schema, order = feed.select(*keys).schema, [F.asc("l_orderkey"), F.asc("l_linenumber")]
     out = fresh_path(spark, "dedup")
-    J.start_append(unique, out, fresh_path(spark, "checkpoint")).awaitTermination()
-    df = spark.read.schema(unique.schema).parquet(out)
-    return df.withColumn("filingDate", F.col("filingDate").cast("timestamp_ntz"))
+    J.start_feed(feed, out, schema, keys, order, fresh_path(spark, "checkpoint"), 8).awaitTermination()
+    return read_dataset(spark, out, schema)
 
 
 @query(

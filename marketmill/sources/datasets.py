@@ -134,15 +134,18 @@ def read_range(
 
 
 def overwrite_keys(
-    spark: SparkSession, df: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 256
+    spark: SparkSession, df: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 256,
+    replaced: DataFrame | None = None,
 ) -> None:
     """Replace all rows of the keys found in ``df`` and leave other keys alone.
 
+    ``replaced`` names the keys instead where some of them have no rows any more.
+
     Only the buckets these keys fall into are read and rewritten. The new
     content is staged in the shared folder first, because a path cannot be
     overwritten while it is being read. ``buckets`` counts for a new table only.
     """
-    _replace(spark, df.select(*schema.fieldNames()), df, path, schema, keys, buckets)
+    _replace(spark, df.select(*schema.fieldNames()), df if replaced is None else replaced, path, schema, keys, buckets)
 
 
 def delete_keys(

@@ -17,16 +17,17 @@ def ingest_json(
 ) -> tuple[DataFrame, DataFrame]:
     """Split JSON bodies into data rows and error rows.
 
-    A blank body gives nothing. An object with ``Error Message`` is an error.
-    Arrays give one row per element. Fields outside ``schema`` are kept as text
+    A blank body gives nothing. An object with ``Error Message`` is an error, also where that is null.
+    Arrays give one row per element; one that does not parse is a single row. Fields outside ``schema`` are kept as text
     in ``extra``; a row that does not parse keeps nulls and its text in ``record``.
     """
     text = F.trim(F.col(body))
     live = raw.filter(text != "")
     message = F.get_json_object(text, "$['Error Message']")
-    errors = live.filter(message.isNotNull()).select(*carry, message.alias("error"))
-    items = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))
-    rows = live.filter(message.isNull()).select(*carry, F.posexplode(items).alias("pos", "record"))
+    failed = message.isNotNull() | F.coalesce(F.array_contains(F.json_object_keys(text), "Error Message"), F.lit(False))
+    errors = live.filter(failed).select(*carry, message.alias("error"))
+    items = F.when(text.startswith("["), F.coalesce(F.from_json(text, "array<string>"), F.array(text))).otherwise(F.array(text))
+    rows = live.filter(~failed).select(*carry, F.posexplode(items).alias("pos", "record"))
     parsed = rows.withColumns(
         {
             "__r": F.from_json("record", schema, {"mode": "PERMISSIVE"}),
@@ -36,13 +37,17 @@ def ingest_json(
     known = F.array(*[F.lit(f) for f in schema.fieldNames()])
     extra = F.map_filter("__all", lambda k, v: ~F.array_contains(known, k))
     data = parsed.select(
-        *carry, "pos", *[F.col(f"__r.{f}").alias(f) for f in schema.fieldNames()], extra.alias("extra"), "record"
+        *carry, "pos", *[F.col(f"__r.`{f}`").alias(f) for f in schema.fieldNames()], extra.alias("extra"), "record"
     )
     return data, errors
 
 
+def _path(name: str) -> str:
+    return f"$['{name}']"
+
+
 def _typed(v: Column, name: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+    return F.schema_of_variant(F.try_variant_get(v, _path(name), "variant"))
 
 
 def profile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFrame:
@@ -52,7 +57,7 @@ def profile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataF
     aggs = []
     for c in columns:
         kind = _typed(v, c)
-        number = F.try_variant_get(v, f"$.{c}", "decimal(38,0)")
+        number = F.try_variant_get(v, _path(c), "decimal(38,0)")
         whole = kind.startswith("BIGINT") | kind.rlike(r"^DECIMAL\(\d+,0\)")
         real = kind.startswith("DOUBLE") | (kind.startswith("DECIMAL") & ~whole)
         flags = F.struct(
@@ -66,7 +71,7 @@ def profile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataF
         )
         aggs.append(flags.alias(c))
     one = df.agg(*aggs)
-    return one.select(F.inline(F.array(*[F.col(c) for c in columns])))
+    return one.select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
 
 
 def reconcile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFrame:
@@ -79,7 +84,7 @@ def reconcile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> Dat
     The profile is one pass that brings one row per column to the driver.
     """
     flags = {r["column"]: r for r in profile_types(df, json_col, columns).collect()}
-    columns_kept = [x for x in df.columns if x != json_col]
+    columns_kept = [f"`{x}`" for x in df.columns if x != json_col]
     df = df.select(*columns_kept, F.try_parse_json(F.col(json_col)).alias("__v"))
     v = F.col("__v")
     out = {}
@@ -96,7 +101,7 @@ def reconcile_types(df: DataFrame, json_col: str, columns: Sequence[str]) -> Dat
             dtype = "bigint"
         else:
             dtype = "string"
-        value = F.try_variant_get(v, f"$.{c}", dtype)
+        value = F.try_variant_get(v, _path(c), dtype)
         if f["has_nested"]:
             value = F.when(_typed(v, c) != "OBJECT<>", value)
         out[c] = value

@@ -14,9 +14,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketmill.functions.scalars import time_order
-from marketmill.functions.windows import first_per_key
+from marketmill.functions.windows import first_per_key, hashable
 from marketmill.operators.prices import TIMEFRAMES
-from marketmill.sources.datasets import overwrite_keys, read_keys
+from marketmill.sources.datasets import overwrite_keys, read_keys, without_keys
+
+#: Take what is there now and stop. Pass e.g. ``{"processingTime": "1 minute"}`` for a stream that keeps running.
+ONCE = {"availableNow": True}
 
 
 def stream_bars(ticks: DataFrame, timeframe: str, lateness: str) -> DataFrame:
@@ -24,7 +27,7 @@ def stream_bars(ticks: DataFrame, timeframe: str, lateness: str) -> DataFrame:
 
     Use append mode: a bar comes out once, when the watermark has passed its end.
     """
-    order = time_order("ts", "id")
+    order = F.when(F.col("price").isNotNull(), time_order("ts", "id"))
     return (
         ticks.withColumn("ts", F.col("ts").cast("timestamp"))
         .withWatermark("ts", lateness)
@@ -48,23 +51,62 @@ def stream_dedup(
     Copies are first dropped within 16 hash slices of their key, so that a key
     with very many copies reaches its one task with 16 rows a batch at most. The
     slice comes from ``spread_by``, columns that differ between copies such as a
-    source offset (all columns by default); it is never random, so a lost task
-    can be run again.
+    source offset (all columns but maps by default); it is never random, so a lost task
+    can be run again. A row behind the watermark is dropped even if its key is new;
+    :func:`start_feed` loses none.
     """
     timed = feed.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, lateness)
-    sliced = timed.withColumn("__slice", F.pmod(F.xxhash64(*(spread_by or feed.columns)), F.lit(16)))
+    sliced = timed.withColumn("__slice", F.pmod(F.xxhash64(*(spread_by or hashable(feed))), F.lit(16)))
     first = sliced.dropDuplicatesWithinWatermark([*keys, "__slice"]).drop("__slice")
     return first.dropDuplicatesWithinWatermark(list(keys))
 
 
-def start_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Run a stream over what is available now into a Parquet table."""
+def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
+    """Run a stream into a Parquet table."""
     return (
         df.writeStream.format("parquet").outputMode("append").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
+def _each_batch(stream: DataFrame, work: Callable[[DataFrame], None], checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Run ``work`` on every batch, which is kept while it is read several times."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            work(batch)
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def start_feed(
+    feed: DataFrame,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    checkpoint: str,
+    buckets: int = 256,
+    trigger: dict = ONCE,
+) -> StreamingQuery:
+    """Keep the first row seen of every business key in a dataset table, however late it comes.
+
+    Within a batch ``order`` decides. A batch looks up its own keys only, and one that is run
+    again finds them stored, so a restart adds nothing twice.
+    """
+
+    def add(batch: DataFrame) -> None:
+        spark = batch.sparkSession
+        fresh = first_per_key(batch, keys, order).select(*schema.fieldNames())
+        new = without_keys(fresh, read_keys(spark, path, schema, fresh, keys), keys)
+        overwrite_keys(spark, new, path, schema, keys, buckets)
+
+    return _each_batch(feed, add, checkpoint, trigger)
+
+
 def start_snapshot(
     feed: DataFrame,
     path: str,
@@ -74,13 +116,14 @@ def start_snapshot(
     order: Sequence[Column],
     checkpoint: str,
     buckets: int = 256,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Keep one row per entity in a dataset table, the first under ``order`` of all seen.
 
     A batch that is run again picks the same winners, so a restart does no harm.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame) -> None:
         spark = batch.sparkSession
         live = batch.filter(F.col(payload).isNotNull())
         fresh = first_per_key(live, entity, order)
@@ -88,7 +131,7 @@ def start_snapshot(
         winners = first_per_key(fresh.unionByName(known.select(*fresh.columns)), entity, order)
         overwrite_keys(spark, winners, path, schema, entity, buckets)
 
-    return feed.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _each_batch(feed, merge, checkpoint, trigger)
 
 
 def start_changes(
@@ -100,17 +143,20 @@ def start_changes(
     view_keys: Sequence[str],
     checkpoint: str,
     buckets: int = 256,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Changefeed: rebuild the cells of a view that a batch of facts touches.
 
     ``base`` gives the facts landed so far for the dirty cells (subject,
     valid_from), with a pruned read where the facts table allows it; ``build``
-    makes view rows from facts.
+    makes view rows from facts. ``view_keys`` name the same two in the view; a cell
+    that has no value any more goes.
     """
 
-    def rebuild(batch: DataFrame, batch_id: int) -> None:
+    def rebuild(batch: DataFrame) -> None:
         spark = batch.sparkSession
         dirty = batch.select("subject", "valid_from").distinct()
-        overwrite_keys(spark, build(base(spark, dirty)), path, schema, view_keys, buckets)
+        cells = dirty.withColumnsRenamed(dict(zip(("subject", "valid_from"), view_keys)))
+        overwrite_keys(spark, build(base(spark, dirty)), path, schema, view_keys, buckets, cells)
 
-    return facts.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _each_batch(facts, rebuild, checkpoint, trigger)

@@ -232,3 +232,28 @@ def test_latest_runs(spark):
     runs = spark.createDataFrame([("a", 1, "OK"), ("a", 2, "PARTIAL"), ("b", 1, "OK")], "category string, started_at int, status string")
     out = B.latest_runs(runs, [F.desc("started_at")])
     assert sorted((r.category, r.status) for r in out.collect()) == [("a", "PARTIAL"), ("b", "OK")]
+
+
+def test_walks_have_no_cap(spark):
+    rows = spark.range(30_500).select(
+        F.when(F.col("id") % 50 == 0, "B").otherwise("A").alias("symbol"),
+        F.date_sub(F.lit("2024-06-01").cast("date"), (F.col("id") / 1000).cast("int")).alias("date"), F.col("id").alias("seq"),
+    )
+    order = [F.desc_nulls_last("date"), F.asc("seq")]
+    out = B.new_since(rows, order, "2024-05-02", "date")
+    # 30,000 rows are newer, and the page that reaches the checkpoint is taken whole
+    assert out.count() == 30_100 and out.agg(F.max("page")).first()[0] == 300
+    assert out.filter(F.col("page") != F.floor(F.col("seq") / 100)).count() == 0
+    cp = spark.createDataFrame([("A", D("2024-05-02"))], "symbol string, checkpoint date")
+    per = B.new_since_per_key(rows.filter("symbol = 'A'"), ["symbol"], order, cp, "date", "2024-06-01")
+    assert per.filter("date > date'2024-05-02'").count() == 29_400
+
+
+def test_null_keys_are_keys(spark):
+    req = spark.createDataFrame([(None, D("2024-01-01"), D("2024-01-09"))], "k string, lo date, hi date")
+    cov = spark.createDataFrame([(None, D("2024-01-01"), D("2024-01-05"))], "k string, min_date date, max_date date")
+    assert [(str(r.gap_lo), str(r.gap_hi)) for r in B.date_gaps(req, cov, ["k"]).collect()] == [("2024-01-06", "2024-01-09")]
+    f = spark.createDataFrame([(None, D("2024-01-05"), 1), (None, D("2024-01-01"), 2)], "symbol string, date date, seq int")
+    cp = spark.createDataFrame([(None, D("2024-01-03"))], "symbol string, checkpoint date")
+    out = B.new_since_per_key(f, ["symbol"], [F.asc("seq")], cp, "date", "2024-02-01", page_size=1)
+    assert sorted(r.seq for r in out.collect()) == [1, 2]

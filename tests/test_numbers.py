@@ -202,3 +202,30 @@ def test_summary_stats(spark):
     assert tuple(C.summary_stats(df, "a").first()) == (2, 1.0, 3.0, 2.0)
     assert tuple(C.summary_stats(df, "b").first()) == (3, None, None, None)
     assert tuple(C.summary_stats(df.limit(0), "a").first()) == (0, None, None, None)
+
+
+def test_null_close_does_not_end_a_series(spark):
+    from marketmill.operators import indicators as I
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(40)]
+    close = [100.0 + (i * 7) % 11 for i in range(40)]
+    schema = "symbol string, date date, high double, low double, close double"
+    specs = [(n, n, 3) for n in ("ema", "dema", "tema", "rsi", "adx")]
+    full = [("A", d, c + 1, c - 1, c) for d, c in zip(days, close)]
+    holed = full[:20] + [("A", dt.date(2024, 6, 1), 1.0, None, None)] + full[20:]
+    holed = [("A", dt.date(2025, 1, 1) + dt.timedelta(i), *r[2:]) for i, r in enumerate(holed)]
+    a = [r[5:] for r in I.indicators(spark.createDataFrame(full, schema), specs).orderBy("date").collect()]
+    b = [r[5:] for r in I.indicators(spark.createDataFrame(holed, schema), specs).orderBy("date").collect()]
+    assert b[20] == (None,) * 5
+    assert [[round(x, 9) if x is not None else x for x in r] for r in b[:20] + b[21:]] == [
+        [round(x, 9) if x is not None else x for x in r] for r in a
+    ]
+
+
+def test_total_loss_stays_a_loss(spark):
+    from marketmill.operators import holdings as H
+
+    rows = [("1", dt.date(2024, 3 * q, 28), "S", False, False, 1, 100.0, 100.0, p) for q, p in ((1, -100.0), (2, 10.0))]
+    a = spark.createDataFrame(rows, "cik string, date date, symbol string, isNew boolean, isSoldOut boolean, "
+                              "holdingPeriod int, marketValue double, lastMarketValue double, performance double")
+    assert [r["performancePercentage1year"] for r in H.holder_performance(a).collect()] == [-100.0, -100.0]

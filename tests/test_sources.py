@@ -127,3 +127,14 @@ def test_scalars(spark):
     ).first()
     assert (r.d, r.n, r.lo, r.hi, r.p, r.j, r.k) == (dt.date(2024, 1, 5), None, 15001, 50000, 97.29, "{}", "e/97.29%/_default")
     assert (r.ol, r.oh) == (5000000, 5000000)
+
+
+def test_broken_bodies_and_dotted_names(spark):
+    from marketmill.sources import landing as L
+
+    raw = spark.createDataFrame([(1, '[{"a": 1}, {"a"'), (2, '{"Error Message": null}'), (3, '[{"a": 2}]')], "id int, body string")
+    data, errors = L.ingest_json(raw, "body", spark.createDataFrame([], "a int").schema, ["id"])
+    assert sorted((r.id, r.a, r.record) for r in data.collect()) == [(1, None, '[{"a": 1}, {"a"'), (3, 2, '{"a":2}')]
+    assert [(r.id, r.error) for r in errors.collect()] == [(2, None)]
+    out = L.reconcile_types(spark.createDataFrame([('{"a.b": 1}',), ('{"a.b": 2}',)], "j string"), "j", ["a.b"])
+    assert out.dtypes == [("a.b", "bigint")] and sorted(r[0] for r in out.collect()) == [1, 2]

@@ -73,3 +73,17 @@ def test_changefeed_rebuilds_dirty_cells(spark, tmp_path):
         cells = lambda s, dirty: s.read.schema(schema).parquet(src).join(dirty, ["subject", "valid_from"], "left_semi")
         J.start_changes(facts, cells, build, out, view, ["entity", "time"], cp, 4).awaitTermination()
     assert sorted((r.entity, r.eps) for r in read_dataset(spark, out, view).collect()) == [("A", 2.0), ("B", 5.0)]
+
+
+def test_feed_keeps_late_rows(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = spark.createDataFrame([], "symbol string, filingDate timestamp_ntz, seq bigint").schema
+    days = [0, 57, 400]
+    for i, back in enumerate(days):  # newest first
+        land(spark, src, [("A", T0 - dt.timedelta(back), i), ("A", T0, 10 + i), (None, None, 20 + i)], schema)
+    for run in range(2):
+        q = J.start_feed(stream(spark, src, schema), out, schema, ["symbol", "filingDate"], [F.asc("seq")], f"{cp}{run}", 4)
+        q.awaitTermination()
+        got = {(r.symbol, r.filingDate) for r in read_dataset(spark, out, schema).collect()}
+        assert got == {(None, None)} | {("A", T0 - dt.timedelta(d)) for d in days}
+        assert read_dataset(spark, out, schema).count() == 4
