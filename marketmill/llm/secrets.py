@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketmill.functions.windows import hashable
+
 #: Contract patterns, in the order in which kinds at one start are listed. A kind: pattern,
 #: group whose length counts, least length. Fixed values.
 STRONG = {
@@ -39,6 +41,8 @@ PART = {"assign": "key", "access": "id", "hex": "key"} | {k: part for k, (_, par
 NEEDS = {"id": ("key",), "key": ("id", "place"), "place": ("key",)}
 #: Characters between two parts of one credential.
 SCOPE = 300
+#: Shares into which copies of one text are dealt by their other columns where the spans come back.
+SHARES = 32
 KINDS = [*STRONG, *WEAK]
 
 
@@ -114,7 +118,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     Offsets are code points, end exclusive; ``kind_no`` is the place of the kind in
     ``KINDS``. Texts without spans have an empty array, null and empty texts too.
     A weak span that a strong one covers wholly is left out. Equal texts are
-    scanned once and share the result. An input column named secret_spans is replaced.
+    scanned once and share the result; a text with very many copies gets it in ``SHARES``
+    tasks. An input column named secret_spans is replaced.
     """
     df = docs.withColumn("__key", F.md5(F.coalesce(F.col(text), F.lit(""))))
     spans = _linked(_candidates(df, "__key", text), "__key")
@@ -129,7 +134,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         | ~F.exists("__strong", lambda s: (s["start"] <= x["start"]) & (x["end"] <= s["end"])),
     )
     spans = spans.select("__k", bare.alias("__spans"))
-    out = df.drop("secret_spans").join(spans, F.col("__key") == F.col("__k"), "left")
+    # only texts with spans are repeated, once for each share
+    spans = spans.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    others = [f"`{c}`" for c in hashable(docs) if c not in (text, "secret_spans")]
+    df = df.drop("secret_spans").withColumn("__share", F.pmod(F.xxhash64(F.lit(0), *others), F.lit(SHARES)))
+    same = (F.col("__key") == F.col("__k")) & (F.col("__share") == F.col("__s"))
+    out = df.join(spans, same, "left").drop("__share", "__s")
     none = F.array().cast(spans.schema["__spans"].dataType)
     return out.withColumn("secret_spans", F.coalesce("__spans", none)).drop("__key", "__k", "__spans")
 
