@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketmill.operators import macro as N
+from marketmill.operators import search as C
 from marketmill.operators import news as W
 
 from .registry import CTES, query
@@ -139,6 +140,11 @@ def n5(spark, sf):
     return N.cot_report(cot(spark, sf), lo="1996-01-01", hi="1999-12-31")
 
 
+@query("C9_universe_cot", "SELECT DISTINCT symbol FROM cot_core")
+def c9_cot(spark, sf):
+    return C.universe(cot(spark, sf), ["symbol"])
+
+
 @query(
     "N6_cot_analysis",
     """SELECT *, ("netPosition" - "previousNetPosition") / nullif(abs("previousNetPosition"), 0) * 100 AS "changeInNetPosition",

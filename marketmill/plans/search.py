@@ -191,6 +191,26 @@ def c9f(spark, sf):
     return C.forex_pairs(pairs)
 
 
+@query("C9_universe_statements", "SELECT DISTINCT l_suppkey AS symbol FROM lineitem")
+def c9s(spark, sf):
+    return C.universe(table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("symbol")), ["symbol"])
+
+
+@query("C9_universe_active", 'SELECT DISTINCT symbol, "companyName" FROM screenable WHERE "isActivelyTrading"')
+def c9a(spark, sf):
+    return C.universe(screenable(spark, sf), ["symbol", "companyName"], F.col("isActivelyTrading"))
+
+
+def _universe(name: str, sector: str) -> None:
+    @query(f"C9_universe_{name}", f"SELECT DISTINCT symbol, name FROM securities WHERE sector = '{sector}'")
+    def run(spark, sf):
+        return C.universe(securities(spark, sf), ["symbol", "name"], F.col("sector") == sector)
+
+
+for _name, _sector in (("commodities", "STANDARD"), ("crypto", "SMALL"), ("indexes", "LARGE")):
+    _universe(_name, _sector)
+
+
 def _domain(table_name: str, col: str) -> None:
     @query(f"C10_domain_{col}", f"SELECT DISTINCT {col} FROM {table_name} WHERE {col} IS NOT NULL")
     def run(spark, sf):
