@@ -15,6 +15,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows before a page from which on whole days are skipped by their counts.
+DEEP = 10_000
 #: Largest rank Spark prunes on the map side by default.
 MAP_SIDE_RANK_LIMIT = 1000
 
@@ -67,13 +69,15 @@ def page(
     limit: int | None = 100,
     partition: Sequence[str] | None = None,
     band: str | None = None,
+    deep: int = DEEP,
 ) -> DataFrame:
     """Rows ``[page * limit, (page + 1) * limit)`` under ``order``.
 
     A null page counts as 0 and a null limit as 100. With ``partition`` every
-    entity is paged on its own. Deep global pages can name ``band``, the leading
-    (descending) order column: its values that end before the page are then
-    skipped by their counts, so that only the rest is sorted for the page.
+    entity is paged on its own. ``band`` names the leading order column, which is descending with nulls
+    last. Where ``deep`` or more rows lie before the page, its days (its values, if it
+    is text) that end before the page are skipped by their counts, so that only the rest is sorted; that
+    runs a job when called. There are as many counts as days.
     """
     page = page or 0
     limit = 100 if limit is None else limit
@@ -81,18 +85,18 @@ def page(
     if partition:
         out = top_n_per_key(df, partition, order, start + limit, rank_col="__rank")
         return out.filter(F.col("__rank") > start).drop("__rank")
-    if band is None:
+    if band is None or start < deep:
         return df.orderBy(*order).offset(start).limit(limit)
-    counts = df.groupBy(band).agg(F.count("*").alias("__n"))
-    upto = Window.orderBy(F.desc_nulls_last(band)).rowsBetween(Window.unboundedPreceding, 0)
+    day = F.to_date(band) if dict(df.dtypes)[band].startswith("timestamp") else F.col(band)
+    counts = df.groupBy(day.alias("__band")).agg(F.count("*").alias("__n"))
+    upto = Window.orderBy(F.desc_nulls_last("__band")).rowsBetween(Window.unboundedPreceding, 0)
     ends = counts.withColumn("__end", F.sum("__n").over(upto))
     hit = ends.filter((F.col("__end") > start) & (F.col("__end") - F.col("__n") < start + limit))
     # one number comes to the driver: how many rows lie before the first value hit
     before = hit.agg(F.min(F.col("__end") - F.col("__n"))).first()[0]
     if before is None:
         return df.limit(0)
-    hit = hit.select(F.col(band).alias("__band"))
-    rows = df.join(hit, df[band].eqNullSafe(F.col("__band")), "left_semi")
+    rows = df.join(hit.select("__band"), day.eqNullSafe(F.col("__band")), "left_semi")
     return rows.orderBy(*order).offset(int(start - before)).limit(limit)
 
 

@@ -92,9 +92,9 @@ def target_consensus(targets: DataFrame) -> DataFrame:
 def symbol_news(
     df: DataFrame, order: Sequence[Column], symbol: str | None = None, page: int | None = 0, limit: int | None = 100
 ) -> DataFrame:
-    """Target or grade news, of one symbol or of all, newest first."""
+    """Target or grade news, of one symbol or of all, by descending date and what else ``order`` says."""
     d = df if symbol is None else df.filter(F.col("symbol") == symbol)
-    return take_page(d, order, page, limit)
+    return take_page(d, order, page, limit, band="date")
 
 
 def _rank(c: Column) -> Column:
@@ -114,6 +114,16 @@ def grades(df: DataFrame) -> DataFrame:
     return out.select("symbol", "date", "gradingCompany", "previousGrade", "newGrade", action.alias("action"), "id")
 
 
+def grade_news(
+    df: DataFrame, order: Sequence[Column], symbol: str | None = None, page: int | None = 0, limit: int | None = 100
+) -> DataFrame:
+    """One page of grade events with previous grades, which are looked up for the firms and symbols of the page only."""
+    firm = ["symbol", "gradingCompany"]
+    rows = symbol_news(df, order, symbol, page, limit)
+    history = join_on(df, rows.select(*firm).distinct(), firm, "left_semi")
+    return join_on(grades(history), rows.select(*firm, "date", "id").distinct(), [*firm, "date", "id"], "left_semi").orderBy(*order)
+
+
 def _counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     counts = [F.count_if(F.col("newGrade") == g).alias(g) for g in GRADES]
     return df.groupBy(*keys).agg(*counts)

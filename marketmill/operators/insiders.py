@@ -14,10 +14,10 @@ from marketmill.functions.windows import page as take_page, top_n_per_key
 def insider_latest(
     feed: DataFrame, order: Sequence[Column], trade_date: str | None = None, page: int | None = 0, limit: int | None = 100
 ) -> DataFrame:
-    """One page of the feed, newest first, optionally of one filing date."""
+    """One page of the feed, newest filing first as ``order`` says, optionally of one filing date."""
     if trade_date is not None:
         feed = feed.filter(F.col("filingDate") == F.lit(trade_date).cast("date"))
-    return take_page(feed, order, page, limit)
+    return take_page(feed, order, page, limit, band="filingDate")
 
 
 def insider_search(
@@ -104,10 +104,10 @@ def congress_latest(
     disclosures: DataFrame, order: Sequence[Column], chamber: str | None = None, page: int | None = 0,
     limit: int | None = 100,
 ) -> DataFrame:
-    """One page of the latest disclosures of a chamber."""
+    """One page of the latest disclosures of a chamber, newest disclosure first as ``order`` says."""
     if chamber is not None:
         disclosures = disclosures.filter(F.col("chamber") == chamber)
-    return take_page(disclosures, order, page, limit)
+    return take_page(disclosures, order, page, limit, band="disclosureDate")
 
 
 def congress_trades(disclosures: DataFrame, chamber: str | None = None, symbol: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ def news(
     if variant is not None:
         df = df.filter(F.col("variant") == variant)
     df = read_range(df, "publishedDate", lo, hi, keep_undated=False)
-    return take_page(df, [F.desc_nulls_last("publishedDate"), F.asc("id")], page, limit)
+    return take_page(df, [F.desc_nulls_last("publishedDate"), F.asc("id")], page, limit, band="publishedDate")
 
 
 def news_search(

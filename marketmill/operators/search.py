@@ -128,7 +128,7 @@ def mergers(
         n = name.lower()
         return deals.filter(F.lower("companyName").contains(n) | F.lower("targetedCompanyName").contains(n))
     order = [F.desc("transactionDate"), F.asc("symbol"), F.asc("targetedSymbol"), F.asc("link")]
-    return take_page(deals, order, page, limit)
+    return take_page(deals, order, page, limit, band="transactionDate")
 
 
 def transcript_symbols(transcripts: DataFrame) -> DataFrame:

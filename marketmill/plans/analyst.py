@@ -99,6 +99,11 @@ def i5(spark, sf):
     return A.symbol_news(grades(spark, sf), latest(), page=2)
 
 
+@query("I5_target_news_deep", "SELECT * FROM grades ORDER BY date DESC, id LIMIT 100 OFFSET 12000")
+def i5d(spark, sf):
+    return A.symbol_news(grades(spark, sf), latest(), page=120)
+
+
 @query("I5_target_news_symbol", "SELECT * FROM grades WHERE symbol = '77' ORDER BY date DESC, id LIMIT 100")
 def i5s(spark, sf):
     return A.symbol_news(grades(spark, sf), latest(), "77")
@@ -151,9 +156,14 @@ def i8(spark, sf):
 
 @query("I9_grade_news_latest", "SELECT * FROM graded ORDER BY date DESC, id LIMIT 100")
 def i9(spark, sf):
-    return A.symbol_news(A.grades(grades(spark, sf)), latest())
+    return A.grade_news(grades(spark, sf), latest())
+
+
+@query("I9_grade_news_deep", "SELECT * FROM graded ORDER BY date DESC, id LIMIT 100 OFFSET 12000")
+def i9d(spark, sf):
+    return A.grade_news(grades(spark, sf), latest(), page=120)
 
 
 @query("I9_grade_news_symbol", "SELECT * FROM graded WHERE symbol = '77' ORDER BY date DESC, id LIMIT 100")
 def i9s(spark, sf):
-    return A.symbol_news(A.grades(grades(spark, sf)), latest(), "77")
+    return A.grade_news(grades(spark, sf), latest(), "77")

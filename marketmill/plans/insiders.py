@@ -15,6 +15,11 @@ def k1(spark, sf):
     return K.insider_latest(insider(spark, sf), insider_order(), page=2)
 
 
+@query("K1_insider_deep", f"SELECT * FROM insider ORDER BY {INSIDER_ORDER_SQL} LIMIT 100 OFFSET 12000")
+def k1_deep(spark, sf):
+    return K.insider_latest(insider(spark, sf), insider_order(), page=120)
+
+
 @query(
     "K2_insider_stats",
     """SELECT *, "acquiredTransactions" / nullif("disposedTransactions", 0) AS "acquiredDisposedRatio",
@@ -120,6 +125,11 @@ for _c in ("senate", "house"):
     _latest(_c)
 
 
+@query("K5_senate_deep", f"SELECT * FROM congress WHERE chamber = 'senate' ORDER BY {CONGRESS_ORDER} LIMIT 100 OFFSET 12000")
+def k5_deep(spark, sf):
+    return K.congress_latest(congress(spark, sf), congress_order(), "senate", 120)
+
+
 @query(
     "K6_congress_trades",
     """SELECT *, ("amountLow" + "amountHigh") / 2 AS "amountMid", CAST("disclosureDate" - "transactionDate" AS INTEGER) AS "disclosureLag" FROM (

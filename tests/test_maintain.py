@@ -98,9 +98,16 @@ def test_page(spark):
     order = [F.desc_nulls_last("date")]
     assert [str(r.date) for r in page(df, order, 0, 2).collect()] == ["2025-12-31", "2024-12-31"]
     assert [str(r.date) for r in page(df, order, 1, 2).collect()] == ["2023-12-31", "None"]
-    assert [str(r.date) for r in page(df, order, 1, 2, band="date").collect()] == ["2023-12-31", "None"]
-    assert page(df, order, 9, 2, band="date").count() == 0
+    assert [str(r.date) for r in page(df, order, 1, 2, band="date", deep=0).collect()] == ["2023-12-31", "None"]
+    assert page(df, order, 9, 2, band="date", deep=0).count() == 0
     assert page(df, order, None, None).count() == 4
+    # several times of one day are one band
+    times = df.withColumn("date", F.to_timestamp("date")).unionByName(
+        df.select("k", (F.to_timestamp("date") + F.expr("INTERVAL 5 HOURS")).alias("date"), "v"), allowMissingColumns=True
+    )
+    for start in range(4):
+        plain = [r.date for r in page(times, order, start, 2).collect()]
+        assert [r.date for r in page(times, order, start, 2, band="date", deep=0).collect()] == plain
 
 
 def feed(spark, rows):
