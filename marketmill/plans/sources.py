@@ -155,7 +155,7 @@ def a10(spark, sf):
     li, path = _stored(spark, sf)
     # a file that breaks off after a few bytes counts as nothing stored
     broken = spark.createDataFrame([("PAR1",)], "value string")
-    broken.coalesce(1).write.text(f"{path}/{D.PREFIX}{BUCKETS}=0/broken.parquet")
+    broken.coalesce(1).write.text(f"{path}/{D.bucket_column(["l_suppkey"], BUCKETS)}=0/broken.parquet")
     df = D.read_dataset(spark, path, li.schema, ignore_corrupt=True)
     return df.groupBy("l_suppkey").agg(F.count("*").alias("n"))
 

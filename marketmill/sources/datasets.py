@@ -18,12 +18,22 @@ from pyspark.sql.utils import AnalysisException
 from marketmill.functions.scalars import lead_date
 from marketmill.session import fresh_path
 
-#: Name of the partition column; the number of buckets is part of it, so a table knows its own.
+#: Start of the partition column's name; the number of buckets and the keys follow, so a table knows its own.
 PREFIX = "key_bucket_of_"
 
 
+def bucket_column(keys: Sequence[str], buckets: int) -> str:
+    return f"{PREFIX}{buckets}_by_{'+'.join(keys)}"
+
+
+def _key_order(column: str, keys: Sequence[str]) -> list[str]:
+    """The keys that a table is bucketed by, in their order; a table that does not name them takes the caller's."""
+    named = column.partition("_by_")[2]
+    return named.split("+") if named else list(keys)
+
+
 def _bucket(keys: Sequence[Column], column: str) -> Column:
-    buckets = int(column.removeprefix(PREFIX))
+    buckets = int(column.removeprefix(PREFIX).partition("_by_")[0])
     return F.pmod(F.xxhash64(*[k.cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
@@ -46,12 +56,15 @@ def _write(df: DataFrame, path: str, column: str, keys: Sequence[str]) -> None:
 
 def write_dataset(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256) -> None:
     """Create a dataset table."""
-    column = f"{PREFIX}{buckets}"
+    column = bucket_column(keys, buckets)
     _write(df.withColumn(column, _bucket(_named(keys), column)), path, column, keys)
 
 
 def _open(spark: SparkSession, path: str, schema: T.StructType, ignore_corrupt: bool = False):
-    """The stored table with its bucket column, and that column's name; None if there is no table."""
+    """The stored table with its bucket column, and that column's name; None if there is no table.
+
+    Files without a bucket column are a table of another kind, and an error.
+    """
     reader = spark.read.schema(schema)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
@@ -62,6 +75,8 @@ def _open(spark: SparkSession, path: str, schema: T.StructType, ignore_corrupt:
             raise
         return None, None
     column = next((c for c in df.columns if c.startswith(PREFIX)), None)
+    if column is None and df.inputFiles():
+        raise ValueError(f"{path} has no bucket column: not a dataset table")
     return (df, column) if column else (None, None)
 
 
@@ -72,17 +87,19 @@ def read_dataset(
     keys: dict[str, object] | None = None,
     ignore_corrupt: bool = False,
 ) -> DataFrame:
-    """Rows of a dataset, optionally of one full key. A missing table is empty.
+    """Rows of a dataset, optionally of one key. A missing table is empty.
 
-    A key reads its bucket's folder only. With ``ignore_corrupt`` unreadable
+    A full key, in any order, reads its bucket's folder only; one of some of the columns is a filter. With ``ignore_corrupt`` unreadable
     files count as nothing stored; see :func:`skipped_files` for which ones.
     """
     df, column = _open(spark, path, schema, ignore_corrupt)
     if df is None:
         return spark.createDataFrame([], schema)
     if keys:
-        # folds to a number while planning, and so prunes partitions
-        df = df.filter(F.col(column) == _bucket([F.lit(v) for v in keys.values()], column))
+        order = _key_order(column, list(keys))
+        if set(order) == set(keys):
+            # folds to a number while planning, and so prunes partitions
+            df = df.filter(F.col(column) == _bucket([F.lit(keys[k]) for k in order], column))
         for k, v in keys.items():
             df = df.filter(F.col(k).eqNullSafe(F.lit(v)))
     return df.select(*schema.fieldNames())
@@ -91,13 +108,15 @@ def read_dataset(
 def read_keys(
     spark: SparkSession, path: str, schema: T.StructType, wanted: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
-    """Rows of all keys in ``wanted``, reading the buckets of these keys only."""
+    """Rows of all keys in ``wanted``, reading the buckets of these keys only where the keys are full."""
     df, column = _open(spark, path, schema)
     if df is None:
         return spark.createDataFrame([], schema)
     wanted = wanted.select(*keys).distinct()
-    touched = [r[0] for r in wanted.select(_bucket(_named(keys), column)).distinct().collect()]
-    df = df.filter(F.col(column).isin(touched))
+    order = _key_order(column, keys)
+    if set(order) == set(keys):
+        touched = [r[0] for r in wanted.select(_bucket(_named(order), column)).distinct().collect()]
+        df = df.filter(F.col(column).isin(touched))
     return df.join(wanted, null_safe(df, wanted, keys), "left_semi").select(*schema.fieldNames())
 
 
@@ -159,13 +178,16 @@ def _replace(spark, fresh, replaced, path, schema, keys, buckets) -> None:
     stored, column = _open(spark, path, schema)
     if stored is None and fresh is None:
         return
-    column = column or f"{PREFIX}{buckets}"
+    column = column or bucket_column(keys, buckets)
+    order = _key_order(column, keys)
+    if set(order) != set(keys):
+        raise ValueError(f"{path} is bucketed by {order}, not by {list(keys)}")
     replaced = replaced.select(*keys).distinct()
     # at most as many small numbers as there are buckets come to the driver
-    touched = [r[0] for r in replaced.select(_bucket(_named(keys), column)).distinct().collect()]
+    touched = [r[0] for r in replaced.select(_bucket(_named(order), column)).distinct().collect()]
     if not touched:
         return
-    out = None if fresh is None else fresh.withColumn(column, _bucket(_named(keys), column))
+    out = None if fresh is None else fresh.withColumn(column, _bucket(_named(order), column))
     if stored is not None:
         stored = stored.filter(F.col(column).isin(touched))
         keep = stored.join(replaced, null_safe(stored, replaced, keys), "left_anti")
@@ -173,7 +195,7 @@ def _replace(spark, fresh, replaced, path, schema, keys, buckets) -> None:
     stage = fresh_path(spark, "stage")
     out.write.parquet(stage)
     staged = spark.read.schema(out.schema).parquet(stage)
-    _write(staged, path, column, keys)
+    _write(staged, path, column, order)
     # a bucket left without rows is not among the written ones and has to be emptied
     left = {r[0] for r in staged.select(column).distinct().collect()}
     for bucket in sorted(set(touched) - left):

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +39,27 @@ def test_round_trip(spark, tmp_path):
     assert D.read_dataset(spark, path, SCHEMA).count() == 0
 
 
+def test_keys_in_any_order_and_in_part(spark, tmp_path):
+    path = str(tmp_path / "t")
+    data = frame(spark, [("a", "2024-01-01", 1), ("a", "2024-01-02", 2), ("b", "2024-01-01", 3)])
+    D.write_dataset(data, path, ["k", "date"], 8)
+    one = [("a", "2024-01-02", 2)]
+    assert rows(D.read_dataset(spark, path, SCHEMA, {"k": "a", "date": "2024-01-02"})) == one
+    assert rows(D.read_dataset(spark, path, SCHEMA, {"date": "2024-01-02", "k": "a"})) == one
+    assert rows(D.read_dataset(spark, path, SCHEMA, {"k": "a"})) == [("a", "2024-01-01", 1), ("a", "2024-01-02", 2)]
+    wanted = spark.createDataFrame([("2024-01-01", "b")], "date string, k string")
+    assert rows(D.read_keys(spark, path, SCHEMA, wanted, ["date", "k"])) == [("b", "2024-01-01", 3)]
+    assert rows(D.read_keys(spark, path, SCHEMA, wanted, ["k"])) == [("b", "2024-01-01", 3)]
+    D.overwrite_keys(spark, frame(spark, [("b", "2024-01-01", 9)]), path, SCHEMA, ["date", "k"])
+    assert rows(D.read_dataset(spark, path, SCHEMA, {"k": "b"})) == [("b", "2024-01-01", 9)]
+    with pytest.raises(ValueError):
+        D.delete_keys(spark, wanted, path, SCHEMA, ["k"])
+    plain = str(tmp_path / "plain")
+    data.write.parquet(plain)
+    with pytest.raises(ValueError):
+        D.read_dataset(spark, plain, SCHEMA)
+
+
 def test_range_keeps_undated(spark):
     df = frame(spark, [("a", "2024-01-01", 1), ("a", "2024-01-05 10:00:00", 2), ("a", None, 3), ("a", "bad", 4), ("a", "2024-02-01", 5)])
     got = lambda *a, **k: sorted(r.v for r in D.read_range(df, "date", *a, **k).collect())
