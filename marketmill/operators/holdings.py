@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.scalars import pct_change, ratio
-from marketmill.functions.windows import page as take_page, share_of_total, top_n_per_key
+from marketmill.functions.windows import join_on, page as take_page, share_of_total, top_n_per_key
 from marketmill.session import materialize
 
 
@@ -36,7 +36,7 @@ def _paged(df: DataFrame, order: Sequence[Column], page: int | None, limit: int
 
 def filings_latest(filings: DataFrame, page: int | None = 0, limit: int | None = 100) -> DataFrame:
     order = [F.desc_nulls_last("filingDate"), F.asc("cik"), F.asc("date")]
-    return take_page(filings, order, page, limit)
+    return take_page(filings, order, page, limit, band="filingDate")
 
 
 def filing_extract(
@@ -72,10 +72,11 @@ def positions(holdings: DataFrame) -> DataFrame:
 
 
 def _filings(pos: DataFrame) -> DataFrame:
-    """Filings with their number per filer, the next filing date and the total value."""
+    """Filings with their number per filer, the next filing date and the total value; undated rows belong to none."""
     w = Window.partitionBy("cik").orderBy("date")
     return (
-        pos.groupBy("cik", "date")
+        pos.filter(F.col("date").isNotNull())
+        .groupBy("cik", "date")
         .agg(F.sum("value").alias("totalValue"))
         .withColumns({"filingNo": F.row_number().over(w), "nextDate": F.lead("date").over(w)})
     )
@@ -94,10 +95,11 @@ def holder_analytics(
 
     ``pos`` comes from :func:`positions`. Performance is last shares times the change from the filer's last value per
     share to the market-wide value per share at the quarter end. A position is
-    new or sold out only between two quarters in which the filer filed.
+    new or sold out only between two quarters in which the filer filed. Null filers and null symbols are
+    groups of their own; undated positions belong to no filing and are left out.
     """
     filings = _filings(pos)
-    dated = pos.join(filings, ["cik", "date"])
+    dated = join_on(pos, filings, ["cik", "date"])
 
     def cell(date: str, is_now: bool) -> Column:
         return F.struct(F.col(date).alias("cellDate"), F.lit(is_now).alias("isNow"))
@@ -112,7 +114,7 @@ def holder_analytics(
         *[F.max(F.when(~now, F.col(m))).alias(f"last_{m}") for m in measures],
     )
     px = pos.groupBy("symbol", "date").agg(F.try_divide(F.sum("value"), F.sum("shares")).alias("quarterEndPrice"))
-    j = both.join(px, ["symbol", "date"], "left").join(outstanding, "symbol", "left")
+    j = join_on(join_on(both, px, ["symbol", "date"], "left"), outstanding, ["symbol"], "left")
 
     zero, none = F.lit(0), F.lit(0.0)
     shares, last_shares = F.coalesce("now_shares", zero), F.coalesce("last_shares", zero)
@@ -189,7 +191,7 @@ def holder_performance(
         F.avg(F.when(F.col("__rn") <= 10, F.col("holdingPeriod"))).alias("averageHoldingPeriodTop10"),
         F.avg("holdingPeriod").alias("averageHoldingPeriodTop20"),
     )
-    per = per.join(tops, ["cik", "date"], "left")
+    per = join_on(per, tops, ["cik", "date"], "left")
     w = Window.partitionBy("cik").orderBy("date")
     pct = ratio(F.col("performance"), F.col("previousMarketValue")) * 100
     per = per.withColumns(
@@ -270,7 +272,7 @@ def positions_summary(
         F.count_if(kept & (delta < 0)).alias("reducedPositions"),
     )
     options = h.groupBy("symbol", "date").agg(F.sum("calls").alias("totalCalls"), F.sum("puts").alias("totalPuts"))
-    per = per.join(options, ["symbol", "date"], "left").fillna(0, ["totalCalls", "totalPuts"])
+    per = join_on(per, options, ["symbol", "date"], "left").fillna(0, ["totalCalls", "totalPuts"])
     per = per.withColumn("putCallRatio", ratio(F.col("totalPuts"), F.col("totalCalls")))
     w = Window.partitionBy("symbol").orderBy("date")
     measures = [c for c in per.columns if c not in ("symbol", "date")]
@@ -305,8 +307,7 @@ def compare_filers(performance: DataFrame, industries: DataFrame, ciks: Sequence
     latest = p.groupBy("cik").agg(F.max("date").alias("date"))
     top = i.groupBy("cik", "date").agg(F.max(F.struct("weight", "industry")).alias("t"))
     return (
-        p.join(latest, ["cik", "date"])
-        .join(top, ["cik", "date"], "left")
+        join_on(join_on(p, latest, ["cik", "date"]), top, ["cik", "date"], "left")
         .select(
             "cik", "date", "portfolioSize", "marketValue", "performance", "performancePercentage",
             F.col("t.industry").alias("topIndustry"), F.col("t.weight").alias("topIndustryWeight"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketmill.functions.scalars import ratio
+from marketmill.operators.prices import bars_intraday
 
 # The code below runs in Python workers, which need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -166,13 +167,14 @@ def _stream(specs: Sequence[tuple[str, str, int]]):
 
 
 def _frame(name: str, n: int) -> Column:
-    order = Window.partitionBy("symbol").orderBy("date")
-    w = order.rowsBetween(1 - n, 0)
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(1 - n, 0)
     close = F.col("close")
     if name == "sma":
         value = F.avg(close).over(w)
     elif name == "wma":
-        value = sum(F.lag(close, n - k).over(order) * k for k in range(1, n + 1)) / (n * (n + 1) / 2)
+        # the frame holds n values, the oldest first
+        weighted = F.zip_with(F.collect_list(close).over(w), F.sequence(F.lit(1), F.lit(n)), lambda x, k: x * k)
+        value = F.aggregate(weighted, F.lit(0.0), lambda total, x: total + x) / (n * (n + 1) / 2)
     elif name == "standardDeviation":
         value = F.stddev_pop(close).over(w)
     else:
@@ -225,6 +227,13 @@ williams = _single("williams")
 adx = _single("adx")
 
 
+def intraday(
+    ticks: DataFrame, timeframe: str, specs: Sequence[tuple[str, str, int]], lo: str | None = None, hi: str | None = None
+) -> DataFrame:
+    """Indicators over the bars of a timeframe, straight from ticks; see :func:`indicators`."""
+    return indicators(bars_intraday(ticks, timeframe), specs, lo, hi)
+
+
 def indicator_grid(bars: DataFrame, specs: Sequence[tuple[str, int]]) -> DataFrame:
     """Many indicators of all symbols in long form, from one pass over the bars."""
     named = [(f"{name}_{n}", name, n) for name, n in specs]

@@ -223,11 +223,12 @@ def new_keys(existing: DataFrame, fresh: DataFrame, key_cols: Sequence[str], ord
 
 
 def advance_checkpoints(seen: DataFrame, checkpoints: DataFrame, scope: Sequence[str], date_col: str) -> DataFrame:
-    """Newest date per scope. A checkpoint never moves back."""
+    """Newest date per scope, null scopes too. A checkpoint never moves back."""
     scope = list(scope)
-    newest = seen.groupBy(*scope).agg(F.max(_date(seen, date_col)).alias("__new"))
-    j = checkpoints.select(*scope, "checkpoint").join(newest, scope, "full")
-    return j.select(*scope, F.greatest("checkpoint", "__new").alias("checkpoint")).filter("checkpoint is not null")
+    kind = checkpoints.schema["checkpoint"].dataType
+    new = seen.select(*scope, _date(seen, date_col).cast(kind).alias("checkpoint"))
+    both = checkpoints.select(*scope, "checkpoint").unionByName(new)
+    return both.groupBy(*scope).agg(F.max("checkpoint").alias("checkpoint")).filter("checkpoint is not null")
 
 
 def upsert_snapshot(
@@ -330,8 +331,8 @@ def recompute_dirty(
     """
     cells = dirty.select(*base_keys).distinct()
     as_view = cells.withColumnsRenamed(dict(zip(base_keys, view_keys)))
-    kept = view.join(as_view, list(view_keys), "left_anti")
-    return kept.unionByName(build(base.join(cells, list(base_keys), "left_semi")))
+    kept = without_keys(view, as_view, list(view_keys))
+    return kept.unionByName(build(join_on(base, cells, list(base_keys), "left_semi")))
 
 
 # Ledgers ----------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from marketmill.operators import indicators as I
 from marketmill.operators import prices as P
 
@@ -11,6 +13,7 @@ from .tables import ticks
 
 N = 5
 
+_daily = len(CTES)
 CTES["numbered"] = "SELECT symbol, date, close AS x, row_number() OVER (PARTITION BY symbol ORDER BY date) AS r FROM bars"
 CTES["ohlc"] = "SELECT symbol, date, open, high, low, close, volume FROM bars"
 
@@ -99,6 +102,30 @@ def e1_intraday(spark, sf):
     return I.sma(P.bars_intraday(ticks(spark, sf), "1hour"), 10)
 
 
+#: The same sub-queries over hourly bars, under names of their own.
+_OWN = [*list(CTES)[_daily:], "bars"]
+
+
+def _hourly(sql: str) -> str:
+    return re.sub(rf"\b({'|'.join(_OWN)})\b", r"hourly_\1", sql)
+
+
+CTES["hourly_bars"] = """SELECT symbol, time_bucket(INTERVAL '1 hour', ts) AS date, arg_min(price, (ts, id)) AS open,
+  min(price) AS low, max(price) AS high, arg_max(price, (ts, id)) AS close, CAST(sum(size) AS BIGINT) AS volume FROM ticks GROUP BY 1, 2"""
+for _c in _OWN[:-1]:
+    CTES[f"hourly_{_c}"] = _hourly(CTES[_c])
+
+
+def _register_hourly(name: str) -> None:
+    @query(f"{IDS[name]}_{name}_intraday", _hourly(VALUE_SQL[name]), r6=name)
+    def run(spark, sf):
+        return I.intraday(ticks(spark, sf), "1hour", [(name, name, N)])
+
+
+for _name in list(IDS)[1:]:
+    _register_hourly(_name)
+
+
 GRID = [("sma", 5), ("ema", 5), ("rsi", 5), ("williams", 5), ("adx", 5), ("standardDeviation", 5)]
 
 

@@ -10,6 +10,7 @@ from marketmill.operators import calendars as H
 from marketmill.operators import holdings as J
 from marketmill.operators import insiders as K
 from marketmill.operators import macro as N
+from marketmill.operators import maintain as B
 from marketmill.operators import prices as P
 from marketmill.operators import search as C
 from marketmill.operators import valuation as V
@@ -229,3 +230,23 @@ def test_total_loss_stays_a_loss(spark):
     a = spark.createDataFrame(rows, "cik string, date date, symbol string, isNew boolean, isSoldOut boolean, "
                               "holdingPeriod int, marketValue double, lastMarketValue double, performance double")
     assert [r["performancePercentage1year"] for r in H.holder_performance(a).collect()] == [-100.0, -100.0]
+
+
+def test_null_filers_are_a_group_and_undated_positions_are_left_out(spark):
+    schema = "cik string, symbol string, industry string, date date, putCallShare string, shares long, value double"
+    day = [dt.date(2024, 3, 31), dt.date(2024, 6, 30)]
+    rows = [(c, "x", "i", d, "Share", 10, 100.0) for c in (None, "1") for d in (*day, None)]
+    pos = J.positions(spark.createDataFrame(rows, schema))
+    shares = spark.createDataFrame([("x", 1000)], "symbol string, outstanding long")
+    got = J.holder_analytics(pos, shares).orderBy("cik", "date").collect()
+    assert [(r.cik, r.date) for r in got] == [(c, d) for c in (None, "1") for d in day]
+    assert [r.isNew for r in got] == [False] * 4 and [r.holdingPeriod for r in got] == [1, 2, 1, 2]
+    per = J.holder_performance(J.holder_analytics(pos, shares)).collect()
+    assert len(per) == 4 and all(r.averageHoldingPeriodTop10 is not None for r in per)
+
+
+def test_null_scopes_keep_one_checkpoint(spark):
+    seen = spark.createDataFrame([(None, dt.date(2024, 5, 1)), ("a", dt.date(2024, 1, 1))], "k string, date date")
+    old = spark.createDataFrame([(None, dt.date(2024, 1, 1)), ("a", dt.date(2024, 2, 1))], "k string, checkpoint date")
+    got = {(r.k, str(r.checkpoint)) for r in B.advance_checkpoints(seen, old, ["k"], "date").collect()}
+    assert got == {(None, "2024-05-01"), ("a", "2024-02-01")}
