@@ -48,7 +48,7 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 def _write(df: DataFrame, path: str, column: str, keys: Sequence[str]) -> None:
     # rebalance lets AQE split a bucket that one hot key has filled
-    out = df.hint("rebalance", column).sortWithinPartitions(column, *keys)
+    out = df.hint("rebalance", f"`{column}`").sortWithinPartitions(column, *keys)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(
         column
     ).parquet(path)
