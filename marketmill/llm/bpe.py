@@ -20,9 +20,11 @@ PIECE = 1 << 18
 #: White space longer than this is taken out of the pattern's hands, whose matcher recurses.
 LONG_SPACE = 1000
 
-_LONG = re.compile(r"\s{%d,}" % LONG_SPACE)
+# white space as in the tokenizer's engine; Python's holds U+001C to U+001F too
+_SPACE, _VISIBLE = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+_LONG = re.compile(_SPACE + "{%d,}" % LONG_SPACE)
 #: Between visible and white space the split pattern always ends a match, whatever stands around.
-_SAFE = re.compile(r"(?<=\S)(?=\s)")
+_SAFE = re.compile(f"(?<={_VISIBLE})(?={_SPACE})")
 
 
 @functools.lru_cache(maxsize=4)

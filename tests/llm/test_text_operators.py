@@ -168,3 +168,11 @@ def test_license_keeps_rows_and_ids(rows):
     df = rows([(None, "x under the MIT License", 1), (2, None, 2), (2, None, 2)], "doc_id long, text string, n_words int")
     got = licenses.scan(df)
     assert got.select(F.count("*"), F.sum("n_base")).first()[:] == (3, 1)
+
+
+def test_bpe_separators_are_no_white_space():
+    enc = bpe.encoding(queries.RANKS, public_tokenizers.PATTERN)
+    for sign in "\x1c\x1d\x1e\x1f":
+        text = "a" + " " * 600 + sign * 3 + " " * 600 + "b"
+        assert bpe.encode(enc, text).tolist() == enc.encode_ordinary(text)
+        assert list(bpe.cut("word." + sign * 40, 2)) == ["word." + sign * 40]
