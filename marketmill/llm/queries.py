@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm import ann, bpe, chat, licenses, mixing, passages, quality, records, secrets, simhash
+from marketmill.llm import ann, bpe, chat, collocations, licenses, mixing, packing, passages, quality, records, secrets, simhash, whitening
 from marketmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,7 @@ def query(name: str, sql: str | None = None):
 #: Vocabularies of the contracts.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op1_license_templates")
@@ -261,3 +262,47 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
     digits = F.lpad(F.lower(F.hex("fingerprint_bits")), 16, "0")
     return out.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op11_exact_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+PHRASE_SQL = f"""
+WITH d AS (
+  SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+      FROM p, range(1, {collocations.DEPTH + 1}) r(k) WHERE len(w) >= k),
+f AS (SELECT lang, g.k, g, count(*)::BIGINT AS f FROM g GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+x AS (
+  SELECT lang, o.g[i:i + m - 1] AS g, max(f) AS f
+  FROM f o, range(1, {collocations.DEPTH + 1}) l(m), range(1, {collocations.DEPTH + 1}) s(i)
+  WHERE m BETWEEN 2 AND o.k - 1 AND i + m - 1 <= o.k GROUP BY ALL),
+c AS (SELECT f.lang, f.g, f.f AS a, f.k FROM f LEFT JOIN x ON f.lang = x.lang AND f.g = x.g
+      WHERE f.k >= 2 AND (x.f IS NULL OR 100 * x.f < {collocations.SUBSUMED} * f.f)),
+s AS (
+  SELECT c.lang, c.g, c.a, cut, l.f AS l, r.f AS r, n.n,
+         ((1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM c, range(1, {collocations.DEPTH}) t(cut), f l, f r, n
+  WHERE cut < c.k AND l.lang = c.lang AND l.g = c.g[1:cut] AND r.lang = c.lang AND r.g = c.g[cut + 1:] AND n.lang = c.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM (SELECT *, array_to_string(g, ' ') AS phrase FROM b)
+QUALIFY rank <= {collocations.TOP}
+"""
+
+
+@query("op12_phrase_index", PHRASE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_sum_of_squares_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER, with_ids=False).drop("ids")
