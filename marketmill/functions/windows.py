@@ -15,6 +15,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketmill.session import materialize
+
 #: Rows before a page from which on whole days are skipped by their counts.
 DEEP = 10_000
 #: Largest rank Spark prunes on the map side by default.
@@ -62,6 +64,33 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return top_n_per_key(df, keys, order, 1)
 
 
+def rank_rows(df: DataFrame, order: Sequence[Column], out: str, keys: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+    """Number the rows from 0 under a total order, overall or within every key, without ordering a key in one task.
+
+    Rows are dealt by ranges of (keys, order) and numbered in their range; the counts of the ranges
+    before, one small row each, are added. A key's numbers start at its first row's. The numbered ranges are written
+    once, since a second deal could cut them elsewhere; this runs a job when called.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = [*[F.asc_nulls_first(k) for k in keys], *order]
+    ranged = df.repartitionByRange(parts, *whole).sortWithinPartitions(*whole)
+    # the place in the range and the range's number, from the order in which its task hands rows on
+    ranged = ranged.withColumn("__rank_id", F.monotonically_increasing_id())
+    ranged = materialize(ranged, "ranked").withColumns(
+        {"__rank_range": F.shiftright("__rank_id", 33).cast("int"), "__rank_at": F.col("__rank_id").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    counts = ranged.groupBy("__rank_range").agg(F.count("*").alias("__rank_n"))
+    before = F.coalesce(F.sum("__rank_n").over(Window.orderBy("__rank_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row for each range
+    offsets = counts.select("__rank_range", before.alias("__rank_before"))
+    ranked = ranged.join(F.broadcast(offsets), "__rank_range").withColumn(out, F.col("__rank_before") + F.col("__rank_at"))
+    ranked = ranked.select(*df.columns, out)
+    if not keys:
+        return ranked
+    start = ranked.groupBy(*keys).agg(F.min(out).alias("__rank_start"))
+    return join_on(ranked, start, keys).withColumn(out, F.col(out) - F.col("__rank_start")).select(*df.columns, out)
+
+
 def page(
     df: DataFrame,
     order: Sequence[Column],
@@ -76,12 +105,16 @@ def page(
     A null page counts as 0 and a null limit as 100. With ``partition`` every
     entity is paged on its own. ``band`` names the leading order column, which is descending with nulls
     last. Where ``deep`` or more rows lie before the page, its days (its values, if it
-    is text) that end before the page are skipped by their counts, so that only the rest is sorted; that
-    runs a job when called. There are as many counts as days.
+    is text) that end before the page are skipped by their counts, and the rows of the days it lies in are numbered
+    by ranges (:func:`rank_rows`), so that no task orders a day or an entity; that
+    runs jobs when called. There are as many counts as days.
     """
     page = page or 0
     limit = 100 if limit is None else limit
     start = page * limit
+    if partition and start >= deep:
+        out = rank_rows(df, order, "__rank", partition)
+        return out.filter((F.col("__rank") >= start) & (F.col("__rank") < start + limit)).drop("__rank")
     if partition:
         out = top_n_per_key(df, partition, order, start + limit, rank_col="__rank")
         return out.filter(F.col("__rank") > start).drop("__rank")
@@ -97,7 +130,11 @@ def page(
     if before is None:
         return df.limit(0)
     rows = df.join(hit.select("__band"), day.eqNullSafe(F.col("__band")), "left_semi")
-    return rows.orderBy(*order).offset(int(start - before)).limit(limit)
+    skip = int(start - before)
+    if skip < deep:
+        return rows.orderBy(*order).offset(skip).limit(limit)
+    ranked = rank_rows(rows, order, "__rank")
+    return ranked.filter((F.col("__rank") >= skip) & (F.col("__rank") < skip + limit)).drop("__rank")
 
 
 def previous_value(
@@ -118,33 +155,38 @@ def previous_value(
     )
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, buckets: int = 1024) -> DataFrame:
-    """Exact median per key without gathering a key's values.
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, accuracy: int = 1024) -> DataFrame:
+    """Exact median per key without gathering a key's values, from two reads of the rows.
 
-    Equal values are counted first. A histogram over each key's range then tells
-    which bucket holds the middle, and only the values of that bucket are ranked.
+    A mergeable quantile summary brackets the middle of every key between two of its values, with ranks that are off by at most one
+    ``accuracy``-th of its rows. The second read counts the rows below the bracket and the distinct values
+    inside, which alone are put in order. NaN is greater than any number, as in sorting; a key without values gives no row.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
-    span = counts.groupBy(*keys).agg(
-        F.sum("__n").alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-    )
-    place = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * buckets
-    placed = join_on(counts, span, keys).withColumn(
-        "__b", F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(buckets - 1))
-    )
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    floating = dict(rows.dtypes)["__v"] in ("double", "float")
+    v = F.col("__v")
+    # the summary knows no NaN; as infinity it has its place, and the bracket stays open above
+    plain = F.when(F.isnan(v), F.lit(float("inf"))).otherwise(v) if floating else v
+    if accuracy > 4:
+        edges = F.percentile_approx(plain, F.array(F.lit(0.5 - 2 / accuracy), F.lit(0.5 + 2 / accuracy)), F.lit(accuracy))
+    else:
+        edges = F.array(F.min(plain), F.max(plain))
+    span = rows.groupBy(*keys).agg(F.count("*").alias("__total"), edges.alias("__edges"))
+    span = span.select(*keys, "__total", F.col("__edges")[0].alias("__lo"), F.col("__edges")[1].alias("__hi"))
+    placed = join_on(rows, span, keys)
+    above = v > F.col("__hi")
+    if floating:
+        above = above & (F.col("__hi") < float("inf"))
+    # what lies below counts as one value, and what lies above is not needed
+    inside = placed.filter(~above).withColumn("__in", F.when(v >= F.col("__lo"), v))
+    inside = inside.groupBy(*keys, "__total", "__in").agg(F.count("*").alias("__n"))
+    within = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("__in")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("__upto", F.sum("__n").over(within))
     low, high = F.floor((F.col("__total") - 1) / 2), F.floor(F.col("__total") / 2)
-    hist = placed.groupBy(*keys, "__b").agg(F.sum("__n").alias("__m"), F.first("__total").alias("__total"))
-    along = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("__end", F.sum("__m").over(along))
-    start = F.col("__end") - F.col("__m")
-    middle = hist.filter((start <= high) & (F.col("__end") > low)).select(*keys, "__b", start.alias("__before"))
-    inside = join_on(placed, middle, [*keys, "__b"])
-    within = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("__upto", F.col("__before") + F.sum("__n").over(within))
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("__upto") - F.col("__n") <= rank) & (F.col("__upto") > rank), F.col("__v")))
+        return F.max(F.when((F.col("__upto") - F.col("__n") <= rank) & (F.col("__upto") > rank), F.col("__in")))
 
     picked = inside.groupBy(*keys).agg(at(low).alias("__a"), at(high).alias("__z"))
     return picked.select(*keys, ((F.col("__a") + F.col("__z")) / 2).alias(out))

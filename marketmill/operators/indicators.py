@@ -184,9 +184,17 @@ def _frame(name: str, n: int) -> Column:
 
 
 def indicators(
-    bars: DataFrame, specs: Sequence[tuple[str, str, int]], lo: str | None = None, hi: str | None = None
+    bars: DataFrame,
+    specs: Sequence[tuple[str, str, int]],
+    lo: str | None = None,
+    hi: str | None = None,
+    long_series: bool = False,
 ) -> DataFrame:
-    """Bars with one column per (column name, indicator, period length)."""
+    """Bars with one column per (column name, indicator, period length).
+
+    Each series streams through one task, which suits daily bars. With ``long_series`` recursive indicators scan
+    ranges of bars in many tasks (:mod:`marketmill.operators.longseries`, which runs jobs and can continue stored states).
+    """
     known = (*FRAME_INDICATORS, *RECURSIVE_INDICATORS)
     for _, name, n in specs:
         if name not in known:
@@ -195,7 +203,15 @@ def indicators(
             raise ValueError("period length must be positive")
     frames = [s for s in specs if s[1] in FRAME_INDICATORS]
     recursive = [s for s in specs if s[1] in RECURSIVE_INDICATORS]
-    out = bars.repartition("symbol").sortWithinPartitions("symbol", "date")
+    if recursive and long_series:
+        from marketmill.operators.longseries import recursive_indicators
+
+        bars_and, recursive = recursive_indicators(bars, recursive)[0], []
+    else:
+        bars_and = bars
+    out = bars_and
+    if frames or recursive:
+        out = bars_and.repartition("symbol").sortWithinPartitions("symbol", "date")
     if frames:
         out = out.withColumns({c: _frame(name, n) for c, name, n in frames})
     if recursive:
@@ -230,8 +246,8 @@ adx = _single("adx")
 def intraday(
     ticks: DataFrame, timeframe: str, specs: Sequence[tuple[str, str, int]], lo: str | None = None, hi: str | None = None
 ) -> DataFrame:
-    """Indicators over the bars of a timeframe, straight from ticks; see :func:`indicators`."""
-    return indicators(bars_intraday(ticks, timeframe), specs, lo, hi)
+    """Indicators over the bars of a timeframe, straight from ticks, whose series may be long; see :func:`indicators`."""
+    return indicators(bars_intraday(ticks, timeframe), specs, lo, hi, long_series=True)
 
 
 def indicator_grid(bars: DataFrame, specs: Sequence[tuple[str, int]]) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.scalars import lead_date, month_key
-from marketmill.functions.windows import first_per_key, join_on, top_n_per_key
-from marketmill.sources.datasets import append_new, coverage, null_safe, without_keys
+from marketmill.functions.windows import first_per_key, join_on, rank_rows, top_n_per_key
+from marketmill.session import materialize
+from marketmill.sources.datasets import append_new, coverage, null_safe, read_range, without_keys
 
 
 def _date(df: DataFrame, c: str) -> Column:
@@ -73,7 +74,8 @@ def refresh_range(
     ``requests`` has one row (keys, lo, hi) per key. Without bounds the stored
     series is replaced by the source. With only ``hi`` the answer comes straight
     from the source and nothing is stored. With only ``lo`` the range ends at
-    ``run_date``. The answer keeps undated rows.
+    ``run_date``. The answer keeps undated rows. The gaps are written when called, and their overall range bounds the scan
+    of the source.
     """
     keys = list(keys)
     lo, hi = F.col("lo"), F.col("hi")
@@ -83,8 +85,11 @@ def refresh_range(
 
     src_day = _date(source, date_col)
     gaps = date_gaps(ranged, coverage(existing, keys, date_col), keys)
-    spans = gaps.select(*keys, "gap_lo", "gap_hi")
-    fetched = join_on(source.withColumn("__d", src_day), spans, keys)
+    spans = materialize(gaps.select(*keys, "gap_lo", "gap_hi"), "gaps")
+    # two dates come to the driver, and from there reach the scan of the source
+    first, last = spans.agg(F.min("gap_lo"), F.max("gap_hi")).first()
+    near = source.limit(0) if first is None else read_range(source, date_col, str(first), str(last), keep_undated=False)
+    fetched = join_on(near.withColumn("__d", _date(near, date_col)), spans, keys)
     fetched = fetched.filter(F.col("__d").between(F.col("gap_lo"), F.col("gap_hi"))).select(*source.columns)
     replaced = join_on(source, unbounded, keys, "left_semi")
     kept = append_new(existing, fetched, date_col, keys)
@@ -140,9 +145,9 @@ def new_since(
 ) -> DataFrame:
     """Feed rows with their ``page``, down to and including the page that reaches the checkpoint.
 
-    ``order`` is total and puts newer days first and undated rows last. A row's number is the count of
-    rows of newer days plus its place within its day, so no task orders more than one day; of days at or before
-    the checkpoint at most one page is ranked. Only ``max_pages`` ends the walk earlier.
+    ``order`` is total and puts newer days first and undated rows last. Of days at or before the checkpoint at most
+    one page is kept; the rows that remain are numbered by ranges (:func:`rank_rows`), so that no task
+    orders a day. Only ``max_pages`` ends the walk earlier. Runs a job when called.
     """
     dated = feed.withColumn("__d", _date(feed, date_col))
     days = dated.groupBy(F.col("__d").alias("__day")).agg(F.count("*").alias("__n"))
@@ -159,12 +164,11 @@ def new_since(
     )
     days = days.filter(F.col("__end").isNull() | (F.col("__before") < F.col("__end")))
     rows = dated.join(days, F.col("__d").eqNullSafe(F.col("__day")))
-    within = F.row_number().over(Window.partitionBy("__d").orderBy(*order))
-    whole = rows.filter(~F.col("__cut")).withColumn("__rank", within)
-    cut = top_n_per_key(rows.filter("__cut"), ["__d"], order, page_size, "__rank")
-    pos = F.col("__before") + F.col("__rank") - 1
-    out = whole.unionByName(cut).filter(F.col("__end").isNull() | (pos < F.col("__end")))
-    return out.select(*feed.columns, F.floor(pos / page_size).cast("int").alias("page"))
+    # what is cut off a day stands behind the last page, so the numbers of the others do not change
+    cut = top_n_per_key(rows.filter("__cut"), ["__d"], order, page_size)
+    ranked = rank_rows(rows.filter(~F.col("__cut")).unionByName(cut), order, "__pos")
+    out = ranked.filter(F.col("__end").isNull() | (F.col("__pos") < F.col("__end")))
+    return out.select(*feed.columns, F.floor(F.col("__pos") / page_size).cast("int").alias("page"))
 
 
 def new_since_per_key(
@@ -274,10 +278,13 @@ def refresh_worklist(
 def refresh_universe(
     existing: DataFrame, listing: DataFrame, universe: str, order: Sequence[Column]
 ) -> DataFrame:
-    """Replace one universe by a listing; blank symbols are dropped, one row per symbol is kept."""
+    """Replace one universe by a listing; blank symbols are dropped, one row per symbol is kept.
+
+    Rows of other universes stay, those without a universe too.
+    """
     named = listing.filter(F.trim(F.coalesce("symbol", F.lit(""))) != "")
     rows = first_per_key(named, ["symbol"], order).withColumn("universe", F.lit(universe))
-    return existing.filter(F.col("universe") != universe).unionByName(rows, allowMissingColumns=True)
+    return existing.filter(~F.col("universe").eqNullSafe(universe)).unionByName(rows, allowMissingColumns=True)
 
 
 # Facts ------------------------------------------------------------------------
@@ -364,7 +371,7 @@ def first_breach(requests: DataFrame, cap_bytes: float) -> DataFrame:
 
     Running sums are taken over days of the month, then over seconds of the one
     day concerned, then over the rows of that second, so that no task orders a
-    whole month.
+    whole month. Requests without a time belong to a month of their own, whose null month they get.
     """
     r = requests.select(
         month_key("ts").alias("month"), F.to_date("ts").alias("__day"), F.date_trunc("second", "ts").alias("__sec"),
@@ -379,7 +386,7 @@ def first_breach(requests: DataFrame, cap_bytes: float) -> DataFrame:
         hit = run.filter((F.col("__run") >= cap_bytes) & (F.col("__run") - F.col("__sum") < cap_bytes))
         hit = hit.select(*path, level, (F.col("__run") - F.col("__sum")).alias("__before"))
         path = [*path, level]
-        carried = carried.drop("__before").join(hit, path)
+        carried = join_on(carried.drop("__before"), hit, path)
     upto = Window.partitionBy(*path).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     rows = carried.withColumn("runningBytes", F.sum("bytes").over(upto) + F.col("__before"))
     rows = rows.filter((F.col("runningBytes") >= cap_bytes) & (F.col("runningBytes") - F.col("bytes") < cap_bytes))
@@ -396,7 +403,8 @@ def failure_streaks(attempts: DataFrame, n: int = 10, chunk: int = 65536) -> Dat
     ``attempts`` has (cycle, attempt_no, status) with status success, paywall or
     other; other errors neither count nor reset. Attempts are numbered, so the
     count is taken within chunks of numbers and carried from chunk to chunk
-    through small summaries; a cycle of any length is never ordered in one task.
+    through small summaries; a cycle of any length is never ordered in one task. Attempts without a cycle are one
+    cycle, whose row has a null cycle; those without a number come first in theirs and are ordered anyhow.
     """
     ok, fail = F.col("status") == "success", F.col("status") == "paywall"
     a = attempts.withColumn("__chunk", F.floor(F.col("attempt_no") / chunk))
@@ -415,6 +423,6 @@ def failure_streaks(attempts: DataFrame, n: int = 10, chunk: int = 65536) -> Dat
     chunks = chunks.withColumn("__out", F.sum("__tail").over(in_group))
     chunks = chunks.withColumn("__in", F.coalesce(F.lag("__out").over(along), F.lit(0)))
 
-    j = a.filter(fail).join(chunks.select("cycle", "__chunk", "__in"), ["cycle", "__chunk"])
+    j = join_on(a.filter(fail), chunks.select("cycle", "__chunk", "__in"), ["cycle", "__chunk"])
     streak = F.col("__fails") + F.when(F.col("__island") == 0, F.col("__in")).otherwise(0)
     return j.filter(streak == n).groupBy("cycle").agg(F.min("attempt_no").alias("attempt_no"))

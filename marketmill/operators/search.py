@@ -68,7 +68,9 @@ def screen(
             df = df.filter(F.col(_RANGES[name.removesuffix("_lower_than")]) < F.lit(value))
     order = [F.desc_nulls_last("marketCap"), F.asc("symbol")]
     if include_all_share_classes is False:
-        df = first_per_key(df, ["companyName"], order)
+        # a row without a company name is a company of its own
+        named = first_per_key(df.filter(F.col("companyName").isNotNull()), ["companyName"], order)
+        df = named.unionByName(df.filter(F.col("companyName").isNull()))
     return df if limit is None else df.orderBy(*order).limit(limit)
 
 

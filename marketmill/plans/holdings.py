@@ -250,3 +250,98 @@ WHERE p.date = (SELECT max(date) FROM perf x WHERE x.cik = p.cik) GROUP BY 1, 2,
 def j9(spark, sf):
     a = stored_analytics(spark, sf)
     return J.compare_filers(J.holder_performance(a), J.holder_industry(a))
+
+
+# The filters of every 13F query, one query each; a filter has to act on the finished rows and not on their past.
+
+CTES["one_holder"] = "SELECT min(cik) AS cik FROM holdings"
+CTES["one_symbol"] = "SELECT min(symbol) AS symbol FROM holdings"
+YEAR, QUARTER = 1998, 2
+
+
+def _first(spark, sf, column):
+    return holdings(spark, sf).agg(F.min(column)).first()[0]
+
+
+@query(
+    "J2_filing_extract_filtered",
+    f"""SELECT *, value / sum(value) OVER (PARTITION BY cik, date) * 100 AS weight FROM (
+  SELECT cik, date, symbol, industry, "putCallShare", CAST(sum(shares) AS BIGINT) AS shares, sum(value) AS value
+  FROM holdings WHERE cik = (SELECT cik FROM one_holder) AND year(date) = {YEAR} AND quarter(date) = {QUARTER} GROUP BY ALL)""",
+    r6="weight",
+    r4="value",
+)
+def j2f(spark, sf):
+    return J.filing_extract(holdings(spark, sf), _first(spark, sf, "cik"), YEAR, QUARTER)
+
+
+@query(
+    "J3_filing_dates_of_one",
+    """SELECT DISTINCT cik, date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter
+FROM holdings WHERE cik = (SELECT cik FROM one_holder)""",
+)
+def j3f(spark, sf):
+    return J.filing_dates(holdings(spark, sf), _first(spark, sf, "cik"))
+
+
+@query(
+    "J4_holder_analytics_filtered",
+    f"SELECT * FROM analytics WHERE year(date) = {YEAR} AND quarter(date) = {QUARTER} AND symbol = (SELECT symbol FROM one_symbol)",
+    r6=A_R6,
+    r4=f"{A_R4} {A_PERF}",
+)
+def j4f(spark, sf):
+    return J.holder_analytics(stored_positions(spark, sf), outstanding(spark, sf), _first(spark, sf, "symbol"), YEAR, QUARTER)
+
+
+@query(
+    "J4_holder_analytics_page",
+    f'SELECT * FROM analytics WHERE year(date) = {YEAR} ORDER BY date DESC, "marketValue" DESC, cik, symbol LIMIT 50 OFFSET 50',
+    r6=A_R6,
+    r4=f"{A_R4} {A_PERF}",
+)
+def j4p(spark, sf):
+    return J.holder_analytics(stored_positions(spark, sf), outstanding(spark, sf), year=YEAR, page=1, limit=50)
+
+
+@query(
+    "J5_holder_performance_of_one",
+    "SELECT * FROM perf WHERE cik = (SELECT cik FROM one_holder)",
+    r6=P_R6.replace(" performanceRelativePercentage", ""),
+    r4=P_R4,
+)
+def j5f(spark, sf):
+    return J.holder_performance(stored_analytics(spark, sf), cik=_first(spark, sf, "cik"))
+
+
+@query(
+    "J6_holder_industry_filtered",
+    f"SELECT * EXCLUDE (lmv) FROM by_industry WHERE cik = (SELECT cik FROM one_holder) AND year(date) = {YEAR} AND quarter(date) = {QUARTER}",
+    r6="weight lastWeight changeInWeight changeInWeightPercentage performancePercentage",
+    r4="performance lastPerformance changeInPerformance",
+)
+def j6f(spark, sf):
+    return J.holder_industry(analytics(spark, sf), _first(spark, sf, "cik"), YEAR, QUARTER)
+
+
+@query(
+    "J7_positions_summary_filtered",
+    f"""SELECT * FROM (SELECT *, {", ".join(_last(c) for c in MEASURES)} FROM symbol_positions WINDOW w AS (PARTITION BY symbol ORDER BY date))
+WHERE symbol = (SELECT symbol FROM one_symbol) AND year(date) = {YEAR} AND quarter(date) = {QUARTER}""",
+    r6="ownershipPercent lastOwnershipPercent ownershipPercentChange putCallRatio lastPutCallRatio putCallRatioChange",
+    r4="totalInvested lastTotalInvested totalInvestedChange",
+)
+def j7f(spark, sf):
+    pos = stored_positions(spark, sf)
+    return J.positions_summary(J.holder_analytics(pos, outstanding(spark, sf)), pos, _first(spark, sf, "symbol"), YEAR, QUARTER)
+
+
+@query(
+    "J8_industry_summary_filtered",
+    f"""SELECT *, "industryValue" / sum("industryValue") OVER (PARTITION BY date) * 100 AS share FROM (
+  SELECT date, industry AS "industryTitle", sum(value) AS "industryValue" FROM holdings WHERE year(date) = {YEAR} AND quarter(date) = {QUARTER} GROUP BY ALL)""",
+    r6="share",
+    r4="industryValue",
+)
+def j8f(spark, sf):
+    return J.industry_summary(holdings(spark, sf), YEAR, QUARTER)

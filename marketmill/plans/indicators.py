@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from marketmill.operators import indicators as I
 from marketmill.operators import prices as P
+from marketmill.operators.longseries import recursive_indicators
 
 from .prices import bars
 from .registry import CTES, query
@@ -139,3 +142,21 @@ GRID = [("sma", 5), ("ema", 5), ("rsi", 5), ("williams", 5), ("adx", 5), ("stand
 )
 def e10(spark, sf):
     return I.indicator_grid(bars(spark, sf), GRID)
+
+
+RECURSIVE = [(name, name, N) for name in ("ema", "dema", "tema", "rsi", "adx")]
+
+
+@query(
+    "E9_continued_states",
+    """SELECT b.symbol, b.date, b.close, e.ema, d.dema, t.tema, r.rsi, a.adx FROM ohlc b """
+    + " ".join(f"LEFT JOIN ({VALUE_SQL[name]}) {name[0]} ON b.symbol = {name[0]}.symbol AND b.date = {name[0]}.date" for name, _, _ in RECURSIVE)
+    + " WHERE b.date >= DATE '2024-01-12'",
+    r6="ema dema tema rsi adx",
+)
+def e9_continued(spark, sf):
+    """Bars from a day on, continued from the states that the bars before left."""
+    daily, day = bars(spark, sf).select("symbol", "date", "high", "low", "close"), F.lit("2024-01-12").cast("date")
+    _, states = recursive_indicators(daily.filter(F.col("date") < day), RECURSIVE)
+    later, _ = recursive_indicators(daily.filter(F.col("date") >= day), RECURSIVE, states)
+    return later.select("symbol", "date", "close", *[c for c, _, _ in RECURSIVE])

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketmill.functions.windows import page
+from marketmill.operators import intervals as V
 from marketmill.operators import maintain as B
+from marketmill.session import materialize
 from marketmill.sources.datasets import coverage
 
 from .registry import CTES, query
@@ -156,6 +158,41 @@ def b5d(spark, sf):
     return page(order_days(spark, sf), [F.desc_nulls_last("date"), F.asc("id")], 100, 100, band="date")
 
 
+CTES["one_day"] = "SELECT DATE '1998-01-01' AS date, l_orderkey AS id, l_linenumber AS line, l_quantity AS value FROM lineitem"
+
+
+def one_day(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        F.lit("1998-01-01").cast("date").alias("date"), F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("value"),
+    )
+
+
+@query("B5_page_one_day", "SELECT * FROM one_day ORDER BY date DESC, id, line, value LIMIT 100 OFFSET 5000")
+def b5o(spark, sf):
+    """A page deep in a feed whose rows are all of one day."""
+    order = [F.desc_nulls_last("date"), F.asc("id"), F.asc("line"), F.asc("value")]
+    return page(one_day(spark, sf), order, 50, 100, band="date", deep=1000)
+
+
+@query(
+    "B5_page_one_entity",
+    "SELECT * FROM one_day QUALIFY row_number() OVER (PARTITION BY date ORDER BY id, line, value) BETWEEN 4001 AND 4100",
+)
+def b5oe(spark, sf):
+    """A page deep in the rows of one entity."""
+    return page(one_day(spark, sf), [F.asc("id"), F.asc("line"), F.asc("value")], 40, 100, partition=["date"], deep=1000)
+
+
+@query(
+    "B6_new_since_one_day",
+    """SELECT *, CAST((row_number() OVER (ORDER BY id, line, value) - 1) // 100 AS INTEGER) AS page FROM one_day""",
+)
+def b6o(spark, sf):
+    order = [F.desc_nulls_last("date"), F.asc("id"), F.asc("line"), F.asc("value")]
+    return B.new_since(one_day(spark, sf), order, "1997-12-31", "date")
+
+
 @query(
     "B5_page_per_entity",
     """SELECT * FROM order_days QUALIFY row_number() OVER (PARTITION BY k ORDER BY date DESC, id) BETWEEN 4 AND 6""",
@@ -302,6 +339,20 @@ def b14(spark, sf):
     return B.refresh_universe(existing, listing, "parts", [F.desc("id")])
 
 
+@query(
+    "B14_refresh_universe_unnamed",
+    """SELECT p_name AS symbol, p_partkey AS id, 'parts' AS universe FROM part
+QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) = 1
+UNION ALL SELECT s_name, s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'suppliers' END FROM supplier WHERE s_suppkey % 3 > 0""",
+)
+def b14n(spark, sf):
+    """Rows without a universe stay."""
+    listing = table(spark, sf, "part").select(F.col("p_name").alias("symbol"), F.col("p_partkey").alias("id"))
+    s = table(spark, sf, "supplier").select(F.col("s_name").alias("symbol"), F.col("s_suppkey").alias("id"))
+    name = F.when(F.col("id") % 3 == 0, "parts").when(F.col("id") % 2 == 0, "suppliers")
+    return B.refresh_universe(s.withColumn("universe", name), listing, "parts", [F.desc("id")])
+
+
 LATEST = """SELECT * FROM facts WHERE value IS NOT NULL {cond}
 QUALIFY row_number() OVER (PARTITION BY subject, predicate, valid_from ORDER BY published_at DESC, source_id, value) = 1"""
 CTES["facts_now"] = LATEST.format(cond="")
@@ -412,3 +463,79 @@ def b22(spark, sf):
         F.to_date("ts").alias("cycle"), F.col("event_id").alias("attempt_no"), status.alias("status")
     )
     return B.failure_streaks(attempts, 4)
+
+
+@query(
+    "B22_failure_streaks_no_cycle",
+    """WITH a AS (SELECT CASE WHEN day(ts) % 3 > 0 THEN CAST(ts AS DATE) END AS cycle, event_id AS n, event_type FROM events),
+i AS (SELECT *, sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER (PARTITION BY cycle ORDER BY n) AS island FROM a),
+s AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY cycle, island ORDER BY n) AS streak FROM i)
+SELECT cycle, min(n) AS attempt_no FROM s WHERE event_type = 'error' AND streak = 4 GROUP BY cycle""",
+)
+def b22n(spark, sf):
+    """Attempts without a cycle are one cycle."""
+    t = F.col("event_type")
+    status = F.when(t == "click", "success").when(t == "error", "paywall").otherwise("other")
+    cycle = F.when(F.dayofmonth("ts") % 3 > 0, F.to_date("ts"))
+    attempts = table(spark, sf, "events").select(cycle.alias("cycle"), F.col("event_id").alias("attempt_no"), status.alias("status"))
+    return B.failure_streaks(attempts, 4, chunk=1000)
+
+
+@query(
+    "B20_first_breach_undated",
+    """SELECT month, ts, id, CAST(r AS BIGINT) AS "runningBytes" FROM (
+  SELECT strftime(ts, '%Y-%m') AS month, ts, id, bytes, sum(bytes) OVER (PARTITION BY strftime(ts, '%Y-%m') ORDER BY ts, id) AS r
+  FROM (SELECT CASE WHEN id % 3 > 0 THEN ts END AS ts, id, bytes FROM usage))
+WHERE r >= 1e9 AND r - bytes < 1e9""",
+)
+def b20u(spark, sf):
+    """Requests without a time have a running total of their own."""
+    timed = usage(spark, sf).withColumn("ts", F.when(F.col("id") % 3 > 0, F.col("ts")))
+    return B.first_breach(timed, 1e9)
+
+
+#: Fifty days, every fifty days.
+AS_OF = [f"{1995 + i // 7}-{1 + 50 * (i % 7) // 30:02d}-{1 + 50 * (i % 7) % 30:02d}" for i in range(50)]
+CTES["as_of_days"] = "SELECT unnest([" + ", ".join(f"TIMESTAMP '{d}'" for d in AS_OF) + "]) AS as_of"
+CTES["facts_then"] = """
+SELECT f.*, as_of FROM facts f JOIN as_of_days ON published_at <= as_of WHERE value IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY as_of, subject, predicate, valid_from ORDER BY published_at DESC, source_id, value) = 1"""
+
+
+def stored_intervals(spark, sf):
+    return materialize(V.fact_intervals(facts(spark, sf)), "intervals")
+
+
+@query("B15_facts_as_of_many", "SELECT subject, predicate, valid_from, value, source_id, published_at AS since, as_of FROM facts_then")
+def b15m(spark, sf):
+    return V.facts_as_of(stored_intervals(spark, sf), AS_OF).drop("until")
+
+
+@query(
+    "B15_intervals_incremental",
+    """SELECT subject, predicate, valid_from, value, source_id, published_at AS since,
+       lead(published_at) OVER (PARTITION BY subject, predicate, valid_from ORDER BY published_at) AS until FROM (
+  SELECT * FROM facts WHERE value IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY subject, predicate, valid_from, published_at ORDER BY source_id, value) = 1)""",
+)
+def b15n(spark, sf):
+    """The intervals of two thirds of the facts, old and new ones, brought up to date by the rest."""
+    f, third = facts(spark, sf), F.pmod(F.xxhash64("subject", "published_at"), F.lit(3)) == 0
+    return V.merge_intervals(materialize(V.fact_intervals(f.filter(~third)), "intervals"), f.filter(third))
+
+
+@query(
+    "B16_facts_panel_many",
+    """SELECT as_of, subject AS entity, valid_from AS time, max(value) FILTER (predicate = 'A') AS "A",
+       max(value) FILTER (predicate = 'N') AS "N", max(value) FILTER (predicate = 'R') AS "R" FROM facts_then GROUP BY 1, 2, 3""",
+)
+def b16m(spark, sf):
+    return V.panels_as_of(stored_intervals(spark, sf), AS_OF, PREDICATES)
+
+
+@query(
+    "B18_changed_since_many",
+    "SELECT DISTINCT as_of AS cursor, subject, valid_from FROM facts JOIN as_of_days ON published_at > as_of WHERE value IS NOT NULL",
+)
+def b18m(spark, sf):
+    return V.changed_since(stored_intervals(spark, sf), AS_OF)

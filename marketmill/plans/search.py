@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from marketmill.functions.scalars import transaction_bucket
 from marketmill.operators import insiders as K
+from marketmill.operators import news as W
 from marketmill.operators import search as C
+from marketmill.session import fresh_path
+from marketmill.sources import textindex as X
 
 from .registry import CTES, query
-from .tables import companies, insider, securities, table, transcripts
+from .tables import companies, insider, news, securities, table, transcripts
 
 
 @query(
@@ -60,6 +63,18 @@ def c3o(spark, sf):
     return C.screen(screenable(spark, sf), include_all_share_classes=False, price_more_than=950)
 
 
+@query(
+    "C3_screen_unnamed",
+    """WITH s AS (SELECT * REPLACE (CASE WHEN price <= 1100 THEN "companyName" END AS "companyName") FROM screenable WHERE price > 950)
+SELECT * FROM s WHERE "companyName" IS NULL UNION ALL SELECT * FROM (SELECT * FROM s WHERE "companyName" IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY "companyName" ORDER BY "marketCap" DESC, symbol) = 1)""",
+)
+def c3u(spark, sf):
+    """Rows without a company name are companies of their own."""
+    df = screenable(spark, sf).withColumn("companyName", F.when(F.col("price") <= 1100, F.col("companyName")))
+    return C.screen(df, include_all_share_classes=False, price_more_than=950)
+
+
 CTES["listings"] = """
 SELECT p_partkey AS id, CASE p_size % 5 WHEN 0 THEN '' WHEN 1 THEN 'A' || p_partkey WHEN 2 THEN 'B' || p_partkey || '.HK'
        WHEN 3 THEN '0P' || p_partkey ELSE NULL END AS symbol,
@@ -266,3 +281,57 @@ def n9(spark, sf):
     keep = (F.col("event_type") != "view") & (F.col("value") > 5)
     e = table(spark, sf, "events").select("event_type", F.when(keep, F.col("value")).alias("v"))
     return C.summary_stats(e, "v", ["event_type"])
+
+
+# Searches that read the blocks of an index only; the same answers as without it.
+
+
+def _indexed(spark, df, fields, order, wanted):
+    path = fresh_path(spark, "text-index")
+    X.write_index(df, path, fields, order, block_rows=256)
+    return X.narrowed(spark, path, wanted)
+
+
+@query(
+    "C1_search_symbols_indexed",
+    "SELECT * FROM companies WHERE starts_with(CAST(symbol AS VARCHAR), '0011') OR contains(lower(name), '0011')",
+)
+def c1x(spark, sf):
+    text = "0011"
+    symbol = F.col("symbol").cast("string")
+    fields = {"symbol": X.starts(symbol), "name": X.contains(F.col("name"))}
+    some = _indexed(spark, companies(spark, sf), fields, [F.lower("name")], [("symbol", X.START + text), ("name", text)])
+    return C.search_symbols(some, text)
+
+
+@query("C2_search_companies_indexed", "SELECT * FROM securities WHERE contains(lower(name), 'ring')")
+def c2x(spark, sf):
+    some = _indexed(spark, securities(spark, sf), {"name": X.contains(F.col("name"))}, [F.lower("name")], [("name", "RING")])
+    return C.search_companies(some, "RING")
+
+
+@query("C7_search_by_name_indexed", "SELECT * FROM customer WHERE contains(lower(c_name || ' ' || c_mktsegment), '7 build')")
+def c7x(spark, sf):
+    full = X.contains(F.concat_ws(" ", "c_name", "c_mktsegment"))
+    some = _indexed(spark, table(spark, sf, "customer"), {"full": full}, [F.col("c_mktsegment"), F.col("c_name")], [("full", "7 BUILD")])
+    return C.search_by_name(some, "7 BUILD", ["c_name", "c_mktsegment"])
+
+
+@query(
+    "C8_mergers_search_indexed",
+    "SELECT * FROM deals WHERE contains(lower(\"companyName\"), 'nation_7') OR contains(lower(\"targetedCompanyName\"), 'nation_7')",
+)
+def c8x(spark, sf):
+    fields = {c: X.contains(F.col(c)) for c in ("companyName", "targetedCompanyName")}
+    wanted = [(c, "Nation_7") for c in fields]
+    return C.mergers(_indexed(spark, deals(spark, sf), fields, [F.col("targetedCompanyName"), F.col("companyName")], wanted), "Nation_7")
+
+
+@query(
+    "N8_news_search_indexed",
+    """SELECT * FROM news WHERE list_has_any(string_split(symbols, ','), ['S7', 'S14', 'S140'])""",
+)
+def n8x(spark, sf):
+    asked = ["S7", "S14", "S140"]
+    fields, wanted = {"symbols": X.words(F.col("symbols"))}, [("symbols", f"{X.START}{s}{X.START}") for s in asked]
+    return W.news_search(_indexed(spark, news(spark, sf), fields, [F.col("symbols")], wanted), ",".join(asked))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from marketmill.functions.scalars import quarter_end
 from marketmill.operators import maintain as B
 from marketmill.session import fresh_path
-from marketmill.sources.datasets import read_dataset
+from marketmill.sources.datasets import read_dataset, read_keys, write_dataset
 from marketmill.streaming import jobs as J
+from marketmill.streaming import keyed as K
 
 from . import maintain as _maintain  # noqa: F401  (its sub-queries are used below)
 from .registry import query
@@ -48,10 +49,9 @@ def p2(spark, sf):
         "l_orderkey", "l_linenumber",
     )
     keys = ["symbol", "filingDate", "transactionType"]
-    schema, order = feed.select(*keys).schema, [F.asc("l_orderkey"), F.asc("l_linenumber")]
-    out = fresh_path(spark, "dedup")
-    J.start_feed(feed, out, schema, keys, order, fresh_path(spark, "checkpoint"), 8).awaitTermination()
-    return read_dataset(spark, out, schema)
+    out, order = fresh_path(spark, "dedup"), [("l_orderkey", True), ("l_linenumber", True)]
+    K.start_keyed_feed(feed, out, keys, order, fresh_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(feed.schema).parquet(out).select(*keys)
 
 
 @query(
@@ -60,6 +60,19 @@ def p2(spark, sf):
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1""",
 )
 def p3(spark, sf):
+    feed = replay(spark, sf, "events")
+    out, entity, order = fresh_path(spark, "snapshot"), ["user_id", "event_type"], [("ts", False), ("event_id", True)]
+    K.start_keyed_snapshot(feed, out, entity, "value", order, fresh_path(spark, "checkpoint")).awaitTermination()
+    return K.read_snapshot(spark, out, feed.schema, entity, order)
+
+
+@query(
+    "P3_stream_snapshot_table",
+    """SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1""",
+)
+def p3t(spark, sf):
+    """The snapshot as a dataset table whose touched buckets each batch rewrites."""
     feed = replay(spark, sf, "events")
     out = fresh_path(spark, "snapshot")
     order = [F.desc("ts"), F.asc("event_id")]
@@ -84,9 +97,12 @@ def p4(spark, sf):
     def build(f):
         return B.facts_panel(B.facts_latest(f), ["A", "N", "R"])
 
-    schema = build(facts(spark, sf)).schema
+    landed, cells = facts(spark, sf), ["subject", "valid_from"]
+    schema, kept = build(landed).schema, fresh_path(spark, "facts")
+    write_dataset(landed, kept, cells, 8)
     out = fresh_path(spark, "panel")
+    # a batch reads the buckets of its dirty cells, not all facts
     J.start_changes(
-        feed, lambda s, dirty: facts(s, sf).join(dirty, ["subject", "valid_from"], "left_semi"), build, out, schema, ["entity", "time"], fresh_path(spark, "checkpoint"), 8
+        feed, lambda s, dirty: read_keys(s, kept, landed.schema, dirty, cells), build, out, schema, ["entity", "time"], fresh_path(spark, "checkpoint"), 8
     ).awaitTermination()
     return read_dataset(spark, out, schema)

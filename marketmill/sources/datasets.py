@@ -7,9 +7,12 @@ sorted by key inside the files, which lets row-group statistics prune.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +21,17 @@ from pyspark.sql.utils import AnalysisException
 from marketmill.functions.scalars import lead_date
 from marketmill.session import fresh_path
 
+# The code of file_states runs in Python workers, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Start of the partition column's name; the number of buckets and the keys follow, so a table knows its own.
 PREFIX = "key_bucket_of_"
 
 
+#: Folder of a table for the record of a replacement under way; readers of the files pass over it.
+PENDING = "_pending"
+
+
 def bucket_column(keys: Sequence[str], buckets: int) -> str:
     return f"{PREFIX}{buckets}_by_{'+'.join(keys)}"
 
@@ -60,24 +70,58 @@ def write_dataset(df: DataFrame, path: str, keys: Sequence[str], buckets: int =
     _write(df.withColumn(column, _bucket(_named(keys), column)), path, column, keys)
 
 
-def _open(spark: SparkSession, path: str, schema: T.StructType, ignore_corrupt: bool = False):
-    """The stored table with its bucket column, and that column's name; None if there is no table.
-
-    Files without a bucket column are a table of another kind, and an error.
-    """
+def _parquet(spark: SparkSession, path: str, schema: T.StructType, ignore_corrupt: bool = False) -> DataFrame | None:
+    """A stored table with its partition column; None if there is none."""
     reader = spark.read.schema(schema)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
     try:
-        df = reader.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
+        return None
+
+
+def _open(spark: SparkSession, path: str, schema: T.StructType, ignore_corrupt: bool = False):
+    """The stored table with its bucket column, and that column's name; None if there is no table.
+
+    Files without a bucket column are a table of another kind, and an error. While a replacement is under way, or where one
+    broke off behind its record, its staged rows stand for the buckets that it replaces.
+    """
+    pending = _pending(spark, path)
+    df = _parquet(spark, path, schema, ignore_corrupt)
+    if df is None and pending is None:
         return None, None
-    column = next((c for c in df.columns if c.startswith(PREFIX)), None)
-    if column is None and df.inputFiles():
+    column = next((c for c in df.columns if c.startswith(PREFIX)), None) if df is not None else None
+    if column is None and df is not None and df.inputFiles():
         raise ValueError(f"{path} has no bucket column: not a dataset table")
-    return (df, column) if column else (None, None)
+    if pending is None:
+        return (df, column) if column else (None, None)
+    staged = spark.read.schema(T.StructType([*schema.fields, T.StructField(pending["column"], T.IntegerType())])).parquet(pending["stage"])
+    if column is None:
+        return staged, pending["column"]
+    return df.filter(~F.col(column).isin(list(pending["buckets"]))).unionByName(staged), column
+
+
+_RECORD = "stage string, column string, buckets array<int>"
+
+
+def _pending(spark: SparkSession, path: str):
+    """The record of a replacement that has not been finished, if there is one."""
+    df = None
+    try:
+        df = spark.read.schema(_RECORD).json(f"{path}/{PENDING}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    return None if df is None else df.first()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this module has written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_dataset(
@@ -120,15 +164,57 @@ def read_keys(
     return df.join(wanted, null_safe(df, wanted, keys), "left_semi").select(*schema.fieldNames())
 
 
-def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files of a table that gave no row when corrupt files are ignored."""
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        .load(path).select("path")
-    )
-    read = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
-    seen = read.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return listed.join(seen, "path", "left_anti")
+#: What a file can be, by its first and last bytes. The format's mark.
+MARK, TAIL = b"PAR1", 8
+
+
+def file_states(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, state) of the files of a table: sound, empty (no bytes) or broken.
+
+    Only the first bytes and the last ones of each file are read, by tasks: a sound file begins and ends with the format's mark, and its footer
+    fits into it. A sound file without rows is sound. A table that is not there has no files.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        files = listed.load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, length long, state string")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from urllib.parse import unquote, urlsplit
+
+        from pyarrow import fs
+
+        for batch in batches:
+            states = []
+            for uri, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if length < 2 * len(MARK) + 4:
+                    states.append("broken" if length else "empty")
+                    continue
+                local = uri.startswith("file:")
+                store, inner = (fs.LocalFileSystem(), unquote(urlsplit(uri).path)) if local else fs.FileSystem.from_uri(uri)
+                with store.open_input_file(inner) as f:
+                    head = f.read(len(MARK))
+                    f.seek(length - TAIL)
+                    tail = f.read(TAIL)
+                footer = int.from_bytes(tail[:4], "little")
+                sound = head == MARK == tail[4:] and footer <= length - len(MARK) - TAIL
+                states.append("sound" if sound else "broken")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(states, pa.string())], ["path", "length", "state"])
+
+    some = files.select("path", "length").mapInArrow(look, "path string, length long, state string")
+    # a scan passes over files without bytes, which the listing names; the planner holds that listing anyway
+    named = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    plain = lambda c: F.url_decode(F.regexp_replace(c, "^file:/+", "file:/"))
+    empty = named.join(files.select(plain("path").alias("__p")), plain("path") == F.col("__p"), "left_anti")
+    return some.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit("empty").alias("state")))
+
+
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a table that give nothing when corrupt files are ignored: see :func:`file_states`."""
+    return file_states(spark, path).filter("state <> 'sound'")
 
 
 def read_range(
@@ -162,7 +248,7 @@ def overwrite_keys(
 
     Only the buckets these keys fall into are read and rewritten. The new
     content is staged in the shared folder first, because a path cannot be
-    overwritten while it is being read. ``buckets`` counts for a new table only.
+    overwritten while it is being read; a table whose replacement broke off is read as the old one or the new one. ``buckets`` counts for a new table only.
     """
     _replace(spark, df.select(*schema.fieldNames()), df if replaced is None else replaced, path, schema, keys, buckets)
 
@@ -175,6 +261,13 @@ def delete_keys(
 
 
 def _replace(spark, fresh, replaced, path, schema, keys, buckets) -> None:
+    """Stage the new content of the touched buckets, record it, and put it in place.
+
+    Before the record is written the table is the old one, and from then on the new one, whichever step an error
+    hits: readers take the staged rows until they are in place, and the next replacement finishes the broken one first.
+    """
+    if (pending := _pending(spark, path)) is not None:
+        _finish(spark, path, schema, pending)
     stored, column = _open(spark, path, schema)
     if stored is None and fresh is None:
         return
@@ -193,13 +286,29 @@ def _replace(spark, fresh, replaced, path, schema, keys, buckets) -> None:
         keep = stored.join(replaced, null_safe(stored, replaced, keys), "left_anti")
         out = keep if out is None else keep.unionByName(out)
     stage = fresh_path(spark, "stage")
-    out.write.parquet(stage)
-    staged = spark.read.schema(out.schema).parquet(stage)
-    _write(staged, path, column, order)
+    recorded = False
+    try:
+        out.write.parquet(stage)
+        record = spark.createDataFrame([(stage, column, touched)], _RECORD).coalesce(1)
+        record.write.mode("overwrite").json(f"{path}/{PENDING}")
+        recorded = True
+    finally:
+        if not recorded:
+            _remove(spark, stage)
+    _finish(spark, path, schema, record.first())
+
+
+def _finish(spark, path, schema, record) -> None:
+    """Put staged buckets in place, empty those without rows, and take the record and the stage away."""
+    column, stage = record["column"], record["stage"]
+    staged = spark.read.schema(T.StructType([*schema.fields, T.StructField(column, T.IntegerType())])).parquet(stage)
+    _write(staged, path, column, _key_order(column, []))
     # a bucket left without rows is not among the written ones and has to be emptied
     left = {r[0] for r in staged.select(column).distinct().collect()}
-    for bucket in sorted(set(touched) - left):
+    for bucket in sorted(set(record["buckets"]) - left):
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{column}={bucket}")
+    _remove(spark, f"{path}/{PENDING}")
+    _remove(spark, stage)
 
 
 def append_new(existing: DataFrame, fresh: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -79,3 +79,23 @@ class Views:
             return False
         self._append(Manifest(name, m["kind"], m["expr_hash"]), time.time_ns(), True, [])
         return True
+
+    def purge(self) -> list[str]:
+        """Remove the frames that no current view reads: old versions, dropped views, and publishes that broke off.
+
+        Returns their folders. Not to be run while a view is being published or read.
+        """
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/frames")
+        store = root.getFileSystem(conf)
+        if not store.exists(root):
+            return []
+        live = {f"{r['name']}/{r['version']}" for r in self.manifests().select("name", "version").collect()}
+        out = []
+        for view in store.listStatus(root):
+            for version in store.listStatus(view.getPath()):
+                name = f"{view.getPath().getName()}/{version.getPath().getName()}"
+                if name not in live:
+                    store.delete(version.getPath(), True)
+                    out.append(f"{self.root}/frames/{name}")
+        return sorted(out)

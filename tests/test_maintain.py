@@ -264,3 +264,17 @@ def test_null_keys_are_keys(spark):
     cp = spark.createDataFrame([(None, D("2024-01-03"))], "symbol string, checkpoint date")
     out = B.new_since_per_key(f, ["symbol"], [F.asc("seq")], cp, "date", "2024-02-01", page_size=1)
     assert sorted(r.seq for r in out.collect()) == [1, 2]
+
+
+def test_gaps_bound_the_scan_of_the_source(spark, tmp_path):
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)
+    spark.createDataFrame([(k, day(i), float(i)) for k in "ab" for i in range(300)], "k string, date date, v double").write.parquet(str(tmp_path / "s"))
+    source = spark.read.parquet(str(tmp_path / "s"))
+    existing = source.filter(F.col("date").between("2024-02-01", "2024-03-01") & (F.col("k") == "a"))
+    requests = spark.createDataFrame([("a", day(20), day(80)), ("b", day(30), day(40))], "k string, lo date, hi date")
+    stored, answer = B.refresh_range(requests, existing, source, ["k"], "date", "2024-12-31")
+    assert stored.count() == 61 + 11 and answer.count() == 61 + 11
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2024-01-21)" in plan and "LessThanOrEqual(date,2024-03-21)" in plan
+    none = requests.limit(0)
+    assert B.refresh_range(none, existing, source, ["k"], "date", "2024-12-31")[0].count() == existing.count()

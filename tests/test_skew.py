@@ -40,6 +40,28 @@ def test_exact_median(df, rows, buckets):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+@pytest.mark.parametrize("accuracy", [4, 16, 1024])
+def test_exact_median_of_odd_values(spark, accuracy):
+    nan, inf = float("nan"), float("inf")
+    groups = {
+        "one": [7.0], "nan": [nan], "half": [1.0, nan], "most": [1.0, nan, nan], "some": [1.0, 2.0, 3.0, nan], "inf": [inf, inf, nan], "low": [-inf, 5.0],
+        "ties": [2.0] * 50 + [3.0] * 50, "none": [None], None: [4.0, 8.0], "many": [float(i % 997) for i in range(5000)] + [None] * 20 + [nan] * 7,
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double").repartition(5)
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", accuracy).collect()}
+    want = {}
+    for k, vs in groups.items():
+        known = sorted((v for v in vs if v is not None), key=lambda v: (v != v, v))
+        if known:
+            want[k] = (known[(len(known) - 1) // 2] + known[len(known) // 2]) / 2
+    assert {k: repr(v) for k, v in got.items()} == {k: repr(v) for k, v in want.items()}
+
+
+def test_median_reads_the_rows_twice(df):
+    plan = exact_median(df, ["k"], "v", "m")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 2
+
+
 def test_previous_value(df, rows):
     got = {r.id: r.p for r in previous_value(df, ["k"], "day", "id", "v", "p").collect()}
     want = {}

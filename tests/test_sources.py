@@ -94,8 +94,51 @@ def test_corrupt_file_is_nothing_stored(spark, tmp_path):
     with open(f"{path}/{bucket}/broken.parquet", "wb") as f:
         f.write(data[: len(data) // 2])
     assert D.read_dataset(spark, path, SCHEMA, ignore_corrupt=True).count() == 1
-    skipped = [r.path for r in D.skipped_files(spark, path, SCHEMA).collect()]
-    assert len(skipped) == 1 and skipped[0].endswith("broken.parquet")
+    open(f"{path}/{bucket}/none.parquet", "wb").close()
+    frame(spark, []).coalesce(1).write.mode("append").parquet(f"{path}/{bucket}")
+    with open(f"{path}/{bucket}/other.parquet", "wb") as f:
+        f.write(b"no table at all, but long enough")
+    states = {os.path.basename(r.path): r.state for r in D.file_states(spark, path).collect()}
+    named = {k: v for k, v in states.items() if not k.startswith("part-")}
+    assert named == {"broken.parquet": "broken", "none.parquet": "empty", "other.parquet": "broken"}
+    assert len(states) > 4 and {v for k, v in states.items() if k.startswith("part-")} == {"sound"}
+    assert {os.path.basename(r.path) for r in D.skipped_files(spark, path).collect()} == set(named)
+    assert D.file_states(spark, str(tmp_path / "nothing")).collect() == []
+
+
+@pytest.mark.parametrize("step", ["stage", "record", "write", "empty", "remove"])
+def test_a_broken_replacement_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    old = [("a", "2024-01-01", 1), ("b", "2024-01-01", 2), ("c", "2024-01-01", 3), ("d", "2024-01-01", 4)]
+    D.write_dataset(frame(spark, old), path, ["k"], 3)
+    doomed = spark.createDataFrame([("a",), ("b",), ("c",), ("x",)], "k string")
+    new = [("x", "2024-02-02", 9)]
+    writer, removed = type(frame(spark, [])).write.fget, D._remove
+    count = {"n": 0}
+    at = {"stage": 1, "record": 2, "write": 3, "empty": 4}
+
+    def write(self):
+        count["n"] += 1
+        if count["n"] == at.get(step):
+            raise OSError("disk")
+        return writer(self)
+
+    def remove(spark_, folder):
+        if step == "remove" and folder.endswith(D.PENDING):
+            raise OSError("disk")
+        removed(spark_, folder)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(frame(spark, [])), "write", property(write))
+        m.setattr(D, "_remove", remove)
+        with pytest.raises(OSError):
+            D.overwrite_keys(spark, frame(spark, new), path, SCHEMA, ["k"], replaced=doomed)
+    want = sorted(old) if step in ("stage", "record") else sorted([old[3], new[0]])
+    assert rows(D.read_dataset(spark, path, SCHEMA)) == want
+    assert rows(D.read_dataset(spark, path, SCHEMA, {"k": "d"})) == [old[3]]
+    D.overwrite_keys(spark, frame(spark, [("e", "2024-03-03", 5)]), path, SCHEMA, ["k"])
+    assert rows(D.read_dataset(spark, path, SCHEMA)) == sorted([*want, ("e", "2024-03-03", 5)])
+    assert not os.path.exists(f"{path}/{D.PENDING}")
 
 
 def test_reconcile_types(spark):

@@ -8,6 +8,7 @@ from marketmill.operators import maintain as B
 from marketmill.operators import prices as P
 from marketmill.sources.datasets import read_dataset
 from marketmill.streaming import jobs as J
+from marketmill.streaming import keyed as K
 
 TICK = "symbol string, ts timestamp_ntz, price double, size bigint, id bigint"
 T0 = dt.datetime(2024, 1, 1)
@@ -87,3 +88,62 @@ def test_feed_keeps_late_rows(spark, tmp_path):
         got = {(r.symbol, r.filingDate) for r in read_dataset(spark, out, schema).collect()}
         assert got == {(None, None)} | {("A", T0 - dt.timedelta(d)) for d in days}
         assert read_dataset(spark, out, schema).count() == 4
+
+
+def written(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*") if f.is_file()) if folder.exists() else 0
+
+
+def test_keyed_feed(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = spark.createDataFrame([], "symbol string, filingDate timestamp_ntz, seq bigint, note string").schema
+    days = [0, 57, 400]
+    keys, order = ["symbol", "filingDate"], [("seq", True), ("note", False)]
+
+    def run(files):
+        feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(src)
+        K.start_keyed_feed(feed, out, keys, order, cp).awaitTermination()
+        return spark.read.schema(schema).parquet(out)
+
+    for i, back in enumerate(days):  # newest first
+        land(spark, src, [("A", T0 - dt.timedelta(back), i, None), ("A", T0, 10 + i, "x"), ("A", T0, 10 + i, "y"), (None, None, None, "n"), (None, None, 20 + i, "n")], schema)
+        got = sorted(((r.symbol, r.filingDate, r.seq, r.note) for r in run(1).collect()), key=str)
+    assert got == sorted([(None, None, None, "n")] + [("A", T0 - dt.timedelta(d), i, None) for i, d in enumerate(days)], key=str)
+    # many keys, then a batch of a few in many small files: it writes its own only
+    land(spark, src, [(f"s{i}", T0, i, "z") for i in range(5000)], schema)
+    assert run(100).count() == 5004
+    before = written(tmp_path / "out")
+    spark.createDataFrame([("new", T0, i, "w") for i in range(12)] + [("s7", T0, -1, "late")], schema).repartition(6).write.mode("append").parquet(src)
+    assert run(100).count() == 5005
+    assert written(tmp_path / "out") - before < 6000 < before
+
+
+def test_keyed_snapshot(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = spark.createDataFrame([], "e string, seq int, at timestamp_ntz, big bigint, payload string").schema
+    big = 2**60 + 1
+    batches = [
+        [("a", 1, T0, big, "x"), ("b", 1, None, None, "y"), (None, 5, T0, big, "n")],
+        [("a", 3, T0, big + 2, "z"), ("a", 2, T0, 1, "old"), ("b", 9, T0, 1, None)],
+        [("a", 0, T0, 0, "late"), ("c", 1, T0, None, "w"), ("b", None, T0, 1, "null")],
+    ]
+    order = [("seq", False), ("at", True)]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(src)
+        feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+        K.start_keyed_snapshot(feed, out, ["e"], "payload", order, cp).awaitTermination()
+    got = sorted(tuple(r) for r in K.read_snapshot(spark, out, schema, ["e"], order).collect() if r.e)
+    assert got == [("a", 3, T0, big + 2, "z"), ("b", 1, None, None, "y"), ("c", 1, T0, None, "w")]
+    # an entity comes again only when it has got better
+    assert spark.read.parquet(out).filter("e = 'b'").count() == 1 and spark.read.parquet(out).filter("e is null").count() == 1
+
+
+def test_rank_sorts_like_spark(spark):
+    nan = float("nan")
+    rows = [(None, 1.0), (1, None), (1, nan), (1, 2.0), (2, -1.0), (2, nan), (None, None)]
+    for up in (True, False):
+        for also in (True, False):
+            order = [F.asc("a") if up else F.desc("a"), F.asc("b") if also else F.desc("b")]
+            want = [repr(tuple(r)) for r in spark.createDataFrame(rows, "a int, b double").coalesce(1).orderBy(*order).collect()]
+            got = sorted(rows, key=lambda r: K._Rank(r, [(0, up), (1, also)]))
+            assert [repr(r) for r in got] == want
