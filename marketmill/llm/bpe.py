@@ -74,7 +74,8 @@ def encode_documents(
 
     ``digest(enc, ids)`` returns the values of the columns of ``schema`` (a DDL string) in
     the worker, so that no ids travel. A null text is empty and has no ids; null ids
-    and repeated rows are kept as they are. Rows are independent; nothing is shuffled.
+    and repeated rows are kept as they are; texts are encoded whole, however long; an empty table gives no rows. Other input
+    columns are not returned, whatever their names. Rows are independent; nothing is shuffled.
     """
     digest = digest or (lambda enc, ids: (ids.astype("<u4").tobytes(),))
     fields = T._parse_datatype_string(schema or "ids binary")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,16 @@ def words_of(text: Column | str) -> Column:
     return F.array_remove(F.split(F.coalesce(col, F.lit("")), f"{SPACE}+"), "")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes not to be a column (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def add_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     """Add columns; an input column of the same name (in any case) is replaced in its place."""
     return df.withColumns(new)
@@ -40,3 +52,22 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 4 <<
         while at < batch.num_rows:
             yield batch.slice(at, step)
             at += step
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as one compressed value; bytes of equal weight lie together, which packs better."""
+    head = b"".join(np.array([len(c), c.itemsize], np.uint32).tobytes() for c in columns)
+    body = b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(np.uint32(len(columns)).tobytes() + head + body)
+
+
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    """The columns of :func:`packed`, as unsigned numbers of their width."""
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    (n,) = np.frombuffer(data, np.uint32, 1).tolist()
+    out, at = [], 4 + 8 * n
+    for size, width in np.frombuffer(data, np.uint32, 2 * n, 4).reshape(n, 2).tolist():
+        planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).view(f"u{width}").reshape(size))
+        at += size * width
+    return out

@@ -8,13 +8,27 @@ from pyspark.sql import functions as F
 from marketmill.session import materialize
 
 
+#: Slices of the edges of one node.
+SLICES = 64
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with m, the smallest neighbour of u."""
+    sliced = edges.withColumn("__s", F.pmod(F.xxhash64("v"), F.lit(SLICES)))
+    per = sliced.groupBy("u", "__s").agg(F.min("v").alias("m"))
+    least = per.groupBy("u").agg(F.min("m").alias("m"))
+    # a node has as many rows here as slices at most
+    per = per.drop("m").join(least, "u")
+    return sliced.join(per, ["u", "__s"]).drop("__s")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the edges (a, b); the root is the smallest node that can be reached.
 
     Alternating large and small stars: each round hangs the neighbours of a node
     onto the smallest one, first the larger neighbours and then the smaller,
-    until only stars are left. The minima are aggregated and joined
-    back, so a node with very many edges is pre-aggregated on the map side and split by skew handling. Every round is written to
+    until only stars are left. The minima are aggregated by node and slice first and joined back by
+    node and slice, so that a node with very many edges is dealt over SLICES tasks. Every round is written to
     the shared folder, which cuts the lineage. Loops and repeated edges do no harm; an empty input
     gives no rows. Raises if the rounds do not suffice.
     """
@@ -27,11 +41,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 now.select("v", "v").distinct()
             )
         before = state
-        both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+        large = _with_least(now.union(now.select("v", "u")))
+        large = large.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        small = _with_least(large).select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         small = small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u <> v")
         now = materialize(small.distinct(), "edges")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -26,33 +26,107 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Wording of public licenses and of usual notices, shortened to what identifies them. Fixed values.
+#: Disclaimers that several licenses share. Fixed values.
+_AS_IS = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+    "merchantability fitness for a particular purpose and noninfringement in no event shall the <<authors or copyright holders|authors|"
+    "copyright holders|copyright holders or contributors>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from "
+    "out of or in connection with the software or the use or other dealings in the software"
+)
+_MIT_GRANT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+    "<<the software>> to deal in the software without restriction including without limitation the rights to use copy modify merge "
+    "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+)
+_ISC_GRANT = "permission to use copy modify and <<or>> distribute this software for any purpose with or without fee is hereby granted"
+_ISC_AS_IS = (
+    "the software is provided as is and [[6]] disclaims all warranties with regard to this software including all implied warranties of "
+    "merchantability and fitness in no event shall [[6]] be liable for any special direct indirect or consequential damages or any "
+    "damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action "
+    "arising out of or in connection with the use or performance of this software"
+)
+_BSD_GRANT = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met <<1|a>> redistributions of source code must retain the above copyright notice this list of conditions and the "
+    "following disclaimer <<2|b>> redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+    "the following disclaimer in the documentation and or other materials provided with the distribution"
+)
+_BSD_NAME = (
+    "neither the <<name|names>> of [[12]] nor the names of <<its|their|the|other>> contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission"
+)
+_BSD_AS_IS = (
+    "this software is provided by [[12]] as is and any express or implied warranties including but not limited to the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall [[12]] be liable for any "
+    "direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods "
+    "or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+    "strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of "
+    "the possibility of such damage"
+)
+_GNU_HOPE = (
+    "<<[[4]] is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+    "merchantability or fitness for a particular purpose see the gnu <<lesser>> general public license for more details>>"
+)
+
+
+def _gnu(version: str, lesser: str = "") -> str:
+    return (
+        f"<<[[4]] is>> free software you can redistribute it and or modify it under the terms of the gnu {lesser}general public license as "
+        f"published by the free software foundation <<either>> version {version} <<1|0>> <<of the license>> <<or at your option any later version>> {_GNU_HOPE}"
+    )
+
+
+#: Wording of public licenses, whole, and of the notices that usually name them. Fixed values.
 TEMPLATES = {
     "mit": [
         "<<released|licensed|available|distributed>> under the <<terms of the>> mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-        "documentation files <<the software>> to deal in the software without restriction including without limitation "
-        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
+        f"{_MIT_GRANT} subject to the following conditions the above copyright notice and this permission notice "
+        f"<<including the next paragraph>> shall be included in all copies or substantial portions of the software {_AS_IS}",
     ],
+    "mit-0": [f"{_MIT_GRANT} {_AS_IS}"],
     "apache-2": [
         "licensed under the apache license <<version>> 2 <<0>>",
-        "licensed under the apache license version 2 0 <<the license>> you may not use this <<file|work>> except in "
-        "compliance with the license",
+        "licensed under the apache license version 2 0 <<the license>> you may not use this <<file|work|software>> except in compliance with the license "
+        "you may obtain a copy of the license at [[8]] unless required by applicable law or agreed to in writing software distributed "
+        "under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the "
+        "license for the specific language governing permissions and limitations under the license",
     ],
     "cc-by-nc": [
         "<<licensed under|released under>> <<a|the>> <<creative commons>> cc by nc <<[[1]] 0>>",
         "creative commons attribution <<noncommercial|non commercial>> noncommercial [[2]] license",
     ],
+    "gpl-2": [_gnu("2")],
     "gpl-3": [
         "<<this [[3]] is>> licensed under the gnu general public license <<as published by the free software foundation>> "
         "<<either>> version 3 <<of the license or at your option any later version>>",
+        _gnu("3"),
+    ],
+    "lgpl-2": [_gnu("2", "lesser ")],
+    "lgpl-3": [_gnu("3", "lesser ")],
+    "bsd-2-clause": [f"{_BSD_GRANT} {_BSD_AS_IS}"],
+    "bsd-3-clause": [f"{_BSD_GRANT} <<3|c>> {_BSD_NAME} {_BSD_AS_IS}"],
+    "bsd-4-clause": [
+        f"{_BSD_GRANT} <<3|c>> all advertising materials mentioning features or use of this software must display the following "
+        f"acknowledgement this product includes software developed by [[20]] <<4|d>> {_BSD_NAME} {_BSD_AS_IS}"
     ],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the "
-        "following conditions are met",
+    "isc": [f"{_ISC_GRANT} provided that the above copyright notice and this permission notice appear in all copies {_ISC_AS_IS}"],
+    "0bsd": [f"{_ISC_GRANT} {_ISC_AS_IS}"],
+    "zlib": [
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any "
+        "damages arising from the use of this software permission is granted to anyone to use this software for any purpose including "
+        "commercial applications and to alter it and redistribute it freely subject to the following restrictions <<1>> the origin of "
+        "this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a "
+        "product an <<acknowledgment|acknowledgement>> in the product documentation would be appreciated but is not required <<2>> altered "
+        "source versions must be plainly marked as such and must not be misrepresented as being the original software <<3>> this notice "
+        "may not be removed or altered from any source distribution"
     ],
-    "isc": [
-        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "unlicense": [
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or "
+        "distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by "
+        "any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright "
+        "interest in the software to the public domain we make this dedication for the benefit of the public at large and to the detriment "
+        "of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and "
+        f"future rights to this software under copyright law {_AS_IS}"
     ],
     "all-rights-reserved": ["<<copyright [[8]]>> all rights reserved"],
 }
@@ -234,7 +308,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
     ``score`` is the share of a text's words inside phrases and accepted templates (0 to 1). Spans are
     (label, start, end) in words, end exclusive. A null or empty text has no words, no
-    places, empty labels and score 0. Repeated rows and ties give equal results. Only a
+    places, empty labels and score 0. Repeated rows and ties give equal results, texts are read whole however long, and an
+    empty table gives no rows. Other input columns are not returned, whatever their names. Only a
     text's own words are read, so nothing is shuffled.
     """
     out = T.StructType([T.StructField("__id", docs.schema[id_col].dataType), *FIELDS])

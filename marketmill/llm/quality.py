@@ -11,7 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import WORD, add_columns, words_of
+from marketmill.llm.common import WORD, add_columns, unused, words_of
 from marketmill.session import materialize
 
 MIN_WORDS = 50
@@ -25,11 +25,17 @@ TERMINAL = r"""[.!?:;,)\]}"'\x{2026}\x{201D}\x{2019}\x{BB}\x{3002}][\x20\x09-\x0
 NAVIGATION = r"(\|[^|]*){2}|([>\x{BB}\x{203A}\x{2022}][^>\x{BB}\x{203A}\x{2022}]*){3}"
 #: Characters without which a line is neither navigation nor full of symbols.
 MARKED = r"[#*$%&|<>\x{BB}\x{203A}\x{2022}]"
-#: Phrases, in small letters, of lines that are no text of the document.
+#: Phrases, in small letters, of lines that are no text of the document: English, German, French, Spanish. Fixed values.
 BOILERPLATE = (
     "cookie policy", "privacy policy", "terms of use", "terms of service", "subscribe now", "subscribe to our",
     "sign in to", "sign up for", "log in to", "click here", "read more", "enable javascript", "lorem ipsum",
     "skip to content", "back to top",
+    "datenschutzerklärung", "nutzungsbedingungen", "cookie-richtlinie", "jetzt abonnieren", "hier klicken", "mehr lesen",
+    "javascript aktivieren", "nach oben", "zum inhalt springen",
+    "politique de confidentialité", "politique de cookies", "conditions d'utilisation", "abonnez-vous", "cliquez ici",
+    "lire la suite", "activer javascript", "haut de page", "aller au contenu",
+    "política de privacidad", "política de cookies", "términos de uso", "suscríbete", "haz clic aquí", "leer más",
+    "habilitar javascript", "volver arriba", "saltar al contenido",
 )
 
 
@@ -138,26 +144,27 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     lost_words (words in removed lines), failed_lines (a count per rule), clean_text
     and kept. A null or empty text has zeros, fails the base rules and has an
-    empty clean_text. Input columns of those names are replaced. Repeated rows are
-    judged alike; text length is not limited.
+    empty clean_text. Input columns of those names are replaced, all others stay, whatever their names. Repeated rows are
+    judged alike; text length is not limited; an empty table gives no rows.
     """
+    words, lines, mask, keys = unused(docs, "__words", "__lines", "__mask", "__keys")
     body = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumns({"__words": words_of(text), "__lines": line_verdicts(F.split(body, "\n", -1))})
-    n = F.size("__words")
-    df = df.withColumn("__mask", window_mask(F.col("__words")))
-    df = df.withColumn("__keys", F.when(n >= 4, window_keys(F.col("__words"), F.col("__mask"))))
-    with_word = F.filter("__lines", lambda x: x["used"])
-    kept_lines = F.filter("__lines", lambda x: x["rule"].isNull())
+    df = docs.withColumns({words: words_of(text), lines: line_verdicts(F.split(body, "\n", -1))})
+    n = F.size(words)
+    df = df.withColumn(mask, window_mask(F.col(words)))
+    df = df.withColumn(keys, F.when(n >= 4, window_keys(F.col(words), F.col(mask))))
+    with_word = F.filter(lines, lambda x: x["used"])
+    kept_lines = F.filter(lines, lambda x: x["rule"].isNull())
     lost = F.aggregate(
-        F.filter("__lines", lambda x: x["rule"].isNotNull()), F.lit(0).cast("long"), lambda a, x: a + x["n"]
+        F.filter(lines, lambda x: x["rule"].isNotNull()), F.lit(0).cast("long"), lambda a, x: a + x["n"]
     )
-    repeats = F.when(n >= 4, repeated_words(F.col("__words"), F.col("__keys"), F.col("__mask"))).otherwise(0)
+    repeats = F.when(n >= 4, repeated_words(F.col(words), F.col(keys), F.col(mask))).otherwise(0)
     df = add_columns(
         df,
         {
             "n_words": n.cast("long"),
-            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
-            "n_symbols": F.aggregate("__lines", F.lit(0).cast("long"), lambda a, x: a + x["marks"]),
+            "word_chars": F.length(F.array_join(words, "")).cast("long"),
+            "n_symbols": F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + x["marks"]),
             "n_dup_lines": (
                 F.size(with_word) - F.size(F.array_distinct(F.transform(with_word, lambda x: x["line"])))
             ).cast("long"),
@@ -166,7 +173,7 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
             "failed_lines": F.transform(
                 F.array(*map(F.lit, ("navigation", "symbols", "shouting", "boilerplate", "punctuation"))),
                 lambda r: F.struct(
-                    r.alias("rule"), F.size(F.filter("__lines", lambda x: x["rule"] == r)).alias("lines")
+                    r.alias("rule"), F.size(F.filter(lines, lambda x: x["rule"] == r)).alias("lines")
                 ),
             ),
             "clean_text": F.array_join(F.transform(kept_lines, lambda x: x["line"]), "\n"),
@@ -177,7 +184,7 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     df = add_columns(df, {"base_failed": failed})
     kept = ~F.col("base_failed") & (F.col("lost_words") <= MAX_LOST * F.col("n_words"))
-    return add_columns(df, {"kept": kept}).drop("__words", "__lines", "__mask", "__keys")
+    return add_columns(df, {"kept": kept}).drop(words, lines, mask, keys)
 
 
 def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:

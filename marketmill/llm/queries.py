@@ -38,22 +38,38 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHAT_SQL = r"""
-WITH t AS (
-  SELECT conv_id, turn, role, text, CAST(floor(turn / 256) AS BIGINT) AS block,
+WITH raw AS (
+  SELECT conv_id, turn, role, text, regexp_replace(coalesce(text, ''), '<(\\*)\|im_', '<\1\\\\|im_', 'g') AS clean,
+         translate(regexp_replace(coalesce(role, 'unknown'), '<(\\*)\|im_', '<\1\\\\|im_', 'g'), chr(10), ' ') AS name
+  FROM conversations),
+t AS (
+  SELECT *, CAST(floor(turn / 256) AS BIGINT) AS block,
          row_number() OVER (PARTITION BY conv_id, floor(turn / 256)
                             ORDER BY turn NULLS LAST, role NULLS FIRST, text NULLS FIRST) AS n
-  FROM conversations),
+  FROM raw),
 p AS (SELECT *, CAST(floor((n - 1) / 256) AS BIGINT) AS part FROM t),
+o AS (SELECT conv_id, turn, text, clean FROM raw WHERE role = 'system'
+      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, text NULLS FIRST) = 1),
+h AS (
+  SELECT DISTINCT p.conv_id, p.block, p.part FROM p JOIN o ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+  WHERE p.role = 'system' AND p.turn IS NOT DISTINCT FROM o.turn AND p.text IS NOT DISTINCT FROM o.text),
 s AS (SELECT DISTINCT conv_id AS c, coalesce(role, 'unknown') AS speaker FROM t WHERE coalesce(role, '') <> 'system'),
+r AS (
+  SELECT conv_id, block, part, n, role, clean, name, 1 AS counts FROM p
+  UNION ALL
+  SELECT DISTINCT p.conv_id, p.block, p.part, 0, 'system', o.clean, 'system', 0
+  FROM p JOIN o ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+  WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.conv_id IS NOT DISTINCT FROM p.conv_id
+                    AND h.block IS NOT DISTINCT FROM p.block AND h.part = p.part)),
 b AS (
-  SELECT conv_id, speaker, block, part, n, coalesce(role, 'unknown') = speaker AS own,
+  SELECT conv_id, speaker, block, part, n, counts, counts = 1 AND coalesce(role, 'unknown') = speaker AS own,
          CASE WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
               WHEN coalesce(role, 'unknown') = speaker THEN '<|im_start|>assistant' || chr(10)
-              ELSE '<|im_start|>user name=' || coalesce(role, 'unknown') || chr(10) END AS head,
-         coalesce(text, '') || '<|im_end|>' || chr(10) AS body
-  FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.c),
+              ELSE '<|im_start|>user name=' || name || chr(10) END AS head,
+         clean || '<|im_end|>' || chr(10) AS body
+  FROM r JOIN s ON r.conv_id IS NOT DISTINCT FROM s.c),
 e AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, block, part ORDER BY n) AS z FROM b)
-SELECT conv_id, speaker, block, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY n) AS rendered,
+SELECT conv_id, speaker, block, part, sum(counts)::BIGINT AS n_turns, string_agg(head || body, '' ORDER BY n) AS rendered,
        coalesce(string_agg(CASE WHEN own THEN concat(CAST(z - length(body) AS BIGINT), ':', CAST(z AS BIGINT)) END, ',' ORDER BY n), '') AS masks
 FROM e GROUP BY conv_id, speaker, block, part
 """
@@ -168,7 +184,7 @@ def _sql_text(pattern: str) -> str:
 
 QUALITY_SQL = (
     QUALITY_SQL.replace("{nav}", _sql_text(quality.NAVIGATION))
-    .replace("{boiler}", " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE))
+    .replace("{boiler}", " OR ".join(f"contains(lower(line), '{_sql_text(p)}')" for p in quality.BOILERPLATE))
     .replace("{terminal}", _sql_text(quality.TERMINAL))
     .replace("{fragment}", str(quality.FRAGMENT_WORDS))
     .replace("{lost}", str(quality.MAX_LOST))
@@ -198,20 +214,22 @@ _STRONG = ", ".join(f"'{k}'" for k in secrets.STRONG)
 _NEEDS = " OR ".join(
     f"(a.part = '{a}' AND b.part = '{b}')" for a, others in secrets.NEEDS.items() for b in others
 )
+_MIXED = " AND ".join(f"regexp_matches(word, '{p}')" for p in secrets.MIXED)
 SECRET_SQL = f"""
 WITH t AS (SELECT md5(text) AS k, any_value(text) AS text FROM documents WHERE text IS NOT NULL GROUP BY 1),
 m AS ({" UNION ALL ".join([_secret_pieces(k, p, g) for k, (p, g, _) in secrets.STRONG.items()] + [_secret_pieces(k, p, 1) for k, (p, _) in secrets.WEAK.items()])}),
 u AS (SELECT k, kind, unnest(range(1, len(w) + 1)) AS i, w, g, gaps FROM m),
 r AS (
-  SELECT k, kind, length(w[i]) AS len, length(g[i]) AS inner_len,
+  SELECT k, kind, w[i] AS word, length(w[i]) AS len, length(g[i]) AS inner_len,
          sum(length(gaps[i]) + length(w[i])) OVER (PARTITION BY k, kind ORDER BY i) AS z
   FROM u),
 c AS (
   SELECT k, kind, {_PART} AS part, {_NO} AS no, kind IN ({_STRONG}) AS strong, (z - len)::BIGINT AS a, z::BIGINT AS z
-  FROM r WHERE inner_len >= {_LEAST}),
+  FROM r WHERE inner_len >= {_LEAST} AND (kind <> 'opaque' OR ({_MIXED}))),
 l AS (
   SELECT * FROM c a WHERE a.strong OR EXISTS (
-    SELECT 1 FROM c b WHERE a.k = b.k AND ({_NEEDS}) AND b.a - a.z <= {secrets.SCOPE} AND a.a - b.z <= {secrets.SCOPE})),
+    SELECT 1 FROM c b WHERE a.k = b.k AND ({_NEEDS})
+      AND (b.a - a.z BETWEEN 0 AND {secrets.SCOPE} OR a.a - b.z BETWEEN 0 AND {secrets.SCOPE}))),
 f AS (
   SELECT * FROM l a WHERE a.strong OR NOT EXISTS (
     SELECT 1 FROM l b WHERE b.strong AND a.k = b.k AND b.a <= a.a AND a.z <= b.z)),
@@ -251,9 +269,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_chained_passages")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that share a passage with others; spans as start:end in words, comma-joined."""
+    """Documents that share a passage with others; passages as start:end:group in words, comma-joined."""
     out = passages.repeated_passages(table(spark, sf_dir, "documents"))
-    spans = F.transform("passages", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    spans = F.transform("passages", lambda s: F.concat_ws(":", *[s[c].cast("string") for c in ("start", "end", "group_id")]))
     return out.withColumn("passages", F.array_join(spans, ","))
 
 

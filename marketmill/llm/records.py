@@ -54,9 +54,28 @@ def frame(payload: bytes) -> bytes:
     return b"".join((n, struct.pack("<I", mask(n)), payload, struct.pack("<I", mask(payload))))
 
 
+#: File systems of the record files, as the writer's library names them. Fixed values.
+STORES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def store_uri(spark: SparkSession, path: str) -> str:
+    """A folder with the scheme of its file system, as tasks on other machines have to see it.
+
+    A path without a scheme belongs to Spark's default file system, and never silently to a task's own disk. Raises for
+    file systems that tasks cannot write to.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    whole = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    scheme, _, rest = whole.partition(":")
+    if scheme not in STORES:
+        raise ValueError(f"no record files on {scheme}: file systems are {', '.join(STORES)}")
+    return f"{STORES[scheme]}:" + (rest if rest.startswith("//") else f"//{rest}")
+
+
 def open_store(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and inner path of a folder, given as a URI or as a plain path."""
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    """File system and inner path of a folder, given as a URI."""
+    return fs.FileSystem.from_uri(path)
 
 
 class Encoder:
@@ -64,7 +83,7 @@ class Encoder:
 
     A text is cut before every blank or line end that follows visible text, and before
     a full stop or comma that follows a letter or digit; the byte-level split always ends a
-    token there, so that pieces are independent. Two generations of pieces are
+    token there, so that pieces are independent; no special token of the tokenizer may hold a blank. Two generations of pieces are
     kept, each of bounded size; what is used again moves to the younger one.
     """
 
@@ -72,7 +91,6 @@ class Encoder:
         # Spark runs a task per core already; more threads would only spin
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.tok.no_truncation()
         self.tok.no_padding()
         self.dtype, self.young, self.old = dtype, {}, {}
@@ -132,17 +150,19 @@ def write_records(
     ``start``, the ids in all files before it) is a table in the shared folder, and beside every record file
     lies its index ``.idx``, and ``.ids`` with the documents' ids in order. A null text is empty; ``end_id``
     ends every document. Null ids come last; rows that tie in the id are ordered by
-    text, null first; repeated rows are all written. An empty table gives an
+    a digest of the text and lie in several files where they are many; repeated rows are all written. Special tokens of the
+    tokenizer are recognised in texts, as its library does. Texts are written whole, however long; other columns are not used. An empty table gives an
     empty manifest. This runs jobs when called.
     """
     spark = docs.sparkSession
-    folder = fresh_path(spark, label)
+    folder = store_uri(spark, fresh_path(spark, label))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     id_type = rows.schema["id"].dataType
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.asc_nulls_last("id")]
-    # ties share a partition, as they share the range; the sort inside spills
-    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, F.asc_nulls_first("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    order = [F.asc_nulls_last("id"), F.asc("tie")]
+    # rows that tie in the id are dealt by a digest of the text, whose order is part of the files' order
+    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, F.asc_nulls_first("text")).drop("tie")
     vocab = Tokenizer.from_file(tokenizer_file).get_vocab_size()
     width = 2 if max(vocab, (end_id or 0) + 1) <= 1 << 16 else 4
     dtype = f"<u{width}"

@@ -216,6 +216,24 @@ def test_packing_keeps_every_id(spark):
     assert packing.pack(again.coalesce(1), queries.WORD_TOKENIZER).count() == 3
 
 
+def test_pieces_encode_like_whole_texts():
+    enc = packing.WordEncoder(queries.WORD_TOKENIZER, "<u2")
+    tok = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    texts = [
+        "Hello, world. It's 3.5 (a).\" b_. c", "İstanbul ΣΟΦΟΣ ﬁne e\u0301, x\u0301. ǆ", "a., b.. c,,d . , e", "日本語、 テキスト。 ok.", "don't, we'LL. 'tis",
+        "x" * 5000 + ", y", "tab\tand\x85next\u2003wide\xa0no", "1st 2nd, ½ ² Ⅷ.", "<|endoftext|>, <|startoftext|>.x", "", " ", "\x1c, \x1f.",
+    ]
+    for got, text in zip(enc.encode(texts), texts):
+        assert np.frombuffer(got, "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" .,'’_-sStTİΣßǅﬁ\u0301\u0307\t\n\x1c\x85\xa0\u200b1½²"), st.characters(codec="utf-8")), max_size=40))
+def test_any_text_encodes_like_the_library(text):
+    enc = packing.word_encoder(queries.WORD_TOKENIZER, "<u2")
+    assert np.frombuffer(enc.encode([text])[0], "<u2").tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+
+
 def test_open_windows_are_bounded(spark, monkeypatch):
     texts = {i: "the " * 39 for i in range(500)}  # 40 ids each: no two fit into 64
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").coalesce(1)

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -67,9 +68,12 @@ def test_op5_digest(spark, sf_dir):
 
 def plain_records(data):
     tok = Tokenizer.from_file(queries.TOKENIZER)
-    tok.encode_special_tokens = True
     start, out = 0, []
-    for i, t in sorted(data, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+
+    def digest(t):
+        return 42 if t is None else (xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63) - (1 << 63)
+
+    for i, t in sorted(data, key=lambda r: (r[0] is None, r[0] or 0, digest(r[1]))):
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
         out.append((i, start, len(ids), zlib.crc32(np.asarray(ids, dtype="<u4").tobytes())))
         start += len(ids)
@@ -96,6 +100,21 @@ def test_op4_against_plain(spark, sf_dir):
     assert sorted(got) == plain_records(data)
 
 
+def test_special_tokens_are_those_of_the_library(rows):
+    df = rows([(1, "a <|endoftext|> b"), (2, "x.<|endoftext|>,y<|endoftext|>")], "doc_id long, text string")
+    got = {r.id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in records.read_records(records.write_records(df, queries.TOKENIZER)).collect()}
+    tok = Tokenizer.from_file(queries.TOKENIZER)
+    for r in df.collect():
+        assert got[r.doc_id] == [*tok.encode(r.text, add_special_tokens=False).ids, 0] and 50256 in got[r.doc_id]
+
+
+def test_record_folders_have_a_scheme(spark):
+    assert records.store_uri(spark, "/some/where").startswith("file:///some/where")
+    assert records.store_uri(spark, "file:/some/where") == "file:///some/where"
+    with pytest.raises(Exception, match="no record files on http"):
+        records.store_uri(spark, "http://host/folder")
+
+
 def test_damaged_record_is_found(rows):
     manifest = records.write_records(rows([(1, "some text")], "doc_id long, text string"), queries.TOKENIZER)
     path = manifest.first().path.removeprefix("file:")
@@ -164,6 +183,80 @@ def test_license_templates(rows, text, labels, spans):
     assert r.score == pytest.approx(sum(e - s for _, s, e in spans) / max(1, r.n_words))
 
 
+MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so{}\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT "
+    "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+MIT_TERMS = (
+    ", subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions "
+    "of the Software."
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.\n{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" "
+    "AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+    "ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+    "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+BSD_3 = (
+    "3. Neither the name of Some Body Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without "
+    "specific prior written permission.\n"
+)
+BSD_4 = (
+    "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software "
+    "developed by Some Body Inc.\n" + BSD_3.replace("3.", "4.", 1)
+)
+ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted{}.\nTHE SOFTWARE IS PROVIDED "
+    '"AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO '
+    "EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
+    "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+    "SOFTWARE."
+)
+ISC_TERMS = ", provided that the above copyright notice and this permission notice appear in all copies"
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+    "Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        (MIT.format(MIT_TERMS), "mit"), (MIT.format("."), "mit-0"), (MIT.format(", subject to other conditions."), ""), (MIT.format(MIT_TERMS)[:600], ""),
+        (MIT.format(MIT_TERMS).replace("substantial", "large"), ""),
+        (BSD.format(""), "bsd-2-clause"), (BSD.format(BSD_3), "bsd-3-clause"), (BSD.format(BSD_4), "bsd-4-clause"),
+        (ISC.format(ISC_TERMS), "isc"), (ISC.format(""), "0bsd"), (GPL.format(2), "gpl-2"), (GPL.format(3), "gpl-3"),
+        (GPL.format(3).replace("GNU General", "GNU Lesser General"), "lgpl-3"), (GPL.format(4), ""),
+    ],
+)
+def test_whole_licenses(rows, text, label):
+    around = f"Some words before. {text} And some behind."
+    r = licenses.scan(rows([(1, around)], "doc_id long, text string")).first()
+    assert r.labels == label and (r.score > 0.8 if label else r.score == 0)
+
+
+def test_templates_match_as_written_out():
+    """Every way of reading a small template by hand, against the automaton."""
+    a = licenses.Automaton("<<x|y z>> must [[2]] end <<now>>")
+    heads, fills, tails = ([], ["x"], ["y", "z"]), ([], ["p"], ["p", "q"]), ([], ["now"])
+    for h in heads:
+        for f in fills:
+            for t in tails:
+                ws = [w.encode() for w in [*h, "must", *f, "end", *t]]
+                assert a.match([*ws, b"rest"], 0) == len(ws)
+    for bad in ("must p q r end", "x y must end", "y must end", "must", "end"):
+        assert a.match(bad.encode().split(), 0) is None
+
+
 def test_license_keeps_rows_and_ids(rows):
     df = rows([(None, "x under the MIT License", 1), (2, None, 2), (2, None, 2)], "doc_id long, text string, n_words int")
     got = licenses.scan(df)
