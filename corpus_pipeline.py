@@ -38,22 +38,36 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go, and so do documents that fail the base rules or lose too much text."""
+    """Failing lines go, and so do documents that fail the base rules or lose too much text.
+
+    Null and empty texts fail the base rules. Repeated rows are judged alike; an empty table stays empty.
+    """
     return _apart(docs, lambda d: _recounted(quality.cleaned(d)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays, that with the smallest id."""
+    """One document of each SimHash component stays, that with the smallest id.
+
+    A null id comes last; ties go to the smaller digest of the text, and of equal rows one stays. Texts without words, null ones
+    too, are one component. An empty table stays empty.
+    """
     return _apart(docs, lambda d: simhash.first_of_each(simhash.near_duplicates(d)))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; the spans found are replaced in their texts."""
+    """All documents stay; the spans found are replaced in their texts.
+
+    Null texts stay null; repeated rows and rows without an id stay as they are. An empty table stays empty.
+    """
     return _apart(docs, lambda d: _recounted(secrets.redact(secrets.scan(d))))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once, or up to three times."""
+    """Documents as often as the mix takes them: not at all, once, or up to three times.
+
+    Sources are taken by their weights, a null source last; rows without an id are told apart by their text, and repeated rows each
+    count. Texts without words have no size. An empty table stays empty.
+    """
     return _apart(docs, mixing.mixed_documents)
 
 
@@ -63,7 +77,11 @@ def _encoded(enc, ids):
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids (little-endian uint32) of every document, and the digest of the bytes that they decode to."""
+    """Ids (little-endian uint32) of every document, and the digest of the bytes that they decode to.
+
+    A null text has no ids. Repeated rows and rows without an id are encoded as they are, texts whole, however long. An empty
+    table gives no rows.
+    """
     return bpe.encode_documents(
         docs, RANKS, public_tokenizers.PATTERN, digest=_encoded, schema="n_tokens long, ids binary, decoded_sha256 string"
     )
@@ -76,7 +94,7 @@ STAGES = [
     ("mixing sources to target weights", mix_sources),
     ("byte-level BPE encoding and decoding", encode),
 ]
-#: Fingerprints and token ids are beyond SQL; tests/llm compares with a plain version.
+#: Fingerprints and token ids are beyond SQL; tests/llm compares every stage with a plain version.
 ORACLE_SQL = None
 
 
