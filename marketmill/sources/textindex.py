@@ -95,7 +95,8 @@ def blocks_of(spark: SparkSession, path: str, wanted: Sequence[tuple[str, str]])
     # literals, so that the folders and row groups of other trigrams are not read
     literal = [F.struct(F.lit(f).alias("field"), F.lit(g).alias("gram")) for f, g in sorted({(f, g) for _, f, g in keys})]
     buckets = [r[0] for r in asked.select(_BUCKET).distinct().collect()]
-    postings = spark.read.parquet(f"{path}/postings").filter(F.col(_BUCKET).isin(buckets))
+    kinds = f"field string, gram string, {_BLOCK} long, {_BUCKET} int"
+    postings = spark.read.schema(kinds).parquet(f"{path}/postings").filter(F.col(_BUCKET).isin(buckets))
     postings = postings.filter(F.col("gram").isin(sorted({g for _, _, g in keys}))).filter(F.struct("field", "gram").isin(literal))
     hits = postings.join(F.broadcast(asked.drop(_BUCKET)), ["field", "gram"]).groupBy("term", _BLOCK).agg(F.count("*").alias("n"))
     whole = hits.join(F.broadcast(sizes), "term").filter(F.col("n") == F.col("all")).select(_BLOCK).distinct()
