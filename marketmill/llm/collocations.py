@@ -6,28 +6,30 @@ reverse, so that the interval of a phrase can be extended by a word on either si
 (bidirectional extension), which gives the counts of all longer phrases at once. Counts
 are summed across shards:
 
-1. words of all shards are summed; words under the least count become separators,
-2. every shard is indexed and lists its phrases of two words, which are summed,
-3. every shard extends the phrases of two words that are frequent in the whole corpus, up to the depth.
+1. every shard lists its words, dealt over buckets; a bucket sums the lists of all shards, numbers the words that are frequent
+   in the whole corpus, and tells each shard which of its words these are; all others become separators,
+2. every shard is indexed and lists its phrases of two words in the same way, as sorted numbers,
+3. every shard extends the frequent ones up to the depth, and lists what it finds as numbers of pairs, which are summed alike.
 
 A phrase can only be as frequent as its parts, so nothing is lost. What a shard
-lists is bounded by its length; no task sees more than one shard or the counts of one phrase.
+lists is bounded by its length; no task sees more than one shard, one bucket or the counts of one phrase.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.windows import top_n_per_key
-from marketmill.llm.common import pieces
+from marketmill.llm.common import packed, pieces, unpacked
 from marketmill.session import materialize
 
 #: Words in a phrase, least count of a phrase, phrases listed for each language.
@@ -36,8 +38,8 @@ MIN_COUNT = 100
 TOP = 2000
 #: A phrase goes if a longer one around it has so many percent of its count.
 SUBSUMED = 100
-#: Words (and separators) in a shard; bounds the memory of a task.
-SHARD_WORDS = 3 << 20
+#: Words (and separators) in a shard, which bounds the memory of a task; buckets for each shuffle partition.
+SHARD_WORDS, BUCKETS = 3 << 20, 2
 NO_LANGUAGE = "und"
 
 #: Separator of pieces within a text while it is split; no UTF-8 text holds this byte.
@@ -50,12 +52,8 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).replace(b"\n", b" " + _CUT + b" ").split()
 
 
-def _packed(values: np.ndarray, top: int) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.astype(np.uint16 if top < 1 << 16 else np.uint32).tobytes())
-
-
-def _unpacked(data: bytes, top: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint16 if top < 1 << 16 else np.uint32)
+def _symbols(values: np.ndarray, top: int) -> bytes:
+    return packed(values.astype(np.uint16 if top < 1 << 16 else np.uint32))
 
 
 class _Shard:
@@ -81,10 +79,17 @@ class _Shard:
         self.size += 1
 
 
-#: Bits of a shard's number for its place in its task (the rest is the task), and of a place in a shard.
-_NTH_BITS, _PLACE_BITS = 12, 31
+#: Bits of a shard's number for its place in its task; the rest is the task.
+_NTH_BITS = 12
+
+_SHARDS = "shard long, top int, seq binary, bucket int, lang string, words binary, counts binary"
+_SHARD_NAMES = [c.split()[0] for c in _SHARDS.split(", ")]
+_SHARD_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
+
 
-_WORDS = "shard long, top int, seq binary, lang string, word string, local int, n long"
+def _table(names: list[str], types: list[pa.DataType], **columns) -> pa.Table:
+    n = len(next(iter(columns.values()))) if columns else 0
+    return pa.Table.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types)], names)
 
 
 def _joined(parts: list[np.ndarray], blanks: bool) -> np.ndarray:
@@ -95,8 +100,8 @@ def _joined(parts: list[np.ndarray], blanks: bool) -> np.ndarray:
     return seq[keep] if blanks else seq
 
 
-def _shard_rows(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: a shard's sequence (seq), or one of its words with its number and count."""
+def _shard_rows(buckets: int):
+    """Rows of two kinds: a shard's sequence (seq), and its words of one language in one bucket, with their numbers and counts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -104,30 +109,28 @@ def _shard_rows(docs: DataFrame) -> DataFrame:
         task, made = TaskContext.get().partitionId(), itertools.count()
         shard = _Shard()
 
-        def closed():
+        def closed() -> Iterator[pa.RecordBatch]:
             seq = _joined(shard.parts, True)
             counts = np.bincount(seq, minlength=shard.last + 1)
             top, nth = shard.last, next(made)
-            if nth >> _NTH_BITS or task >> 32 - _NTH_BITS:
-                raise OverflowError("too many shards or tasks; read larger or smaller partitions")
+            if nth >> _NTH_BITS:
+                raise OverflowError("too many shards in a task; read smaller partitions")
             code = task << _NTH_BITS | nth
-            blob = pa.array([_packed(seq, top)], pa.binary())
-            nulls = lambda n, t: pa.nulls(n, t)
-            names = ["shard", "top", "seq", "lang", "word", "local", "n"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([code], pa.int64()), pa.array([top], pa.int32()), blob, nulls(1, pa.string()), nulls(1, pa.string()),
-                 nulls(1, pa.int32()), nulls(1, pa.int64())], names,
-            )
+            yield from _table(_SHARD_NAMES, _SHARD_TYPES, shard=[code], top=[top], seq=[_symbols(seq, top)]).to_batches()
             for lang, own in shard.numbers.items():
-                words = list(own.items())
-                for at in range(0, len(words), 65536):
-                    some = [(w, i) for w, i in words[at : at + 65536] if i]
-                    number = np.array([i for _, i in some], np.int32)
-                    n = len(some)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, code, np.int64)), nulls(n, pa.int32()), nulls(n, pa.binary()), pa.array([lang] * n, pa.string()),
-                         pa.array([w.decode() for w, _ in some], pa.string()), pa.array(number), pa.array(counts[number].astype(np.int64))], names,
-                    )
+                # in the order of their numbers
+                words = np.array([w for w in own if w != _CUT], object)
+                number = np.array([n for w, n in own.items() if w != _CUT], np.uint32)
+                at = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint32, len(words)) % buckets
+                order = np.argsort(at, kind="stable")
+                cuts = np.searchsorted(at[order], np.arange(buckets + 1))
+                lists, packs, places = [], [], np.flatnonzero(np.diff(cuts)).astype(np.int32)
+                for b in places.tolist():
+                    some = order[cuts[b] : cuts[b + 1]]
+                    lists.append(zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[some])))
+                    packs.append(packed(np.diff(number[some], prepend=np.uint32(0)), counts[number[some]].astype(np.uint32)))
+                rows = _table(_SHARD_NAMES, _SHARD_TYPES, shard=np.full(len(places), code), bucket=places, lang=[lang] * len(places), words=lists, counts=packs)
+                yield from rows.to_batches()
 
         for batch in pieces(batches):
             langs = batch.column(0).to_pylist()
@@ -140,7 +143,65 @@ def _shard_rows(docs: DataFrame) -> DataFrame:
         if shard.last:
             yield from closed()
 
-    return docs.mapInArrow(work, _WORDS)
+    return work
+
+
+_KNOWN = "shard long, bucket int, known binary, id long, lang string, word string, f long, total long"
+_KNOWN_NAMES = [c.split()[0] for c in _KNOWN.split(", ")]
+_KNOWN_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The other columns of rows by their first, the bucket; one bucket is held at a time."""
+    held, current = [], None
+    for batch in batches:
+        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if bucket != current and held:
+                yield current, held
+                held = []
+            current = bucket
+            held.append(row)
+    if held:
+        yield current, held
+
+
+def _word_sums(buckets: int, min_count: int):
+    """Word lists (bucket, shard, lang, words, counts) to answers (shard, bucket, known), words (id, lang, word, f) and totals (lang, total)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, lists in _by_bucket(batches):
+            sums: dict[str, Counter] = defaultdict(Counter)
+            read = []
+            for shard, lang, words, counts in lists:
+                words = zstandard.ZstdDecompressor().decompress(words).split(b"\n")
+                steps, n = unpacked(counts)
+                read.append((shard, lang, words, steps))
+                own = sums[lang]
+                for w, c in zip(words, n.tolist()):
+                    own[w] += c
+            much = sorted((lang, w) for lang, own in sums.items() for w, c in own.items() if c >= min_count)
+            # numbers of different buckets differ, and have as few gaps as the buckets are even
+            ids = {k: bucket + buckets * i for i, k in enumerate(much)}
+            for at in range(0, len(much), 65536):
+                some = much[at : at + 65536]
+                rows = _table(
+                    _KNOWN_NAMES, _KNOWN_TYPES, id=[ids[k] for k in some], lang=[k[0] for k in some], word=[k[1].decode() for k in some], f=[sums[a][b] for a, b in some]
+                )
+                yield from rows.to_batches()
+            yield from _table(_KNOWN_NAMES, _KNOWN_TYPES, lang=list(sums), total=[own.total() for own in sums.values()]).to_batches()
+            shards, blobs = [], []
+            for shard, lang, words, steps in read:
+                id_of = [ids.get((lang, w), -1) for w in words]
+                id_of = np.array(id_of, np.int64)
+                keep = id_of >= 0
+                if keep.any():
+                    local = np.cumsum(steps, dtype=np.uint32)[keep]
+                    shards.append(shard)
+                    blobs.append(packed(np.diff(local, prepend=np.uint32(0)), id_of[keep]))
+            if shards:
+                yield from _table(_KNOWN_NAMES, _KNOWN_TYPES, shard=shards, bucket=[bucket] * len(shards), known=blobs).to_batches()
+
+    return work
 
 
 # ---- FM-index of one shard
@@ -200,19 +261,21 @@ def extend(bwt: np.ndarray, lf: np.ndarray, low: np.ndarray, n: np.ndarray):
     return of[keep], symbol[keep], count[keep], lf[at[first[keep]]], shift[keep]
 
 
-def pairs(seq: np.ndarray, top: int, depth: int):
-    """Transforms of a sequence and of its reverse, and its phrases of two words.
-
-    Phrases are (first word, second word, count, interval start, interval start of the reverse).
-    """
-    forward, backward = transform(seq, top, depth), transform(seq[::-1], top, depth)
-    count = np.bincount(seq, minlength=top + 1)
+def two_words(backward: np.ndarray, top: int):
+    """Phrases of two words from the reverse's transform: (first word, second word, count, interval start, interval start of the reverse)."""
+    count = np.bincount(backward, minlength=top + 1)
     start = np.cumsum(count) - count
     words = np.flatnonzero(count)
     words = words[words > 0]
     of, second, n, r_low, shift = extend(backward, last_first(backward), start[words], count[words])
     first = words[of]
-    return forward, backward, first, second, n, start[first] + shift, r_low
+    return first, second, n, start[first] + shift, r_low
+
+
+def pairs(seq: np.ndarray, top: int, depth: int):
+    """Transforms of a sequence and of its reverse, and its :func:`two_words`."""
+    forward, backward = transform(seq, top, depth), transform(seq[::-1], top, depth)
+    return forward, backward, *two_words(backward, top)
 
 
 def longer(forward: np.ndarray, backward: np.ndarray, words: np.ndarray, low: np.ndarray, r_low: np.ndarray, n: np.ndarray, depth: int):
@@ -231,91 +294,269 @@ def longer(forward: np.ndarray, backward: np.ndarray, words: np.ndarray, low: np
         yield words, n
 
 
-_PAIRS = "shard long, top int, forward binary, backward binary, ids array<bigint>, first long, second long, n long, low int, r_low int"
-_PAIR_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-_PAIR_NAMES = [c.split()[0] for c in _PAIRS.split(", ")]
+class Mixer:
+    """Numbers pairs of words, in an order in which neighbours have nothing in common, and back; the numbers fall evenly over buckets."""
+
+    def __init__(self, words: int, buckets: int):
+        self.width, self.buckets = max(1, int(words).bit_length()), np.uint64(buckets)
+        bits = 2 * self.width
+        self.mask, self.half = np.uint64((1 << bits) - 1), np.uint64((bits + 1) // 2)
+        self.odd = 0x9E3779B97F4A7C15 | 1
+        self.back = np.uint64(pow(self.odd, -1, 1 << 64))
+        self.odd = np.uint64(self.odd)
 
+    def numbers(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        x = first.astype(np.uint64) << np.uint64(self.width) | second.astype(np.uint64)
+        x = x * self.odd & self.mask
+        x ^= x >> self.half
+        return x * self.odd & self.mask
 
-def _pair_rows(depth: int):
-    def work(shard: pa.Table, frequent: pa.Table) -> pa.Table:
-        none = pa.Table.from_arrays([pa.array([], t) for t in _PAIR_TYPES], _PAIR_NAMES)
-        if not shard.num_rows or not frequent.num_rows:
-            return none
+    def pairs(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = x * self.back & self.mask
+        x = x ^ x >> self.half
+        x = x * self.back & self.mask
+        return (x >> np.uint64(self.width)).astype(np.int64), (x & np.uint64((1 << self.width) - 1)).astype(np.int64)
+
+    def order(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order by bucket and number, the numbers within buckets in it, and where each bucket begins."""
+        bucket, rest = x % self.buckets, x // self.buckets
+        order = np.lexsort((rest, bucket))
+        return order, rest[order], np.searchsorted(bucket[order], np.arange(int(self.buckets) + 1, dtype=np.uint64))
+
+
+_INDEX = "shard long, top int, seq binary, ids array<bigint>, bucket int, pairs binary"
+_INDEX_NAMES = [c.split()[0] for c in _INDEX.split(", ")]
+_INDEX_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+
+
+def _index_rows(depth: int, mixer: Mixer):
+    """The sequence of a shard's frequent words alone, which later is indexed again, and its phrases of two words by bucket."""
+
+    def work(shard: pa.Table, answers: pa.Table) -> pa.Table:
+        if not shard.num_rows or not answers.num_rows:
+            return _table(_INDEX_NAMES, _INDEX_TYPES)
         code, top = shard["shard"][0].as_py(), shard["top"][0].as_py()
-        local = frequent["local"].to_numpy()
+        read = [unpacked(blob) for blob in answers["known"].to_pylist()]
+        local = np.concatenate([np.cumsum(steps, dtype=np.uint32) for steps, _ in read])
         order = np.argsort(local)
-        ids = frequent["id"].to_numpy()[order]
+        ids = np.concatenate([r[1] for r in read]).astype(np.int64)[order]
         number = np.zeros(top + 1, np.int32)
         number[local[order]] = np.arange(1, len(local) + 1)
-        seq = _joined([number[_unpacked(shard["seq"][0].as_py(), top)]], True)
+        (seq,) = unpacked(shard["seq"][0].as_py())
         # a separator at both ends, so that nothing runs round the end
-        seq, top = np.concatenate((seq, [0])).astype(np.int32), len(ids)
-        forward, backward, first, second, n, low, r_low = pairs(seq, top, depth)
-        size = len(n)
-        index = [[code], [top], [_packed(forward, top)], [_packed(backward, top)], [ids], [None], [None], [None], [None], [None]]
-        head = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(index, _PAIR_TYPES)], _PAIR_NAMES)
-        rows = [np.full(size, code), None, None, None, None, ids[first - 1], ids[second - 1], n, low, r_low]
-        rows = [pa.nulls(size, t) if c is None else pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(rows, _PAIR_TYPES)]
-        return pa.concat_tables([head, pa.Table.from_arrays(rows, _PAIR_NAMES)])
+        seq, top = np.concatenate((_joined([number[seq]], True), [0])).astype(np.int32), len(ids)
+        _, _, first, second, n, _, _ = pairs(seq, top, depth)
+        order, rest, cuts = mixer.order(mixer.numbers(ids[first - 1], ids[second - 1]))
+        n = n[order]
+        blobs, buckets = [], np.flatnonzero(np.diff(cuts)).astype(np.int32)
+        for b in buckets.tolist():
+            i, j = cuts[b], cuts[b + 1]
+            blobs.append(packed(np.diff(rest[i:j], prepend=np.uint64(0)), n[i:j].astype(np.uint32)))
+        head = _table(_INDEX_NAMES, _INDEX_TYPES, shard=[code], top=[top], seq=[_symbols(seq, top)], ids=[ids])
+        rows = _table(_INDEX_NAMES, _INDEX_TYPES, shard=np.full(len(blobs), code), bucket=buckets, pairs=blobs)
+        return pa.concat_tables([head, rows])
 
     return work
 
 
-def _longer_rows(depth: int):
-    def work(index: pa.Table, frequent: pa.Table) -> pa.Table:
-        types, names = [pa.list_(pa.int64()), pa.int64()], ["words", "n"]
-        none = pa.Table.from_arrays([pa.array([], t) for t in types], names)
-        if not index.num_rows or not frequent.num_rows:
-            return none
-        top = index["top"][0].as_py()
-        forward, backward = (_unpacked(index[c][0].as_py(), top) for c in ("forward", "backward"))
+_SUMS = "shard long, bucket int, frequent binary, id long, first long, second long, f long"
+_SUM_NAMES = [c.split()[0] for c in _SUMS.split(", ")]
+_SUM_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+
+
+def _bucket_sums(mixer: Mixer, min_count: int):
+    """Lists (bucket, shard, pairs) to answers (shard, bucket, frequent places) and frequent pairs (first, second, f)."""
+
+    def summed(bucket: int, lists: list[tuple[int, bytes]]) -> Iterator[pa.Table]:
+        read = [unpacked(blob) for _, blob in lists]
+        number = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, _ in read])
+        count = np.concatenate([n for _, n in read]).astype(np.int64)
+        order = np.argsort(number, kind="stable")
+        ordered = number[order]
+        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        total = np.add.reduceat(count[order], first)
+        much = total >= min_count
+        if not much.any():
+            return
+        a, b = mixer.pairs(ordered[first[much]] * mixer.buckets + np.uint64(bucket))
+        # numbers of different buckets differ
+        ids = np.where(much, bucket + int(mixer.buckets) * (np.cumsum(much) - 1), -1)
+        yield _table(_SUM_NAMES, _SUM_TYPES, id=ids[much], first=a, second=b, f=total[much])
+        mine = np.empty(len(number), np.int64)
+        mine[order] = np.repeat(ids, np.diff(np.concatenate((first, [len(number)]))))
+        at, shards, blobs = 0, [], []
+        for (shard, _), (steps, _) in zip(lists, read):
+            own = mine[at : at + len(steps)]
+            places = np.flatnonzero(own >= 0).astype(np.uint32)
+            at += len(steps)
+            if len(places):
+                shards.append(shard)
+                blobs.append(packed(np.diff(places, prepend=np.uint32(0)), own[places]))
+        yield _table(_SUM_NAMES, _SUM_TYPES, shard=np.array(shards), bucket=np.full(len(shards), bucket, np.int32), frequent=blobs)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, lists in _by_bucket(batches):
+            for t in summed(bucket, lists):
+                yield from t.to_batches()
+
+    return work
+
+
+def _widths(length: int, pair_bits: int, word_bits: int) -> list[list[int]]:
+    """Widths of the parts of a phrase (its pairs, and its last word if their number is odd), by the 64-bit column they share."""
+    out: list[list[int]] = []
+    for width in [pair_bits] * (length // 2) + [word_bits] * (length % 2):
+        if out and sum(out[-1]) + width <= 64:
+            out[-1].append(width)
+        else:
+            out.append([width])
+    return out
+
+
+def _together(parts: list[np.ndarray], widths: list[list[int]]) -> list[np.ndarray]:
+    out, at = [], iter(parts)
+    for column in widths:
+        x = np.zeros(len(parts[0]), np.uint64)
+        for width in column:
+            x = x << np.uint64(width) | next(at).astype(np.uint64)
+        out.append(x)
+    return out
+
+
+def _apart(columns: list[np.ndarray], widths: list[list[int]]) -> list[np.ndarray]:
+    out = []
+    for x, column in zip(columns, widths):
+        part = []
+        for width in reversed(column):
+            part.append((x & np.uint64((1 << width) - 1)).astype(np.int64))
+            x = x >> np.uint64(width)
+        out += part[::-1]
+    return out
+
+
+_LONGER = "bucket int, length int, shard long, phrases binary"
+_LONGER_NAMES = [c.split()[0] for c in _LONGER.split(", ")]
+_LONGER_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+
+
+def _longer_rows(depth: int, mixer: Mixer, pair_bits: int):
+    """Phrases of three words and more of a shard, by bucket and length, as sorted columns with their counts."""
+
+    def work(index: pa.Table, answers: pa.Table) -> pa.Table:
+        out = [_table(_LONGER_NAMES, _LONGER_TYPES)]
+        if not index.num_rows or not answers.num_rows:
+            return out[0]
+        code, top = index["shard"][0].as_py(), index["top"][0].as_py()
+        (seq,) = unpacked(index["seq"][0].as_py())
         ids = np.array(index["ids"][0].as_py(), np.int64)
-        number = np.argsort(ids)
-        first, second = (number[np.searchsorted(ids, frequent[c].to_numpy(), sorter=number)] + 1 for c in ("first", "second"))
-        low, r_low, n = (frequent[c].to_numpy().astype(np.int64) for c in ("low", "r_low", "n"))
-        out = [none]
-        for words, count in longer(forward, backward, np.stack((first, second), axis=1), low, r_low, n, depth):
-            size, length = words.shape
-            phrases = pa.ListArray.from_arrays(np.arange(0, size * length + 1, length, dtype=np.int32), ids[words.ravel() - 1])
-            out.append(pa.Table.from_arrays([phrases, pa.array(count)], names))
+        forward, backward, first, second, n, low, r_low = pairs(seq, top, depth)
+        order, _, cuts = mixer.order(mixer.numbers(ids[first - 1], ids[second - 1]))
+        read = [(cuts[b], unpacked(blob)) for b, blob in zip(answers["bucket"].to_pylist(), answers["frequent"].to_pylist())]
+        keep = order[np.concatenate([at + np.cumsum(steps) for at, (steps, _) in read]).astype(np.int64)]
+        number = np.concatenate([own for _, (_, own) in read]).astype(np.int64)
+        pair = first[keep].astype(np.int64) * (top + 1) + second[keep]
+        known = np.argsort(pair)
+        words = np.stack((first[keep], second[keep]), axis=1)
+        for words, count in longer(forward, backward, words, low[keep], r_low[keep], n[keep], depth):
+            length = words.shape[1]
+            parts = []
+            for i in range(0, length - 1, 2):
+                two = words[:, i].astype(np.int64) * (top + 1) + words[:, i + 1]
+                parts.append(number[known[np.searchsorted(pair, two, sorter=known)]])
+            if length % 2:
+                parts.append(ids[words[:, -1] - 1])
+            columns = _together(parts, _widths(length, pair_bits, mixer.width))
+            mixed = np.zeros(len(count), np.uint64)
+            for c in columns:
+                mixed = (mixed ^ c) * mixer.odd
+                mixed ^= mixed >> np.uint64(32)
+            bucket = mixed % mixer.buckets
+            line = np.lexsort((*columns[::-1], bucket))
+            columns, count = [c[line] for c in columns], count[line].astype(np.uint32)
+            cuts_ = np.searchsorted(bucket[line], np.arange(int(mixer.buckets) + 1, dtype=np.uint64))
+            places, blobs = np.flatnonzero(np.diff(cuts_)).astype(np.int32), []
+            for b in places.tolist():
+                i, j = cuts_[b], cuts_[b + 1]
+                blobs.append(packed(np.diff(columns[0][i:j], prepend=np.uint64(0)), *[c[i:j] for c in columns[1:]], count[i:j]))
+            m = len(places)
+            out.append(_table(_LONGER_NAMES, _LONGER_TYPES, bucket=places, length=np.full(m, length, np.int32), shard=np.full(m, code), phrases=blobs))
         return pa.concat_tables(out)
 
     return work
 
 
+_FOUND = "pairs array<bigint>, last long, f long"
+
+
+def _longer_sums(mixer: Mixer, pair_bits: int, min_count: int):
+    """Lists (bucket, length, phrases) to frequent phrases (pairs, last, f)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_bucket(batches):
+            by_length: dict[int, list[list[np.ndarray]]] = defaultdict(list)
+            for length, blob in rows:
+                first, *more = unpacked(blob)
+                by_length[length].append([np.cumsum(first, dtype=np.uint64), *more])
+            for length, lists in by_length.items():
+                *columns, count = (np.concatenate(c) for c in zip(*lists))
+                order = np.lexsort(columns[::-1])
+                columns = [c[order] for c in columns]
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+                first = np.flatnonzero(new)
+                total = np.add.reduceat(count[order].astype(np.int64), first)
+                much = total >= min_count
+                if not much.any():
+                    continue
+                parts = _apart([c[first[much]] for c in columns], _widths(length, pair_bits, mixer.width))
+                last = parts.pop() if length % 2 else None
+                size, k = int(much.sum()), len(parts)
+                both = pa.ListArray.from_arrays(np.arange(0, size * k + 1, k, dtype=np.int32), np.stack(parts, axis=1).ravel())
+                ends = pa.nulls(size, pa.int64()) if last is None else pa.array(last)
+                yield pa.RecordBatch.from_arrays([both, ends, pa.array(total[much])], ["pairs", "last", "f"])
+
+    return work
+
+
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, depth: int = DEPTH):
     """Words (id, lang, word, f), phrases (words, f) of 1 to ``depth`` words with f >= min_count, and word totals (lang, n).
 
     A phrase is an array of word ids; a word of each language has an id of its own. Phrases never
     reach across punctuation, line ends or texts. Texts that are null or empty have no words, a null language is
-    NO_LANGUAGE. Writes intermediates (sequences, indexes with pairs) to the shared folder.
+    NO_LANGUAGE. Writes intermediates (sequences, indexes, lists of pairs) to the shared folder.
     """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * parts
     lean = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
-    shards = materialize(_shard_rows(lean), "phrase-shards")
-    rows = shards.filter("seq is null").select("shard", "local", "lang", "word", "n")
-    totals = rows.groupBy("lang").agg(F.sum("n").alias("n"))
-
-    def summed(rows: DataFrame, key: list[str], place: str) -> DataFrame:
-        # a shard has a key once, so there is nothing to combine before the shuffle; the smallest place is the key's id
-        same = Window.partitionBy(*key)
-        rows = rows.withColumn("code", F.shiftleft("shard", _PLACE_BITS).bitwiseOR(F.col(place).cast("long")))
-        return rows.withColumns({"f": F.sum("n").over(same), "id": F.min("code").over(same)}).filter(F.col("f") >= min_count)
-
-    known = materialize(summed(rows, ["lang", "word"], "local"), "phrase-words")
-    words = known.filter("code = id").select("id", "lang", "word", "f")
+    shards = materialize(lean.mapInArrow(_shard_rows(buckets), _SHARDS), "phrase-shards")
+    lists = shards.filter("words is not null").select("bucket", "shard", "lang", "words", "counts")
+    lists = lists.repartition(parts, "bucket").sortWithinPartitions("bucket", "shard")
+    known = materialize(lists.mapInArrow(_word_sums(buckets, min_count), _KNOWN), "phrase-words")
+    words = known.filter("word is not null").select("id", "lang", "word", "f")
+    totals = known.filter("total is not null").groupBy("lang").agg(F.sum("total").alias("n"))
+    mixer = Mixer((words.agg(F.max("id")).first()[0] or 0) + 1, buckets)
+    answers = known.filter("known is not null").select("shard", "known")
     sequences = shards.filter("seq is not null").select("shard", "top", "seq")
-    built = sequences.groupBy("shard").cogroup(known.select("shard", "local", "id").groupBy("shard")).applyInArrow(_pair_rows(depth), _PAIRS)
-    built = materialize(built, "phrase-pairs")
-    two = built.filter("forward is null").select("shard", "first", "second", "n", "low", "r_low")
-    two = materialize(summed(two, ["first", "second"], "low"), "phrase-frequent-pairs")
-    index = built.filter("forward is not null").select("shard", "top", "forward", "backward", "ids")
-    mine = two.select("shard", "first", "second", "low", "r_low", "n")
-    more = index.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(_longer_rows(depth), "words array<bigint>, n long")
-    more = more.groupBy("words").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
+    built = sequences.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_index_rows(depth, mixer), _INDEX)
+    built = materialize(built, "phrase-index")
+    lists = built.filter("pairs is not null").select("bucket", "shard", "pairs")
+    lists = lists.repartition(parts, "bucket").sortWithinPartitions("bucket", "shard")
+    sums = materialize(lists.mapInArrow(_bucket_sums(mixer, min_count), _SUMS), "phrase-pairs")
     phrases = words.select(F.array("id").alias("words"), "f")
     if depth >= 2:
-        phrases = phrases.unionByName(two.filter("code = id").select(F.array("first", "second").alias("words"), "f"))
+        phrases = phrases.unionByName(sums.filter("f is not null").select(F.array("first", "second").alias("words"), "f"))
     if depth >= 3:
+        index = built.filter("seq is not null").select("shard", "top", "seq", "ids")
+        answers = sums.filter("frequent is not null").select("shard", "bucket", "frequent")
+        two = sums.filter("id is not null").select("id", F.array("first", "second").alias("two"))
+        pair_bits = max(1, int(two.agg(F.max("id")).first()[0] or 0).bit_length())
+        lists = index.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_longer_rows(depth, mixer, pair_bits), _LONGER)
+        lists = lists.repartition(parts, "bucket").sortWithinPartitions("bucket").select("bucket", "length", "phrases")
+        found = materialize(lists.mapInArrow(_longer_sums(mixer, pair_bits, min_count), _FOUND), "phrase-longer")
+        each = found.select("pairs", "last", "f", F.posexplode("pairs").alias("i", "id")).join(two, "id")
+        each = each.groupBy("pairs", "last", "f").agg(F.sort_array(F.collect_list(F.struct("i", "two"))).alias("w"))
+        end = F.when(F.col("last").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("last"))
+        more = each.select(F.concat(F.flatten(F.col("w.two")), end).alias("words"), "f")
         phrases = phrases.unionByName(more)
     return words, materialize(phrases, "phrase-counts"), totals
 
