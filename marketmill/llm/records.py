@@ -90,14 +90,21 @@ class Encoder:
     def __init__(self, path: str, dtype: str):
         # Spark runs a task per core already; more threads would only spin
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        self.tok, self.whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for tok in (self.tok, self.whole):
+            tok.no_truncation()
+            tok.no_padding()
+        # pieces without a special token need not be searched for one
+        self.tok.encode_special_tokens = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.special]
         self.dtype, self.young, self.old = dtype, {}, {}
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 512):
-            for e in self.tok.encode_batch_fast(texts[i : i + 512], add_special_tokens=False):
+            part = texts[i : i + 512]
+            for t, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
+                if any(s in t for s in self.special):
+                    e = self.whole.encode(t, add_special_tokens=False)
                 yield np.asarray(e.ids, dtype=self.dtype).tobytes()
 
     @staticmethod
