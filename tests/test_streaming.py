@@ -147,3 +147,32 @@ def test_rank_sorts_like_spark(spark):
             want = [repr(tuple(r)) for r in spark.createDataFrame(rows, "a int, b double").coalesce(1).orderBy(*order).collect()]
             got = sorted(rows, key=lambda r: K._Rank(r, [(0, up), (1, also)]))
             assert [repr(r) for r in got] == want
+
+
+def test_best_rows_of_a_batch_sort_like_spark(spark):
+    """A feed picks its rows of a batch in Arrow; they are those that Spark's own window takes."""
+    import random
+
+    from pyspark.sql import Window
+
+    rng, nan = random.Random(3), float("nan")
+    rows = [
+        (rng.choice([None, "a", "b", "ä"]), rng.choice([None, 1, 2]), rng.choice([None, nan, -1.0, 0.5, 2.0]), i)
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k string, l int, x double, n long")
+    for order in ([("x", True), ("n", False)], [("x", False), ("n", True)], [("l", False), ("x", True), ("n", True)]):
+        along = Window.partitionBy("k", "l").orderBy(*[F.asc(c) if up else F.desc(c) for c, up in order])
+        want = {r.n for r in df.withColumn("r", F.row_number().over(along)).filter("r = 1").collect()}
+        assert set(K._best_rows(["k", "l"], order)(df.toArrow())["n"].to_pylist()) == want
+
+
+def test_keyed_feed_calls_no_python_for_a_key(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = spark.createDataFrame([], "symbol string, seq bigint").schema
+    land(spark, src, [(f"s{i % 3000}", -i) for i in range(9000)], schema)
+    query = K.start_keyed_feed(stream(spark, src, schema), out, ["symbol"], [("seq", True)], cp)
+    query.awaitTermination()
+    assert [o.operatorName for o in query.lastProgress.stateOperators] == ["dedupe"]
+    got = spark.read.schema(schema).parquet(out)
+    assert {(r.symbol, r.seq) for r in got.collect()} == {(f"s{i}", -6000 - i) for i in range(3000)} and got.count() == 3000
