@@ -197,8 +197,10 @@ def link(fps: DataFrame, col: str = "fp", max_bits: int = MAX_BITS) -> DataFrame
     )
     along = F.transform(F.sequence(mine, n - 1), lambda j: cell(mine, j, F.lit(True), j == mine))
     down = F.when(mine > 0, F.transform(F.sequence(F.lit(0), mine - 1), lambda i: cell(i, mine, F.lit(False), F.lit(True))))
-    visit = F.transform(F.sequence(F.lit(0), n - 1), lambda j: cell(mine, j, F.lit(True), F.lit(False)))
-    cells = F.when(F.col("home"), F.concat(along, F.coalesce(down, F.array().cast("array<struct<slice:bigint,probe:boolean,home:boolean>>")))).otherwise(visit)
+    # a visitor does the same, but for its own slice, where it need not be met: in the slices before its own it is met by their rows
+    visit = F.transform(F.sequence(mine, n - 1), lambda j: cell(mine, j, F.lit(True), F.lit(False)))
+    none = F.array().cast("array<struct<slice:bigint,probe:boolean,home:boolean>>")
+    cells = F.concat(F.when(F.col("home"), along).otherwise(visit), F.coalesce(down, none))
     rows = rows.select("shard", "fp", F.inline(cells)).select("shard", "slice", "fp", "home", "probe")
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(count, "shard", "slice").sortWithinPartitions("shard", "slice")

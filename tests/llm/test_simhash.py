@@ -138,3 +138,20 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(300)}, 5000: 4999, 4999: 4999}
     assert connected_components(edges.filter("a < 0")).agg(F.count("*")).first()[0] == 0
+
+
+def test_links_do_not_depend_on_the_size_of_a_shard(spark, monkeypatch):
+    """A fingerprint that only visits a shard meets the rows of all its slices, also of those before its own."""
+    rng = random.Random(21)
+    points = []
+    for _ in range(400):  # pairs that differ in four bits, alone
+        p = rng.getrandbits(64)
+        q = p
+        for b in rng.sample(range(64), 4):
+            q ^= 1 << b
+        points += [p, q]
+    monkeypatch.setattr(simhash, "LEAF", 64)
+    want = groups(brute(points))
+    for size in (1 << 14, 30, 5):
+        monkeypatch.setattr(simhash, "SLICE", size)
+        assert components(spark, points) == want, size
