@@ -111,3 +111,19 @@ def test_a_feed_of_one_day_is_dealt_out(spark):
     assert [p.n for p in pages] == [1000] * 2000 and all(x.z < y.a for x, y in zip(pages, pages[1:]))
     deep = page(rows, order, 1500, 1000, band="date")
     assert {r.id for r in deep.collect()} == {r.id for r in out.filter("page = 1500").collect()}
+
+
+def test_rank_of_one_key_is_not_found_in_one_task(spark):
+    """All rows have one key; the numbers within it are found range by range."""
+    rows = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("n"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = rank_rows(rows, [F.desc("n")], "at", ["k"], parts=16)
+        assert got.filter("at + n <> 3999").count() == 0
+        sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 4000 and max(sizes) <= 2400
