@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from marketmill.functions.scalars import lead_date, month_key
 from marketmill.functions.windows import first_per_key, join_on, rank_rows, top_n_per_key
 from marketmill.session import materialize
-from marketmill.sources.datasets import append_new, coverage, null_safe, read_range, without_keys
+from marketmill.sources.datasets import append_new, coverage, read_range, without_keys
 
 
 def _date(df: DataFrame, c: str) -> Column:
@@ -219,11 +219,15 @@ def new_keys(existing: DataFrame, fresh: DataFrame, key_cols: Sequence[str], ord
     """The rows :func:`merge_feed` adds, to be appended to a feed table as they are.
 
     ``order`` is the total order in which the feed was served. Of the stored feed
-    only the key columns are read.
+    only the key columns are read. Stored keys go through the ranking of the fresh rows and come before them, so
+    that both are dealt by key once, and no more than a row of a key leaves a task.
     """
-    new = first_per_key(fresh, key_cols, order)
-    seen = existing.select(*key_cols)
-    return new.join(seen, null_safe(new, seen, key_cols), "left_anti")
+    key_cols = list(key_cols)
+    seen = existing.select(*key_cols, F.lit(False).alias("__fresh"))
+    both = fresh.withColumn("__fresh", F.lit(True)).unionByName(seen, allowMissingColumns=True)
+    first = first_per_key(both, key_cols, [F.asc("__fresh"), *order])
+    # where the stored keys have a wider type, the rows come back in their own
+    return first.filter("__fresh").select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fresh.schema.fields])
 
 
 def advance_checkpoints(seen: DataFrame, checkpoints: DataFrame, scope: Sequence[str], date_col: str) -> DataFrame:

@@ -245,7 +245,8 @@ SELECT * FROM e UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM e WHER
 def _merged(df, keys, cond, order):
     """Merge the whole feed into what an earlier walk, up to ``cond``, has stored."""
     empty = df.filter(F.lit(False))
-    stored = B.merge_feed(empty, df.filter(cond), keys, order)
+    # the earlier walk's table is there when the later one comes
+    stored = materialize(B.merge_feed(empty, df.filter(cond), keys, order), "stored-feed")
     return B.merge_feed(stored, df, keys, order)
 
 

@@ -278,3 +278,13 @@ def test_gaps_bound_the_scan_of_the_source(spark, tmp_path):
     assert "GreaterThanOrEqual(date,2024-01-21)" in plan and "LessThanOrEqual(date,2024-03-21)" in plan
     none = requests.limit(0)
     assert B.refresh_range(none, existing, source, ["k"], "date", "2024-12-31")[0].count() == existing.count()
+
+
+def test_new_keys_are_dealt_once(spark):
+    """Stored and fresh keys meet in one shuffle; null keys meet null keys, and other types of stored keys do no harm."""
+    stored = spark.createDataFrame([(1, "x", 0.5), (1, "x", 0.6), (None, "y", 1.0)], "k long, t string, v double")
+    fresh = spark.createDataFrame([(1, "x", 3, "a"), (2, "x", 5, "b"), (2, "x", 4, "c"), (None, "y", 1, "d"), (None, None, 2, "e")], "k int, t string, n int, note string")
+    new = B.new_keys(stored, fresh, ["k", "t"], [F.asc("n")])
+    assert new.dtypes == fresh.dtypes
+    assert new._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted((tuple(r) for r in new.collect()), key=str) == [(2, "x", 4, "c"), (None, None, 2, "e")]
