@@ -49,8 +49,12 @@ def merge_intervals(intervals: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def _moments(dates: Sequence[str]) -> Column:
-    """The dates, ascending, as literals; they are a stated list and not data."""
-    return F.array_sort(F.array(*[F.lit(d).cast("timestamp_ntz") for d in sorted(set(dates))]))
+    """The dates as literals; they are a stated list and not data. Nothing is computed from them for each row."""
+    return F.array(*[F.lit(d).cast("timestamp_ntz") for d in sorted(set(dates))])
+
+
+def _holds(d: Column) -> Column:
+    return (F.col("since") <= d) & (F.col("until").isNull() | (d < F.col("until")))
 
 
 def facts_as_of(intervals: DataFrame, dates: Sequence[str]) -> DataFrame:
@@ -60,22 +64,22 @@ def facts_as_of(intervals: DataFrame, dates: Sequence[str]) -> DataFrame:
     """
     if not dates:
         return intervals.withColumn("as_of", F.lit(None).cast("timestamp_ntz")).limit(0)
-    held = F.filter(
-        _moments(dates),
-        lambda d: (F.col("since") <= d) & (F.col("until").isNull() | (d < F.col("until"))),
-    )
-    return intervals.withColumn("as_of", F.explode(held))
+    return intervals.withColumn("as_of", F.explode(F.filter(_moments(dates), _holds)))
 
 
 def panels_as_of(intervals: DataFrame, dates: Sequence[str], predicates: Sequence[str]) -> DataFrame:
-    """One row per (as_of, entity, time) with a column per predicate."""
-    return (
-        facts_as_of(intervals, dates)
-        .withColumnsRenamed({"subject": "entity", "valid_from": "time"})
-        .groupBy("as_of", "entity", "time")
-        .pivot("predicate", list(predicates))
-        .agg(F.first("value"))
-    )
+    """One row per (as_of, entity, time) with a column per predicate.
+
+    Intervals that hold at none of the dates go first. The others are dealt by (entity, time), of which each has as many as dates and
+    predicates at most, and the dates are spread out where they lie: no row per date is shuffled or sorted.
+    """
+    held = F.filter(_moments(dates), _holds) if dates else F.array().cast("array<timestamp_ntz>")
+    cells = intervals.select(F.col("subject").alias("entity"), F.col("valid_from").alias("time"), "predicate", "value", held.alias("as_of"))
+    cells = cells.filter(F.size("as_of") > 0).repartition("entity", "time")
+    rows = cells.withColumn("as_of", F.explode("as_of"))
+    # a cell has one value at a date
+    of = [F.first(F.when(F.col("predicate") == p, F.col("value")), ignorenulls=True).alias(p) for p in predicates]
+    return rows.groupBy("as_of", "entity", "time").agg(*of)
 
 
 def changed_since(intervals: DataFrame, cursors: Sequence[str]) -> DataFrame:

@@ -90,3 +90,17 @@ def test_intervals_grow_by_new_facts(spark, facts):
     stored = spark.createDataFrame(V.fact_intervals(first).collect(), V.fact_intervals(first).schema)
     assert sorted(map(str, V.merge_intervals(stored, rest).collect())) == whole
     assert sorted(map(str, V.merge_intervals(stored, rest.limit(0)).collect())) == sorted(map(str, stored.collect()))
+
+
+def test_panels_deal_intervals_and_not_rows_of_dates(spark):
+    """Only the intervals are shuffled, once, by (entity, time); cells without a wanted predicate and dates without facts stay as they were."""
+    schema = "subject string, predicate string, valid_from date, value double, source_id long, since timestamp_ntz, until timestamp_ntz"
+    t, q = (lambda d: dt.datetime(2024, 1, d)), dt.date(2023, 12, 31)
+    rows = [("a", "P", q, 1.0, 1, t(1), t(5)), ("a", "P", q, 2.0, 1, t(5), None), ("a", "Q", q, 9.0, 1, t(3), None), ("b", "X", q, 3.0, 1, t(2), None), (None, "Q", None, 4.0, 1, t(1), t(2))]
+    intervals = spark.createDataFrame(rows, schema)
+    dates = ["2024-01-01", "2024-01-04", "2024-01-05", "2023-01-01"]
+    panel = V.panels_as_of(intervals, dates, ["P", "Q"])
+    assert panel._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = {(r.as_of.day, r.entity, r.time, r.P, r.Q) for r in panel.collect()}
+    assert got == {(1, "a", q, 1.0, None), (1, None, None, None, 4.0), (4, "a", q, 1.0, 9.0), (5, "a", q, 2.0, 9.0), (4, "b", q, None, None), (5, "b", q, None, None)}
+    assert V.panels_as_of(intervals, [], ["P"]).collect() == []
