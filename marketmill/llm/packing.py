@@ -12,9 +12,6 @@ end are filled up from each other, and the last of them is cut at powers of two,
 from __future__ import annotations
 
 import functools
-import json
-import os
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -27,91 +24,14 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from marketmill.llm.common import pieces
+from marketmill.llm.piecewise import BATCH, WordEncoder
 
 LENGTH = 2048
-#: Different words whose ids a worker remembers, and the longest of them.
-CACHE_WORDS, CACHE_CHARS = 400_000, 40
 #: Windows open at once; beyond it those open are filled up from each other. Bounds the memory of a task.
 MAX_OPEN = 1 << 14
 #: Bits of a sequence's number for its place in its task; the rest is the task.
 _NTH_BITS = 40
 
-#: White space to str.split that the tokenizer takes as text.
-_TEXT_SPACE = re.compile(r"[\x1c-\x1f]")
-_BLANKS = re.compile(r"[ \n\t]+")
-#: A stop or comma that belongs to the signs before it.
-_GLUED = re.compile(r"[^\w\s][.,]|_[.,]")
-
-
-class WordEncoder:
-    """A tokenizer that drops white space and never joins what it parts; ids of short pieces are remembered.
-
-    A text is cut at blanks, and before a stop or comma that follows a letter or digit, where the tokenizer parts it too.
-    New pieces of letters alone are encoded together, and their ids told apart by the ends of words among them. Two generations of
-    pieces are kept, each of bounded size; what is used again moves to the younger one. No special token may hold a blank.
-    """
-
-    def __init__(self, path: str, dtype: str):
-        # Spark runs a task per core already; more threads would only spin
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.dtype, self.young, self.old = dtype, {}, {}
-        with open(path, encoding="utf-8") as f:
-            suffix = json.load(f)["model"].get("end_of_word_suffix")
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        if suffix:
-            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-
-    def _each(self, texts: list[str]) -> Iterator[bytes]:
-        for e in self.tok.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.asarray(e.ids, dtype=self.dtype).tobytes()
-
-    def _ids(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
-        letters = [t for t in texts if t.isalpha()]
-        others = [t for t in texts if not t.isalpha()]
-        width = np.dtype(self.dtype).itemsize
-        for i in range(0, len(letters), 512):
-            part = letters[i : i + 512]
-            (e,) = self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)
-            ids = np.asarray(e.ids, dtype=self.dtype)
-            cuts = (np.flatnonzero(self.ends[ids]) + 1) * width
-            if len(cuts) != len(part):  # a letter that becomes more than letters in small print
-                others += part
-                continue
-            raw, cuts = ids.tobytes(), cuts.tolist()
-            yield from zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts)))
-        for i in range(0, len(others), 512):
-            yield from zip(others[i : i + 512], self._each(others[i : i + 512]))
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if _TEXT_SPACE.search(text):
-            return _BLANKS.split(text)
-        if not _GLUED.search(text):
-            text = text.replace(".", " .").replace(",", " ,")
-        return text.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        young, old, new = self.young, self.old, []
-        for w in set().union(*cut):
-            if w not in young:
-                if (ids := old.get(w)) is None:
-                    new.append(w)
-                else:
-                    young[w] = ids
-        young.update(self._ids(new))
-        out = [b"".join(map(young.__getitem__, ws)) for ws in cut]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del young[w]
-        if len(young) > CACHE_WORDS:
-            self.old, self.young = young, {}
-        return out
-
 
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str, dtype: str) -> WordEncoder:
@@ -238,9 +158,8 @@ def pack(
                 c.clear()
             return batch
 
-        for batch in pieces(batches):
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for doc, ids in zip(batch.column(0).to_pylist(), enc.encode(texts)):
+        for batch in pieces(batches, *BATCH):
+            for doc, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 ids += end
                 whole = len(ids) - len(ids) % most
                 about = (doc, len(ids) // width)
