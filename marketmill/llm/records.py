@@ -13,8 +13,6 @@ the manifest, so that a task run twice does no harm.
 from __future__ import annotations
 
 import functools
-import os
-import re
 import struct
 import uuid
 import zlib
@@ -29,18 +27,13 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from marketmill.llm.common import pieces
+from marketmill.llm.piecewise import BATCH, ByteEncoder
 from marketmill.session import fresh_path, materialize
 
 MAGIC = b"MMREC1\0"
 INDEX = struct.Struct("<QQQ")
 #: Bytes of ids after which a task begins its next file.
 FILE_BYTES = 64 << 20
-#: Different pieces of text whose ids a worker remembers, and the longest of them.
-CACHE_PIECES, CACHE_CHARS = 400_000, 40
-
-#: Where the quick cut would not be at a safe boundary.
-_GLUED = re.compile(r"\s[ \n]|[\W_][.,]|\0")
-_SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 def mask(data: bytes) -> int:
@@ -78,65 +71,9 @@ def open_store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-class Encoder:
-    """The tokenizer over pieces of text, remembering the ids of short ones.
-
-    A text is cut before every blank or line end that follows visible text, and before
-    a full stop or comma that follows a letter or digit; the byte-level split always ends a
-    token there, so that pieces are independent; no special token of the tokenizer may hold a blank. Two generations of pieces are
-    kept, each of bounded size; what is used again moves to the younger one.
-    """
-
-    def __init__(self, path: str, dtype: str):
-        # Spark runs a task per core already; more threads would only spin
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok, self.whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for tok in (self.tok, self.whole):
-            tok.no_truncation()
-            tok.no_padding()
-        # pieces without a special token need not be searched for one
-        self.tok.encode_special_tokens = True
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.special]
-        self.dtype, self.young, self.old = dtype, {}, {}
-
-    def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 512):
-            part = texts[i : i + 512]
-            for t, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                if any(s in t for s in self.special):
-                    e = self.whole.encode(t, add_special_tokens=False)
-                yield np.asarray(e.ids, dtype=self.dtype).tobytes()
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if _GLUED.search(text):
-            return _SAFE.split(text)
-        for mark in " \n.,":
-            text = text.replace(mark, f"\0{mark}")
-        return text.split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        young, old, new = self.young, self.old, []
-        for p in set().union(*cut):
-            if p not in young:
-                if (ids := old.get(p)) is None:
-                    new.append(p)
-                else:
-                    young[p] = ids
-        young.update(zip(new, self._ids(new)))
-        out = [b"".join(map(young.__getitem__, ps)) for ps in cut]
-        for p in new:
-            if len(p) > CACHE_CHARS:
-                del young[p]
-        if len(young) > CACHE_PIECES:
-            self.old, self.young = young, {}
-        return out
-
-
 @functools.lru_cache(maxsize=2)
-def encoder(path: str, dtype: str) -> Encoder:
-    return Encoder(path, dtype)
+def encoder(path: str, dtype: str) -> ByteEncoder:
+    return ByteEncoder(path, dtype)
 
 
 MANIFEST = "shard int, file int, path string, n_records long, n_ids long, width int"
@@ -180,9 +117,8 @@ def write_records(
 
         shard, enc, made = TaskContext.get().partitionId(), encoder(tokenizer_file, dtype), []
         out = None
-        for batch in pieces(batches):
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for ids, doc in zip(enc.encode(texts), batch.column(0).to_pylist()):
+        for batch in pieces(batches, *BATCH):
+            for ids, doc in zip(enc.encode(batch.column(1)), batch.column(0).to_pylist()):
                 if out is None or out.size > FILE_BYTES:
                     made += [out.close()] if out else []
                     out = _Writer(folder, shard, len(made), width)

@@ -1,7 +1,5 @@
 """Texts encoded by pieces: ids as the library's, and few calls of it."""
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -10,16 +8,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketmill.llm import packing, piecewise, queries
+from marketmill.llm import packing, piecewise, queries, records
 
 ODD = " .,'’\"()_-sStTİΣßǅﬁéÃ×÷́̇\t\n\r\x0b\x1c\x85\xa0   　​1½²日<|endoftext|>"
 
 
-byte_encoder = functools.cache(piecewise.ByteEncoder)
-
-
 def encoders():
-    return packing.word_encoder(queries.WORD_TOKENIZER, "<u2"), byte_encoder(queries.TOKENIZER, "<u2")
+    return packing.word_encoder(queries.WORD_TOKENIZER, "<u2"), records.encoder(queries.TOKENIZER, "<u2")
 
 
 def library(path):
